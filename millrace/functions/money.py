@@ -1,22 +1,36 @@
-"""Exact money arithmetic on ``double`` columns."""
+"""Exact money arithmetic on ``double`` columns.
+
+Amounts become whole cents, which are cheap to compute, and are added up as
+decimals, which neither overflow nor depend on the order of the rows.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from decimal import Decimal
+
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+CENT = Decimal("0.01")
+
+
+def cents(col: Column | str) -> Column:
+    """The amount in cents as ``bigint``, halves rounded away from zero."""
+    amount = F.col(col) if isinstance(col, str) else col
+    return (F.signum(amount) * F.floor(F.abs(amount) * 100 + 0.5)).cast("bigint")
 
 
-def money(col: Column | str) -> Column:
-    return (F.col(col) if isinstance(col, str) else col).cast(MONEY)
+def summable(whole: Column) -> Column:
+    """A whole number as a decimal, so that its sum has room for any number of rows."""
+    return whole.cast("decimal(18,0)")
 
 
-def total(col: Column | str) -> Column:
-    """Sum that does not depend on row order; still a decimal."""
-    return F.sum(money(col))
+def total(col: Column | str, over: WindowSpec | None = None) -> Column:
+    """Exact sum of an amount, also over a window; a decimal with two places."""
+    added = F.sum(summable(cents(col)))
+    return (added.over(over) if over is not None else added) * F.lit(CENT)
 
 
-def net_revenue(price: Column | str, discount: Column | str) -> Column:
-    """``price * (1 - discount)`` with both factors as money."""
-    return money(price) * (F.lit(1) - money(discount))
+def net_total(price: Column | str, discount: Column | str) -> Column:
+    """Exact sum of ``price * (1 - discount)``, both taken to two places; four places."""
+    return F.sum(summable(cents(price) * (100 - cents(discount)))) * F.lit(CENT * CENT)

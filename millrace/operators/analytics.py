@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.money import money, net_revenue, total
+from millrace.functions.money import CENT, cents, net_total, summable, total
 from millrace.functions.text import truncate_to
 from millrace.operators.ordered import MAX_GROUP_ROWS, by_group_size, running_totals
 from millrace.session import stage
@@ -25,7 +25,7 @@ def star_revenue(
     repeated key on its large side.
     """
     per_order = lineitem.groupBy("l_orderkey").agg(
-        F.sum(net_revenue("l_extendedprice", "l_discount")).alias("revenue"),
+        net_total("l_extendedprice", "l_discount").alias("revenue"),
         F.count(F.lit(1)).alias("n_lines"),
     )
     per_customer = (
@@ -105,12 +105,12 @@ def running_and_moving(
 
     def moving(w) -> Column:
         frame = w.rowsBetween(*last_rows)
-        amount = F.sum(money(value)).over(frame).cast("double")
+        amount = total(value, frame).cast("double")
         return (amount / F.count(F.col(value)).over(frame)).alias("moving_avg")
 
     def whole(rows: DataFrame) -> DataFrame:
         w = Window.partitionBy(*part).orderBy(*order)
-        running = F.sum(money(value)).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        running = total(value, w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return rows.select("*", running.cast("double").alias("running_total"), moving(w))
 
     def sliced(rows: DataFrame) -> DataFrame:
@@ -121,7 +121,7 @@ def running_and_moving(
             rows,
             part,
             order,
-            {"running_total": money(value), "_nth": F.lit(1).cast("bigint")},
+            {"_running": summable(cents(value)), "_nth": F.lit(1).cast("bigint")},
             max_group_rows,
             slices,
         )
@@ -138,7 +138,8 @@ def running_and_moving(
             blocks.select("*", moving(w))
             .filter("_home")
             .select(
-                *rows.columns, F.col("running_total").cast("double").alias("running_total"),
+                *rows.columns,
+                (F.col("_running") * F.lit(CENT)).cast("double").alias("running_total"),
                 "moving_avg",
             )
         )
@@ -216,30 +217,54 @@ def compare_sets(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def funnel_conversion(
-    events: DataFrame, key: str, ts: str, kind: str, steps: list[str]
+    events: DataFrame,
+    key: str,
+    ts: str,
+    kind: str,
+    steps: list[str],
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """(step, step_name, n_keys, conversion from the step before).
 
     Step k takes a key's earliest step-k event strictly after the event taken
     for step k-1.
     """
-    taken = None
-    reached = []
-    for number, step in enumerate(steps, start=1):
-        hits = events.filter(F.col(kind) == step).select(key, ts)
-        if taken is not None:
-            hits = hits.join(taken, key).filter(F.col(ts) > F.col("_taken"))
-        taken = hits.groupBy(key).agg(F.min(ts).alias("_taken"))
-        reached.append(
-            taken.agg(F.count(F.lit(1)).alias("n_keys")).select(
-                F.lit(number).alias("step"), F.lit(step).alias("step_name"), "n_keys"
-            )
+    hits = events.filter(F.col(kind).isin(steps) & F.col(key).isNotNull()).select(key, ts, kind)
+    taken = [f"_taken_{i}" for i in range(len(steps))]
+
+    def qualifies(i: int) -> Column:
+        is_step = F.col(kind) == steps[i]
+        return is_step & (F.col(ts) > F.col(taken[i - 1])) if i else is_step
+
+    def whole(part: DataFrame) -> DataFrame:
+        # All steps use one partitioning of the events.
+        everything = Window.partitionBy(key)
+        for i, name in enumerate(taken):
+            part = part.withColumn(name, F.min(F.when(qualifies(i), F.col(ts))).over(everything))
+        return part.groupBy(key).agg(*[F.max(c).alias(c) for c in taken])
+
+    def sliced(part: DataFrame) -> DataFrame:
+        # One row per large group, so what has been taken so far can be broadcast.
+        state = None
+        for i, name in enumerate(taken):
+            rows = part if state is None else part.join(F.broadcast(state), key)
+            earliest = F.min(F.when(qualifies(i), F.col(ts))).alias(name)
+            state = rows.groupBy(key, *taken[:i]).agg(earliest)
+        return state
+
+    reached = by_group_size(hits, [key], whole, sliced, max_group_rows)
+    counts = reached.agg(*[F.count(c).alias(c) for c in taken])
+    rows = [
+        F.struct(
+            F.lit(i + 1).alias("step"),
+            F.lit(steps[i]).alias("step_name"),
+            F.col(c).alias("n_keys"),
+            (F.try_divide(F.col(c), F.col(taken[i - 1])) if i else F.lit(None).cast("double"))
+            .alias("conversion"),
         )
-    counts = reached[0]
-    for more in reached[1:]:
-        counts = counts.unionByName(more)
-    previous = F.lag("n_keys").over(Window.orderBy("step"))
-    return counts.withColumn("conversion", F.try_divide("n_keys", previous))
+        for i, c in enumerate(taken)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def cohort_retention(df: DataFrame, key: str, date: str) -> DataFrame:

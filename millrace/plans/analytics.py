@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.money import money
+from millrace.functions.money import total
 from millrace.operators import analytics as ops
+from millrace.operators.etl import incremental_slice
 from millrace.plans.registry import Query
 from millrace.sources.tables import table
 
@@ -68,7 +71,7 @@ def pivot_measures(spark: SparkSession, root: str) -> DataFrame:
     lines = table(spark, root, "lineitem").select(
         F.year("l_shipdate").alias("ship_year"), "l_returnflag", "l_quantity"
     )
-    quantity = F.sum(money("l_quantity")).cast("double")
+    quantity = total("l_quantity").cast("double")
     return ops.pivot_measures(lines, ["ship_year"], "l_returnflag", RETURN_FLAGS, quantity)
 
 
@@ -85,10 +88,12 @@ def with_and_without(spark: SparkSession, root: str) -> DataFrame:
 
 def compare_sets(spark: SparkSession, root: str) -> DataFrame:
     orders = table(spark, root, "orders")
-    buyers = [
-        orders.filter(F.year("o_orderdate") == year).select("o_custkey") for year in (1995, 1996)
-    ]
-    return ops.compare_sets(*buyers)
+
+    def buyers(year: int) -> DataFrame:
+        bounds = datetime(year, 1, 1), datetime(year + 1, 1, 1)
+        return incremental_slice(orders, "o_orderdate", *bounds).select("o_custkey")
+
+    return ops.compare_sets(buyers(1995), buyers(1996))
 
 
 def funnel_conversion(spark: SparkSession, root: str) -> DataFrame:

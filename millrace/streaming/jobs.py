@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
+from millrace.functions.money import total
 from millrace.functions.parsing import checked_json, readable
 from millrace.operators.etl import Split
 
@@ -86,7 +87,7 @@ def _windowed(stream: DataFrame, window: Column, value: str) -> DataFrame:
         stream.groupBy(window.alias("_w"))
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
-            F.sum(F.col(value).cast("decimal(18,2)")).cast("double").alias("total"),
+            total(value).cast("double").alias("total"),
         )
         .select(
             F.col("_w.start").alias("window_start"),

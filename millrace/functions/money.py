@@ -1,7 +1,8 @@
 """Exact money arithmetic on ``double`` columns.
 
-Amounts become whole cents, which are cheap to compute, and are added up as
-decimals, which neither overflow nor depend on the order of the rows.
+Amounts become whole cents. Their sum is kept as two ``bigint`` sums, of the
+high and the low bits, which is as cheap as adding integers, cannot overflow at
+any realistic number of rows, and does not depend on the order of the rows.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 CENT = Decimal("0.01")
+LOW_BITS = 20
 
 
 def cents(col: Column | str) -> Column:
@@ -20,17 +22,22 @@ def cents(col: Column | str) -> Column:
     return (F.signum(amount) * F.floor(F.abs(amount) * 100 + 0.5)).cast("bigint")
 
 
-def summable(whole: Column) -> Column:
-    """A whole number as a decimal, so that its sum has room for any number of rows."""
-    return whole.cast("decimal(18,0)")
+def net_units(price: Column | str, discount: Column | str) -> Column:
+    """``price * (1 - discount)``, both taken to two places, in hundredths of a cent."""
+    return cents(price) * (100 - cents(discount))
 
 
-def total(col: Column | str, over: WindowSpec | None = None) -> Column:
-    """Exact sum of an amount, also over a window; a decimal with two places."""
-    added = F.sum(summable(cents(col)))
-    return (added.over(over) if over is not None else added) * F.lit(CENT)
+def halves(whole: Column) -> tuple[Column, Column]:
+    """High and low part of a whole number; the sums of both make up the sum."""
+    return F.shiftright(whole, LOW_BITS), whole.bitwiseAND(F.lit(2**LOW_BITS - 1).cast("bigint"))
+
 
+def from_halves(high: Column, low: Column) -> Column:
+    """The whole number, as a decimal, whose summed parts are given."""
+    return high.cast("decimal(20,0)") * F.lit(Decimal(2**LOW_BITS)) + low.cast("decimal(20,0)")
 
-def net_total(price: Column | str, discount: Column | str) -> Column:
-    """Exact sum of ``price * (1 - discount)``, both taken to two places; four places."""
-    return F.sum(summable(cents(price) * (100 - cents(discount)))) * F.lit(CENT * CENT)
+
+def total(col: Column | str, over: WindowSpec | None = None) -> Column:
+    """Exact sum of an amount, also over a window; a decimal with two places."""
+    sums = [F.sum(part) for part in halves(cents(col))]
+    return from_halves(*[s.over(over) if over is not None else s for s in sums]) * F.lit(CENT)

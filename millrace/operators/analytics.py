@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.money import CENT, cents, net_total, summable, total
+from millrace.functions.money import CENT, cents, from_halves, halves, net_units, total
 from millrace.functions.text import truncate_to
 from millrace.operators.ordered import MAX_GROUP_ROWS, by_group_size, running_totals
 from millrace.session import stage
 
+# Spark's default for the largest limit it applies before a shuffle.
+PUSHED_LIMIT = 1000
+SPREAD = 64
+
 
 def star_revenue(
     lineitem: DataFrame,
@@ -24,25 +28,28 @@ def star_revenue(
     per order, orders to one row per customer and year. No join then sees a
     repeated key on its large side.
     """
+    high, low = halves(net_units("l_extendedprice", "l_discount"))
+    parts = ["high", "low", "n_lines"]
+    added = [F.sum(p).alias(p) for p in parts]
     per_order = lineitem.groupBy("l_orderkey").agg(
-        net_total("l_extendedprice", "l_discount").alias("revenue"),
-        F.count(F.lit(1)).alias("n_lines"),
+        F.sum(high).alias("high"), F.sum(low).alias("low"), F.count(F.lit(1)).alias("n_lines")
     )
     per_customer = (
         orders.select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("order_year"))
         .join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
         .groupBy("o_custkey", "order_year")
-        .agg(F.sum("revenue").alias("revenue"), F.sum("n_lines").alias("n_lines"))
+        .agg(*added)
     )
     place = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
         region, F.col("n_regionkey") == F.col("r_regionkey")
     ).select("c_custkey", "n_name", "r_name")
+    revenue = from_halves(F.col("high"), F.col("low")) * F.lit(CENT * CENT)
     return (
         per_customer.join(place, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("r_name", "n_name", "order_year")
-        .agg(
-            F.sum("revenue").cast("double").alias("revenue"),
-            F.sum("n_lines").alias("n_lines"),
+        .agg(*added)
+        .select(
+            "r_name", "n_name", "order_year", revenue.cast("double").alias("revenue"), "n_lines"
         )
     )
 
@@ -84,10 +91,20 @@ def top_n_per_group(
 ) -> DataFrame:
     """First ``n`` rows per group; ``order`` needs a unique tie-break.
 
-    The limit reaches below the shuffle: a task passes on at most ``n`` rows per group.
+    The limit reaches below the shuffle: a task passes on at most ``n`` rows per
+    group. Spark does so up to ``spark.sql.optimizer.windowGroupLimitThreshold``;
+    above that, each group is first cut down in parts that share out its rows.
     """
-    w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(rank_name, F.row_number().over(w)).filter(F.col(rank_name) <= n)
+
+    def first(rows: DataFrame, parts: list[str]) -> DataFrame:
+        w = Window.partitionBy(*parts).orderBy(*order)
+        return rows.withColumn(rank_name, F.row_number().over(w)).filter(F.col(rank_name) <= n)
+
+    if n > PUSHED_LIMIT:
+        slot = "_slot"
+        spread = df.withColumn(slot, F.spark_partition_id() % SPREAD)
+        df = first(spread, [*group, slot]).drop(slot, rank_name)
+    return first(df, group)
 
 
 def running_and_moving(
@@ -117,14 +134,10 @@ def running_and_moving(
         # Equal blocks of the row number; the last width - 1 rows of a block are
         # repeated at the start of the next one for its first frames.
         size = max(block_rows, width)
-        numbered = running_totals(
-            rows,
-            part,
-            order,
-            {"_running": summable(cents(value)), "_nth": F.lit(1).cast("bigint")},
-            max_group_rows,
-            slices,
-        )
+        high, low = halves(cents(value))
+        sums = {"_high": high, "_low": low, "_nth": F.lit(1).cast("bigint")}
+        numbered = running_totals(rows, part, order, sums, max_group_rows, slices)
+        running = from_halves(F.col("_high"), F.col("_low")) * F.lit(CENT)
         place = F.col("_nth") - 1
         block = F.floor(place / size)
         home = F.struct(block.alias("block"), F.lit(True).alias("home"))
@@ -139,7 +152,7 @@ def running_and_moving(
             .filter("_home")
             .select(
                 *rows.columns,
-                (F.col("_running") * F.lit(CENT)).cast("double").alias("running_total"),
+                running.cast("double").alias("running_total"),
                 "moving_avg",
             )
         )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import multisource as ops
 from millrace.plans.registry import Query
+from millrace.session import stage
 from millrace.sources.tables import table
 
 
@@ -70,7 +71,9 @@ def point_in_time_join(spark: SparkSession, root: str) -> DataFrame:
         )
         .select("user_id", F.col("_day").cast("timestamp_ntz").alias("snapshot_at"))
     )
-    joined = ops.point_in_time_join(days, _history(spark, root), "user_id", "snapshot_at")
+    # A warehouse keeps its history as a table; the join reads it more than once.
+    history = stage(_history(spark, root), "history")
+    joined = ops.point_in_time_join(days, history, "user_id", "snapshot_at")
     return joined.select("user_id", "snapshot_at", "event_type", "valid_from")
 
 

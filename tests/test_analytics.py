@@ -47,6 +47,13 @@ def test_top_n_passes_on_few_rows(spark, capsys):
     assert "WindowGroupLimit" in capsys.readouterr().out
 
 
+def test_top_n_above_the_pushed_limit(spark):
+    df = spark.range(5000).repartition(7).select((F.col("id") % 2).alias("g"), "id")
+    top = ops.top_n_per_group(df, ["g"], [F.col("id").desc()], 1200)
+    found = {(r.g, r.id, r.place) for r in top.collect()}
+    assert found == {(i % 2, i, (4999 - i) // 2 + 1) for i in range(2600, 5000)}
+
+
 def test_period_skips_missing_months(spark):
     data = [(datetime(2024, 1, 5), 10.0), (datetime(2024, 4, 5), 15.0)]
     df = spark.createDataFrame(data, "at timestamp_ntz, v double")
@@ -105,3 +112,11 @@ def test_quartiles_of_tiny_groups(spark):
     assert (rows["one"].q1, rows["one"].median, rows["one"].q3) == (5.0, 5.0, 5.0)
     assert (rows["two"].q1, rows["two"].median, rows["two"].q3) == (1.25, 1.5, 1.75)
     assert (rows["none"].n, rows["none"].median) == (0, None)
+
+
+def test_total_has_room_and_sign(spark):
+    big = spark.range(1000).select(F.lit(9_000_000_000_000.01).alias("v"))
+    assert str(big.agg(total("v")).first()[0]) == "9000000000000010.00"
+    mixed = spark.createDataFrame([(-0.01,), (-20_000.5,), (3.25,), (None,)], "v double")
+    assert str(mixed.agg(total("v")).first()[0]) == "-19997.26"
+    assert mixed.filter("v is null").agg(total("v")).first()[0] is None

@@ -1,8 +1,10 @@
 """Every registered query against its SQL twin, and facts of the inputs held fixed."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from millrace.sources.tables import table
 from oracle import mismatch
 
 ORACLES = contract.oracle_sql()
@@ -18,21 +20,47 @@ def test_entry_runs(spark):
     assert contract.entry(spark).count() > 0
 
 
+# (scale, query) -> [(condition, number of rows)]
+PINNED = {
+    ("sf0.001", "with_and_without"): [("not has_partner", 27)],
+    ("sf0.01", "with_and_without"): [("not has_partner", 257)],
+    ("sf0.001", "scd2_history"): [("true", 802)],
+    ("sf0.01", "scd2_history"): [("true", 8016), ("is_current", 150)],
+    ("sf0.001", "stream_session"): [("true", 944)],
+    ("sf0.01", "stream_session"): [("true", 9525)],
+    ("sf0.001", "stream_interval_join"): [("true", 5)],
+    ("sf0.01", "stream_interval_join"): [("true", 33)],
+    ("sf0.01", "stream_tumbling"): [("true", 29)],
+    ("sf0.01", "stream_sliding"): [("true", 61)],
+    ("sf0.01", "stream_dedupe"): [("true", 10000)],
+    ("sf0.001", "check_constraints"): [
+        ("rule = 'line key is unique' and violations = 1401", 1),
+    ],
+    ("sf0.01", "check_constraints"): [
+        ("rule = 'line key is unique' and violations = 14168", 1),
+        ("rule = 'shipped after ordered' and violations = 29157", 1),
+    ],
+}
+PINNED_ROWS = {
+    ("sf0.01", "stream_tumbling"): 9671,
+    ("sf0.01", "stream_sliding"): 20000,
+    ("sf0.01", "stream_session"): 9975,
+}
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
 @pytest.mark.parametrize("name", sorted(ORACLES))
-def test_small(spark, small, name):
-    assert mismatch(QUERIES[name](spark, small), small, ORACLES[name]) is None
-
-
-@pytest.mark.parametrize("name", sorted(ORACLES))
-def test_medium(spark, medium, name):
-    assert mismatch(QUERIES[name](spark, medium), medium, ORACLES[name]) is None
+def test_matches_sql(spark, small, name, scale):
+    root = small.replace("sf0.001", scale)
+    result = QUERIES[name](spark, root)
+    assert mismatch(result, root, ORACLES[name]) is None
+    for condition, rows in PINNED.get((scale, name), []):
+        assert result.filter(condition).count() == rows
+    if (scale, name) in PINNED_ROWS:
+        assert result.agg(F.sum("n_rows")).first()[0] == PINNED_ROWS[scale, name]
 
 
 def test_approx_distinct_is_close(spark, medium):
-    from pyspark.sql import functions as F
-
-    from millrace.sources.tables import table
-
     exact = {
         r.order_year: r.n
         for r in table(spark, medium, "orders")
@@ -42,39 +70,3 @@ def test_approx_distinct_is_close(spark, medium):
     }
     for row in QUERIES["approx_distinct"](spark, medium).collect():
         assert abs(row.n_distinct - exact[row.order_year]) <= 3 * 0.02 * exact[row.order_year]
-
-
-PINNED = [
-    ("sf0.001", "with_and_without", "not has_partner", 27),
-    ("sf0.01", "with_and_without", "not has_partner", 257),
-    ("sf0.001", "scd2_history", "true", 802),
-    ("sf0.01", "scd2_history", "true", 8016),
-    ("sf0.01", "scd2_history", "is_current", 150),
-    ("sf0.001", "stream_session", "true", 944),
-    ("sf0.01", "stream_session", "true", 9525),
-    ("sf0.001", "stream_interval_join", "true", 5),
-    ("sf0.01", "stream_interval_join", "true", 33),
-    ("sf0.01", "stream_tumbling", "true", 29),
-    ("sf0.01", "stream_sliding", "true", 61),
-    ("sf0.01", "stream_dedupe", "true", 10000),
-    ("sf0.001", "check_constraints", "rule = 'line key is unique' and violations = 1401", 1),
-    ("sf0.01", "check_constraints", "rule = 'line key is unique' and violations = 14168", 1),
-    ("sf0.01", "check_constraints", "rule = 'shipped after ordered' and violations = 29157", 1),
-]
-
-
-@pytest.mark.parametrize("scale, name, condition, expected", PINNED)
-def test_pinned(spark, small, scale, name, condition, expected):
-    root = small.replace("sf0.001", scale)
-    assert QUERIES[name](spark, root).filter(condition).count() == expected
-
-
-def test_pinned_totals(spark, medium):
-    from pyspark.sql import functions as F
-
-    tumbling = QUERIES["stream_tumbling"](spark, medium)
-    assert tumbling.agg(F.sum("n_rows")).first()[0] == 9671
-    sliding = QUERIES["stream_sliding"](spark, medium)
-    assert sliding.agg(F.sum("n_rows")).first()[0] == 20000
-    sessions = QUERIES["stream_session"](spark, medium)
-    assert sessions.agg(F.sum("n_rows")).first()[0] == 9975

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.money import CENT, cents, from_halves, halves, net_units, total
 from millrace.functions.text import truncate_to
-from millrace.operators.ordered import MAX_GROUP_ROWS, by_group_size, running_totals
-from millrace.session import stage
+from millrace.operators.ordered import (
+    MAX_GROUP_ROWS,
+    SLICE,
+    attach,
+    by_group_size,
+    running_totals,
+    slice_groups,
+)
 
 # Spark's default for the largest limit it applies before a shuffle.
 PUSHED_LIMIT = 1000
@@ -296,6 +304,9 @@ def cohort_retention(df: DataFrame, key: str, date: str) -> DataFrame:
     )
 
 
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+
 def distribution_stats(
     df: DataFrame,
     group: str,
@@ -305,47 +316,102 @@ def distribution_stats(
 ) -> DataFrame:
     """min, max, mean, sample stddev and exact interpolated quartiles per group.
 
-    Exact quartiles need an order. Rows shrink to counts of distinct values, and
-    the running count finds the values at the ranks; no task holds a whole group.
+    A group of ordinary size is sorted in one task. A larger one is cut into
+    ranges of values, and only the ranges that hold a wanted rank are looked into.
     """
-    counted = stage(
-        df.filter(F.col(col).isNotNull()).groupBy(group, col).agg(F.count(F.lit(1)).alias("_n")),
-        "value-counts",
+    values = df.select(group, col)
+    basics = values.groupBy(group).agg(
+        F.count(col).alias("n"),
+        F.min(col).alias("min"),
+        F.max(col).alias("max"),
+        F.try_divide(total(col).cast("double"), F.count(col)).alias("mean"),
+        F.stddev(col).alias("stddev"),
     )
-    ranked = running_totals(
-        counted, [group], [col], {"_upto": F.col("_n")}, max_group_rows, slices
+
+    def whole(part: DataFrame) -> DataFrame:
+        in_group = Window.partitionBy(group)
+        placed = part.filter(F.col(col).isNotNull()).withColumns(
+            {
+                "_start": F.row_number().over(in_group.orderBy(col)) - 1,
+                "_n": F.lit(1),
+                "_size": F.count(col).over(in_group),
+            }
+        )
+        return _quartiles(placed, group, col)
+
+    def sliced(part: DataFrame) -> DataFrame:
+        return _quartiles_by_range(part, group, col, slices)
+
+    quartiles = by_group_size(values, [group], whole, sliced, max_group_rows)
+    quartiles = quartiles.withColumnRenamed(group, "_group")
+    return basics.join(quartiles, F.col(group).eqNullSafe(F.col("_group")), "left").drop("_group")
+
+
+def _quartiles_by_range(df: DataFrame, group: str, col: str, slices: int | None) -> DataFrame:
+    # Equal values become one row with a count, so a frequent value is no burden.
+    counted = (
+        df.filter(F.col(col).isNotNull()).groupBy(group, col).agg(F.count(F.lit(1)).alias("_n"))
     )
-    basics = stage(
-        df.groupBy(group).agg(
-            F.count(col).alias("n"),
-            F.min(col).alias("min"),
-            F.max(col).alias("max"),
-            F.try_divide(total(col).cast("double"), F.count(col)).alias("mean"),
-            F.stddev(col).alias("stddev"),
-        ),
-        "basics",
+    cut = slice_groups(counted, [group], [col], slices)
+    in_group = Window.partitionBy(group)
+    earlier = in_group.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    per_slice = (
+        cut.groupBy(group, SLICE)
+        .agg(F.sum("_n").alias("_rows"))
+        .withColumns(
+            {
+                "_before": F.coalesce(F.sum("_rows").over(earlier), F.lit(0)),
+                "_size": F.sum("_rows").over(in_group),
+            }
+        )
     )
-    shares = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    sizes = basics.select(F.col(group).alias("_g"), F.col("n").alias("_size"))
-    placed = ranked.join(sizes, F.col(group).eqNullSafe(F.col("_g")))
-
-    def at(rank: Column) -> Column:
-        holds = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
-        return F.max(F.when(holds, F.col(col)))
-
-    picks = []
-    for name, share in shares.items():
-        spot = (F.col("_size") - 1) * F.lit(share)
-        picks += [at(F.floor(spot)).alias(f"{name}_lo"), at(F.ceil(spot)).alias(f"{name}_hi")]
-    found = placed.groupBy("_g").agg(*picks)
-    quartiles = []
-    for name, share in shares.items():
-        spot = (F.col("n") - 1) * F.lit(share)
-        lo, hi = F.col(f"{name}_lo"), F.col(f"{name}_hi")
-        quartiles.append((lo + (hi - lo) * (spot - F.floor(spot))).alias(name))
-    return basics.join(found, F.col(group).eqNullSafe(F.col("_g")), "left").select(
-        group, "n", "min", "max", "mean", "stddev", *quartiles
+
+    wanted = F.array_contains(
+        F.array(*[_holds(r, F.col("_before"), F.col("_rows")) for r in _ranks().values()]), True
     )
+    inside = attach(cut, [group], per_slice.filter(wanted), ["_before", "_size"]).filter(
+        F.col("_size").isNotNull()
+    )
+    w = Window.partitionBy(group, SLICE).orderBy(col)
+    up_to = F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = inside.withColumn("_start", F.col("_before") + up_to - F.col("_n"))
+    return _quartiles(placed, group, col)
+
+
+def _spot(share: float) -> Column:
+    return (F.col("_size") - 1) * F.lit(share)
+
+
+def _ranks() -> dict[str, Column]:
+    """The ranks, from 0, whose values the quartiles lie between."""
+    return {
+        f"{name}_{end}": at(_spot(share)).cast("bigint")
+        for name, share in QUARTILES.items()
+        for end, at in (("lo", F.floor), ("hi", F.ceil))
+    }
+
+
+def _holds(rank: Column, start: Column, rows: Column) -> Column:
+    return (start <= rank) & (rank < start + rows)
+
+
+def _quartiles(placed: DataFrame, group: str, col: str) -> DataFrame:
+    """From rows that stand for ``_n`` ranks from ``_start`` in a group of ``_size``."""
+    here = {name: _holds(r, F.col("_start"), F.col("_n")) for name, r in _ranks().items()}
+    found = (
+        placed.filter(reduce(lambda a, b: a | b, here.values()))
+        .groupBy(group)
+        .agg(
+            F.max("_size").alias("_size"),
+            *[F.max(F.when(hit, F.col(col))).alias(name) for name, hit in here.items()],
+        )
+    )
+
+    def between(name: str, share: float) -> Column:
+        lo, hi = F.col(f"{name}_lo"), F.col(f"{name}_hi")
+        return (lo + (hi - lo) * (_spot(share) - F.floor(_spot(share)))).alias(name)
+
+    return found.select(group, *[between(name, share) for name, share in QUARTILES.items()])
 
 
 def approx_distinct(df: DataFrame, group: list[Column], col: str, rsd: float) -> DataFrame:

@@ -65,9 +65,9 @@ def slice_groups(
 def attach(cut: DataFrame, keys: list[str], per_slice: DataFrame, names: list[str]) -> DataFrame:
     """Left join columns of a per-(keys, slice) table onto the rows of ``cut``.
 
-    ``per_slice`` must hold only groups that cross a slice boundary. Slices are
-    contiguous, so there are at most two such groups per slice and the broadcast
-    is bounded by the number of slices.
+    ``per_slice`` must hold only groups that cross a slice boundary, or groups
+    too large for one task. Slices are contiguous, so both kinds have few rows
+    per slice and the broadcast is bounded by the number of slices.
     """
     renamed = {name: f"_at_{i}" for i, name in enumerate([*keys, SLICE])}
     small = per_slice.select(*[F.col(k).alias(r) for k, r in renamed.items()], *names)

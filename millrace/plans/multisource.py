@@ -48,7 +48,9 @@ def reconcile_sources(spark: SparkSession, root: str) -> DataFrame:
     orders = table(spark, root, "orders").select(
         F.col("o_orderkey").alias("order_key"), F.lit(4).cast("bigint").alias("n_lines")
     )
-    return ops.reconcile_sources(orders, per_order, ["order_key"], ["n_lines"])
+    compared = ops.reconcile_sources(orders, per_order, ["order_key"], ["n_lines"])
+    sides = ("left_n_lines", "right_n_lines")
+    return compared.withColumns({c: F.coalesce(c, F.lit(0)) for c in sides})
 
 
 def _history(spark: SparkSession, root: str) -> DataFrame:
@@ -109,7 +111,7 @@ QUERIES = {
         SELECT coalesce(o.k, l.k) AS order_key,
                CASE WHEN l.k IS NULL THEN 'left_only' WHEN o.k IS NULL THEN 'right_only'
                     WHEN o.n IS NOT DISTINCT FROM l.n THEN 'matched' ELSE 'differs' END AS status,
-               o.n AS left_n_lines, l.n AS right_n_lines
+               coalesce(o.n, 0) AS left_n_lines, coalesce(l.n, 0) AS right_n_lines
         FROM o FULL JOIN l ON o.k = l.k""",
     ),
     "scd2_history": Query(

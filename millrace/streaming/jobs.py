@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from millrace.functions.money import total
 from millrace.functions.parsing import checked_json, readable
 from millrace.operators.etl import Split
+from millrace.streaming.state import CountAndLast
 
 DELAY = "1 hour"
 SLOT = "_slot"
@@ -160,27 +157,6 @@ def stream_interval_join(
     return pairs.drop("_stretch", "_right_stretch", "_right_key")
 
 
-class CountAndLast(StatefulProcessor):
-    """Number of rows and latest time per key, kept across batches."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "n long, last_us long")
-
-    def handleInputRows(
-        self, key: tuple, rows: Iterator[pd.DataFrame], timer_values: object
-    ) -> Iterator[pd.DataFrame]:
-        n, last_us = self.seen.get() if self.seen.exists() else (0, None)
-        for batch in rows:
-            n += int(batch["rows"].sum())
-            newest = int(batch["us"].max())
-            last_us = newest if last_us is None else max(last_us, newest)
-        self.seen.update((n, last_us))
-        yield pd.DataFrame({"key": [key[0]], "slot": [key[1]], "n": [n], "last_us": [last_us]})
-
-    def close(self) -> None:
-        pass
-
-
 def stream_keyed_state(
     stream: DataFrame, key: str, ts: str = "ts", slots: int = 16
 ) -> DataFrame:

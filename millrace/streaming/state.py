@@ -1,0 +1,34 @@
+"""State processors. They run in Python workers and travel there by value."""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+# Workers then need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+class CountAndLast(StatefulProcessor):
+    """Number of rows and latest time per key, kept across batches."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "n long, last_us long")
+
+    def handleInputRows(
+        self, key: tuple, rows: Iterator[pd.DataFrame], timer_values: object
+    ) -> Iterator[pd.DataFrame]:
+        n, last_us = self.seen.get() if self.seen.exists() else (0, None)
+        for batch in rows:
+            n += int(batch["rows"].sum())
+            newest = int(batch["us"].max())
+            last_us = newest if last_us is None else max(last_us, newest)
+        self.seen.update((n, last_us))
+        yield pd.DataFrame({"key": [key[0]], "slot": [key[1]], "n": [n], "last_us": [last_us]})
+
+    def close(self) -> None:
+        pass

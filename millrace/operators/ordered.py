@@ -52,14 +52,17 @@ def slice_groups(
 ) -> DataFrame:
     """Add ``_slice``: contiguous ranges of (keys, order), numbered in order.
 
-    The result is stored, because range bounds come from a sample and must not
-    differ between the two passes that use them.
+    Rows equal in all of these are told apart by the task that read them, so
+    that many equal rows still spread over several slices. The result is stored,
+    because range bounds come from a sample and must not differ between the two
+    passes that use them.
     """
-    bounds = [F.col(c) for c in [*keys, *order]]
+    bounds = [F.col(c) for c in [*keys, *order, "_reader"]]
+    read = df.withColumn("_reader", F.spark_partition_id())
     ranged = (
-        df.repartitionByRange(slices, *bounds) if slices else df.repartitionByRange(*bounds)
+        read.repartitionByRange(slices, *bounds) if slices else read.repartitionByRange(*bounds)
     )
-    return stage(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
+    return stage(ranged.drop("_reader").withColumn(SLICE, F.spark_partition_id()), "slices")
 
 
 def attach(cut: DataFrame, keys: list[str], per_slice: DataFrame, names: list[str]) -> DataFrame:

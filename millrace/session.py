@@ -78,13 +78,24 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` has at most ``max_rows`` rows.
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = 500_000, max_bytes: int = 64 * 1024 * 1024
+) -> DataFrame:
+    """Hint a broadcast only after measuring that ``df`` stays within both bounds.
 
     A larger side comes back unhinted: it is then joined by shuffle, with skewed
     partitions split at run time.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    width = sum(
+        (F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns),
+        F.lit(0).cast("bigint"),
+    )
+    size = (
+        df.limit(max_rows + 1)
+        .agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes"))
+        .first()
+    )
+    if size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes:
         return F.broadcast(df)
     return df
 

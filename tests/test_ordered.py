@@ -111,6 +111,22 @@ def test_point_in_time(rows, cut):
     assert bag(brute.select(*cols)) == bag(sliced.select(*cols))
 
 
+def test_point_in_time_of_many_equal_facts(spark):
+    """A third of all facts ask about one key at one time."""
+    t = [START + timedelta(days=i) for i in range(30)]
+    history = spark.createDataFrame(
+        [("k", t[i], t[i + 1], i) for i in range(29)],
+        "k string, valid_from timestamp_ntz, valid_to timestamp_ntz, version int",
+    )
+    facts = spark.createDataFrame(
+        [("k", t[i % 30]) for i in range(200)] + [("k", t[10])] * 100, "k string, at timestamp_ntz"
+    ).repartition(6)
+    out = point_in_time_join(facts, history, "k", "at", max_group_rows=50, slices=12)
+    found = [(r["at"], r.version) for r in out.collect()]
+    assert len(found) == 300
+    assert all(v == (t.index(at) if at < t[29] else None) for at, v in found)
+
+
 @pytest.mark.parametrize("cut", CUTS)
 def test_lookup(rows, cut):
     lookup = extract_lookup(rows, ["state", "value"], "number", **cut)

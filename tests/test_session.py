@@ -33,8 +33,8 @@ def test_paths_do_not_repeat(spark):
 
 def test_broadcast_only_below_the_bound(spark, capsys):
     small = spark.range(10)
-    for bound, hinted in ((10, True), (9, False)):
-        session.broadcast_if_small(small, bound).explain("extended")
+    for rows, size, hinted in ((10, 10, True), (9, 10, False), (10, 9, False)):
+        session.broadcast_if_small(small, rows, size).explain("extended")
         assert ("strategy=broadcast" in capsys.readouterr().out) is hinted
 
 

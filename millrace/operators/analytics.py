@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from millrace.functions.money import CENT, cents, from_halves, halves, net_units, total
@@ -14,8 +14,8 @@ from millrace.operators.ordered import (
     SLICE,
     attach,
     by_group_size,
-    running_totals,
     slice_groups,
+    sums_before_slice,
 )
 
 # Spark's default for the largest limit it applies before a shuffle.
@@ -123,13 +123,11 @@ def running_and_moving(
     width: int,
     max_group_rows: int = MAX_GROUP_ROWS,
     slices: int | None = None,
-    block_rows: int = 1_000_000,
 ) -> DataFrame:
     """Add ``running_total`` and ``moving_avg``, the mean of the last ``width`` rows."""
-    last_rows = (-(width - 1), Window.currentRow)
 
-    def moving(w) -> Column:
-        frame = w.rowsBetween(*last_rows)
+    def moving(w: WindowSpec) -> Column:
+        frame = w.rowsBetween(-(width - 1), Window.currentRow)
         amount = total(value, frame).cast("double")
         return (amount / F.count(F.col(value)).over(frame)).alias("moving_avg")
 
@@ -139,35 +137,75 @@ def running_and_moving(
         return rows.select("*", running.cast("double").alias("running_total"), moving(w))
 
     def sliced(rows: DataFrame) -> DataFrame:
-        # Equal blocks of the row number; the last width - 1 rows of a block are
-        # repeated at the start of the next one for its first frames.
-        size = max(block_rows, width)
-        high, low = halves(cents(value))
-        sums = {"_high": high, "_low": low, "_nth": F.lit(1).cast("bigint")}
-        numbered = running_totals(rows, part, order, sums, max_group_rows, slices)
-        running = from_halves(F.col("_high"), F.col("_low")) * F.lit(CENT)
-        place = F.col("_nth") - 1
-        block = F.floor(place / size)
-        home = F.struct(block.alias("block"), F.lit(True).alias("home"))
-        after = F.struct((block + 1).alias("block"), F.lit(False).alias("home"))
-        lead_in = place % size >= size - (width - 1)
-        blocks = numbered.withColumn(
-            "_in", F.explode(F.when(lead_in, F.array(home, after)).otherwise(F.array(home)))
-        ).withColumns({"_block": F.col("_in.block"), "_home": F.col("_in.home")})
-        w = Window.partitionBy(*part, "_block").orderBy("_nth")
-        return (
-            blocks.select("*", moving(w))
-            .filter("_home")
-            .select(
-                *rows.columns,
-                running.cast("double").alias("running_total"),
-                "moving_avg",
+        cut = slice_groups(rows, part, order, slices).withColumn("_home", F.lit(True))
+        if width > 1:
+            led = cut.unionByName(
+                lead_in_rows(cut, part, order, value, width - 1), allowMissingColumns=True
             )
+        else:
+            led = cut
+        w = Window.partitionBy(*part, SLICE).orderBy(*order)
+        to_here = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        own = [F.when(F.col("_home"), half) for half in halves(cents(value))]
+        names = ["_high", "_low"]
+        local = led.select(
+            "*", moving(w), *[F.sum(h).over(to_here).alias(n) for h, n in zip(own, names)]
+        ).filter("_home")
+        before = sums_before_slice(cut, part, dict(zip(["_high_0", "_low_0"], halves(cents(value)))))
+        joined = attach(local, part, before, ["_high_0", "_low_0"])
+        high, low = [
+            F.when(F.col(n).isNull(), F.col(f"{n}_0")).otherwise(
+                F.col(n) + F.coalesce(f"{n}_0", F.lit(0))
+            )
+            for n in names
+        ]
+        running = from_halves(high, low) * F.lit(CENT)
+        return joined.select(
+            *rows.columns, running.cast("double").alias("running_total"), "moving_avg"
         )
 
     return by_group_size(df, part, whole, sliced, max_group_rows)
 
 
+def lead_in_rows(
+    cut: DataFrame, keys: list[str], order: list[str], value: str, n: int
+) -> DataFrame:
+    """The ``n`` rows of a group that come before each of its slices, marked as not at home.
+
+    They are among the last ``n`` rows of the slices, numbered through the group.
+    """
+    tail = Window.partitionBy(*keys, SLICE).orderBy(*[F.col(c).desc() for c in order])
+    in_group = Window.partitionBy(*keys)
+    tails = (
+        cut.select(*keys, *order, value, SLICE)
+        .withColumn("_back", F.row_number().over(tail))
+        .filter(F.col("_back") <= n)
+        .withColumn("_nth", F.row_number().over(in_group.orderBy(SLICE, *order)))
+        .drop("_back")
+    )
+    earlier = in_group.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    last_nth = F.sum("_tails").over(earlier)
+    wanted = (
+        tails.groupBy(*keys, SLICE)
+        .agg(F.count(F.lit(1)).alias("_tails"))
+        .withColumn("_last", last_nth)
+        .filter(F.col("_last").isNotNull())
+        .select(
+            *[F.col(k).alias(f"_for_{k}") for k in keys],
+            F.col(SLICE).alias("_target"),
+            F.explode(F.sequence(F.greatest(F.col("_last") - (n - 1), F.lit(1)), "_last")).alias(
+                "_wanted"
+            ),
+        )
+    )
+    same = F.col("_nth") == F.col("_wanted")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_for_{k}"))
+    return tails.join(wanted, same).select(
+        *keys, *order, value, F.col("_target").alias(SLICE), F.lit(False).alias("_home")
+    )
+
+
 def period_over_period(df: DataFrame, date: str, value: str, unit: str = "month") -> DataFrame:
     """Total per period, the previous period present, and the change as a ratio.
 

@@ -100,21 +100,7 @@ def running_totals(
     def sliced(part: DataFrame) -> DataFrame:
         cut = slice_groups(part, keys, order, slices)
         before = {n: f"_before_{n}" for n in totals}
-        earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(
-            Window.unboundedPreceding, -1
-        )
-        position = Window.partitionBy(*keys).orderBy(SLICE)
-        per_slice = (
-            cut.groupBy(*keys, SLICE)
-            .agg(*[F.sum(v).alias(n) for n, v in totals.items()])
-            .select(
-                *keys,
-                SLICE,
-                F.row_number().over(position).alias("_nth"),
-                *[F.sum(n).over(earlier).alias(b) for n, b in before.items()],
-            )
-            .filter(F.col("_nth") > 1)
-        )
+        per_slice = sums_before_slice(cut, keys, {before[n]: v for n, v in totals.items()})
         w = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(*to_here)
         local = cut.select("*", *[F.sum(v).over(w).alias(n) for n, v in totals.items()])
         joined = attach(local, keys, per_slice, list(before.values()))
@@ -133,6 +119,25 @@ def running_totals(
     return by_group_size(df, keys, whole, sliced, max_group_rows)
 
 
+def sums_before_slice(
+    cut: DataFrame, keys: list[str], totals: dict[str, Column]
+) -> DataFrame:
+    """Per (keys, slice) but the first of each group: the sums over all earlier slices."""
+    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    position = Window.partitionBy(*keys).orderBy(SLICE)
+    return (
+        cut.groupBy(*keys, SLICE)
+        .agg(*[F.sum(v).alias(n) for n, v in totals.items()])
+        .select(
+            *keys,
+            SLICE,
+            F.row_number().over(position).alias("_nth"),
+            *[F.sum(n).over(earlier).alias(n) for n in totals],
+        )
+        .filter(F.col("_nth") > 1)
+    )
+
+
 def last_before_slice(
     cut: DataFrame, keys: list[str], value: Column, rank: Column, name: str
 ) -> DataFrame:

@@ -14,6 +14,7 @@ from millrace.operators.ordered import (
     SLICE,
     attach,
     by_group_size,
+    join_unique,
     slice_groups,
     sums_before_slice,
 )
@@ -237,7 +238,11 @@ def unpivot_measures(
 
 
 def with_and_without(
-    left: DataFrame, right: DataFrame, on: dict[str, str], flag: str = "has_partner"
+    left: DataFrame,
+    right: DataFrame,
+    on: dict[str, str],
+    flag: str = "has_partner",
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Every left row once, flagged by whether ``right`` has a partner for it.
 
@@ -245,12 +250,8 @@ def with_and_without(
     cannot multiply rows, and one join answers both questions.
     """
     renamed = {lk: f"_partner_{rk}" for lk, rk in on.items()}
-    partners = right.select(*[F.col(rk).alias(f"_partner_{rk}") for rk in on.values()]).distinct()
-    same = None
-    for lk, rk in renamed.items():
-        equal = F.col(lk) == F.col(rk)
-        same = equal if same is None else same & equal
-    marked = left.join(partners, same, "left")
+    partners = right.select(*[F.col(rk).alias(renamed[lk]) for lk, rk in on.items()]).distinct()
+    marked = join_unique(left, partners, renamed, "left", max_group_rows)
     found = F.col(next(iter(renamed.values()))).isNotNull()
     return marked.select(*left.columns, found.alias(flag))
 

@@ -120,11 +120,14 @@ def approx_distinct(spark: SparkSession, root: str) -> DataFrame:
     return ops.approx_distinct(table(spark, root, "orders"), [year], "o_custkey", 0.02)
 
 
-_PIVOT_SQL = """
+def _flag_sql(flag: str, name: str) -> str:
+    quantity = f"CASE WHEN l_returnflag = '{flag}' THEN CAST(l_quantity AS DECIMAL(18,2)) END"
+    return f"CAST(sum({quantity}) AS DOUBLE) AS {name}"
+
+
+_PIVOT_SQL = f"""
     SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year,
-           CAST(sum(CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS DECIMAL(18,2)) END) AS DOUBLE) AS qty_a,
-           CAST(sum(CASE WHEN l_returnflag = 'N' THEN CAST(l_quantity AS DECIMAL(18,2)) END) AS DOUBLE) AS qty_n,
-           CAST(sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS DECIMAL(18,2)) END) AS DOUBLE) AS qty_r
+           {", ".join(_flag_sql(f, n) for f, n in RETURN_FLAGS.items())}
     FROM lineitem GROUP BY 1"""
 
 QUERIES = {

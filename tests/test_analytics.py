@@ -75,10 +75,11 @@ def test_pivot_and_back(spark):
 def test_partners_do_not_multiply_rows(spark):
     left = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id int")
     right = spark.createDataFrame([(2,), (2,), (2,), (None,)], "ref int")
-    out = ops.with_and_without(left, right, {"id": "ref"})
-    assert sorted(map(tuple, out.collect()), key=repr) == [
-        (1, False), (2, True), (2, True), (None, False),
-    ]
+    for limit in (100, 1, 0):
+        out = ops.with_and_without(left, right, {"id": "ref"}, max_group_rows=limit)
+        assert sorted(map(tuple, out.collect()), key=repr) == [
+            (1, False), (2, True), (2, True), (None, False),
+        ]
 
 
 def test_sets(spark):

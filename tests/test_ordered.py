@@ -40,7 +40,11 @@ def bag(df):
 
 @pytest.mark.parametrize("cut", CUTS)
 def test_running_totals(rows, cut):
-    totals = {"n": F.lit(1).cast("bigint"), "sum": F.col("value").cast("decimal(18,2)"), "half": F.col("id")}
+    totals = {
+        "n": F.lit(1).cast("bigint"),
+        "sum": F.col("value").cast("decimal(18,2)"),
+        "ids": F.col("id"),
+    }
     run = lambda **kw: running_totals(rows, ["key"], ["at", "id"], totals, **kw)
     whole, sliced = run(**ALL_WHOLE), run(**cut)
     assert whole.schema == sliced.schema

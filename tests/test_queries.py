@@ -50,10 +50,13 @@ PINNED_ROWS = {
 
 @pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
 @pytest.mark.parametrize("name", sorted(ORACLES))
-def test_matches_sql(spark, small, name, scale):
+def test_matches_sql(spark, small, name, scale, capsys):
     root = small.replace("sf0.001", scale)
     result = QUERIES[name](spark, root)
     assert mismatch(result, root, ORACLES[name]) is None
+    result.explain()
+    plan = capsys.readouterr().out
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     for condition, rows in PINNED.get((scale, name), []):
         assert result.filter(condition).count() == rows
     if (scale, name) in PINNED_ROWS:

@@ -82,7 +82,11 @@ def stream_late_rows(spark: SparkSession, root: str) -> DataFrame:
 def stream_enrich(spark: SparkSession, root: str) -> DataFrame:
     events = table_stream(spark, root, "events").select("event_id", "user_id")
     dim = table(spark, root, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    return run.append_and_read(jobs.stream_enrich(events, dim, {"user_id": "c_custkey"}), "rich")
+    out = scratch_path(spark, "enriched")
+    enrich = jobs.enrich_each_batch(dim, {"user_id": "c_custkey"}, run.replace_batches(out))
+    run.each_batch(events, "append", enrich, scratch_path(spark, "enriched-checkpoint"))
+    schema = "event_id bigint, user_id bigint, c_name string, c_mktsegment string"
+    return spark.read.schema(schema).parquet(f"{out}/batch=*")
 
 
 def stream_interval_join(spark: SparkSession, root: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -9,6 +11,7 @@ from pyspark.sql.types import StructType
 from millrace.functions.money import total
 from millrace.functions.parsing import checked_json, readable
 from millrace.operators.etl import Split
+from millrace.operators.ordered import MAX_GROUP_ROWS, join_unique
 from millrace.streaming.state import CountAndLast
 
 DELAY = "1 hour"
@@ -113,7 +116,10 @@ def stream_session(
 
 
 def stream_enrich(stream: DataFrame, dim: DataFrame, on: dict[str, str]) -> DataFrame:
-    """Left join to a static table that is unique on its key; unmatched rows stay."""
+    """Left join to a static table that is unique on its key; unmatched rows stay.
+
+    For a table that Spark broadcasts; ``enrich_each_batch`` is for larger ones.
+    """
     same = None
     for left, right in on.items():
         equal = F.col(left) == F.col(right)
@@ -121,6 +127,24 @@ def stream_enrich(stream: DataFrame, dim: DataFrame, on: dict[str, str]) -> Data
     return stream.join(dim, same, "left").drop(*on.values())
 
 
+def enrich_each_batch(
+    dim: DataFrame,
+    on: dict[str, str],
+    write: Callable[[DataFrame, int], None],
+    max_group_rows: int = MAX_GROUP_ROWS,
+) -> Callable[[DataFrame, int], None]:
+    """``stream_enrich`` for every micro-batch, whatever the sizes of ``dim`` and of any key.
+
+    Keys that are frequent within a batch meet their dimension row by broadcast.
+    """
+
+    def enrich(batch: DataFrame, batch_id: int) -> None:
+        joined = join_unique(batch, dim, on, "left", max_group_rows)
+        write(joined.drop(*on.values()), batch_id)
+
+    return enrich
+
+
 def stream_interval_join(
     left: DataFrame,
     right: DataFrame,

@@ -119,6 +119,22 @@ def test_enrich_keeps_unmatched_rows(spark):
     assert sorted((r.user, r.name) for r in out.collect()) == [(7, "seven"), (8, None)]
 
 
+@pytest.mark.parametrize("limit", [0, 2, 100])
+def test_enrich_each_batch(spark, limit):
+    feed = Feed(spark)
+    dim = spark.createDataFrame([(7, "seven"), (9, "nine")], "user_id bigint, name string")
+    write = run.replace_batches(feed.out)
+    enrich = jobs.enrich_each_batch(dim, {"user": "user_id"}, write, limit)
+    for rows in ([(i, at(i), 7) for i in range(5)] + [(8, at(8), 8)], [(9, at(9), 9)]):
+        feed.deliver(rows)
+        events = feed.stream().select("id", "user")
+        run.each_batch(events, "append", enrich, feed.checkpoint)
+    out = spark.read.parquet(f"{feed.out}/batch=*")
+    assert sorted((r.id, r.name) for r in out.collect()) == [
+        *[(i, "seven") for i in range(5)], (8, None), (9, "nine"),
+    ]
+
+
 def test_interval_join_across_batches(spark):
     feed = Feed(spark)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.money import total
 from millrace.functions.text import truncate_to
+from millrace.session import stage
 
 
 def dedupe_latest(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
@@ -68,10 +69,17 @@ def tag_rejects(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
 
 def split_rejects(df: DataFrame, rules: dict[str, Column]) -> Split:
-    """Rows that break no rule, and rows that break some, with all their reasons."""
-    tagged = tag_rejects(df, rules)
-    clean = F.size("reasons") == 0
-    return Split(tagged.filter(clean).drop("reasons"), tagged.filter(~clean))
+    """Rows that break no rule, and rows that break some, with all their reasons.
+
+    ``df`` is computed once and stored in two parts, so that using both results
+    does not repeat the work behind it.
+    """
+    flag = "_is_valid"
+    tagged = tag_rejects(df, rules).withColumn(flag, F.size("reasons") == 0)
+    stored = stage(tagged, "split", (flag,))
+    return Split(
+        stored.filter(F.col(flag)).drop("reasons", flag), stored.filter(~F.col(flag)).drop(flag)
+    )
 
 
 def new_vs_returning(

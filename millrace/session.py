@@ -67,14 +67,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+def stage(df: DataFrame, label: str = "stage", partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts lineage so that a lost executor re-reads files instead of repeating the
     work, and gives the planner true file sizes for its broadcast decisions.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -71,6 +71,8 @@ def test_rejects_carry_all_reasons_in_rule_order(spark):
         ["big a", "big b", "bigger a"], ["big a", "bigger a"], ["big b"],
     ]
     assert valid.count() + rejects.count() == df.count()
+    assert [len(d.collect()) for d in ops.split_rejects(df.limit(0), rules)] == [0, 0]
+    assert ops.split_rejects(df.limit(1), rules).rejects.columns == ["a", "b", "reasons"]
 
 
 def test_new_vs_returning(spark):

@@ -32,7 +32,7 @@ TABLES = {
 
 
 def table_path(root: str, name: str) -> str:
-    return f"{str(root).rstrip("/")}/{name}.parquet"
+    return f"{str(root).rstrip('/')}/{name}.parquet"
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -26,7 +26,7 @@ from millrace.llm.arrow import extended, slices, without
 #: Entries of the vocabulary that are broadcast at most.
 MAX_VOCABULARY = 2_000_000
 #: Pre-tokens whose ids a task remembers, in each of two generations.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -51,9 +51,10 @@ class Bpe:
 
     def merged(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
-        ranks = self.ranks
-        if piece in ranks:
-            return [ranks[piece]]
+        get = self.ranks.get
+        whole = get(piece)
+        if whole is not None:
+            return [whole]
         end = len(piece)
         part: list[bytes | None] = [piece[k : k + 1] for k in range(end)]
         after, before = list(range(1, end + 1)), list(range(-1, end - 1))
@@ -61,52 +62,57 @@ class Bpe:
         words: dict[int, int] = {}
         summary = 0
 
-        def push(rank: int, at: int) -> None:
-            nonlocal summary
-            bucket = buckets.get(rank)
-            if bucket is None:
+        for at in range(end - 1):
+            rank = get(piece[at : at + 2])
+            if rank is None:
+                continue
+            if rank in buckets:
+                buckets[rank].append(at)  # positions ascend
+            else:
                 buckets[rank] = [at]
                 word = rank >> 8
                 words[word] = words.get(word, 0) | 1 << (rank & 255)
                 summary |= 1 << word
-            else:
-                heappush(bucket, at)
-
-        for k in range(end - 1):
-            rank = ranks.get(piece[k : k + 2])
-            if rank is not None:
-                push(rank, k)
         while summary:
             word = (summary & -summary).bit_length() - 1
             bits = words[word]
             low = bits & -bits
             rank = (word << 8) + low.bit_length() - 1
             bucket = buckets[rank]
-            at = heappop(bucket)
-            if not bucket:
+            if len(bucket) > 1:
+                at = heappop(bucket)
+            else:
+                at = bucket[0]
                 del buckets[rank]
                 words[word] = bits ^ low
                 if bits == low:
                     summary ^= 1 << word
-            left = part[at]
-            if left is None or (right := after[at]) == end:
+            left, right = part[at], after[at]
+            if left is None or right == end:
                 continue
             joined = left + part[right]
-            if ranks.get(joined) != rank:
+            if get(joined) != rank:
                 continue
             part[at], part[right] = joined, None
-            following = after[at] = after[right]
+            following, previous = after[right], before[at]
+            after[at] = following
+            made = []
             if following < end:
                 before[following] = at
-                rank = ranks.get(joined + part[following])
-                if rank is not None:
-                    push(rank, at)
-            previous = before[at]
+                made.append((get(joined + part[following]), at))
             if previous >= 0:
-                rank = ranks.get(part[previous] + joined)
-                if rank is not None:
-                    push(rank, previous)
-        return [ranks[x] for x in part if x is not None]
+                made.append((get(part[previous] + joined), previous))
+            for rank, at in made:
+                if rank is None:
+                    continue
+                if rank in buckets:
+                    heappush(buckets[rank], at)
+                else:
+                    buckets[rank] = [at]
+                    word = rank >> 8
+                    words[word] = words.get(word, 0) | 1 << (rank & 255)
+                    summary |= 1 << word
+        return [get(x) for x in part if x is not None]
 
     def packed(self, piece: str) -> bytes:
         """Ids of a pre-token as 32-bit integers, remembered."""

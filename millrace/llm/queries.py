@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, neardup, rules
+from millrace.llm import bpe, chat, decontaminate, neardup, rules
 from millrace.llm.arrow import table
 from millrace.plans.registry import Query
 
@@ -47,6 +47,12 @@ def op6_byte_bpe(spark: SparkSession, root: str) -> DataFrame:
     return coded.select("doc_id", *bpe.digests(coded))
 
 
+def op9_containment(spark: SparkSession, root: str) -> DataFrame:
+    """Benchmark items that documents contain."""
+    documents = table(spark, root, "documents")
+    return decontaminate.contained_items(documents, table(spark, root, "benchmark"))
+
+
 def op10_odd_sketch_neardup(spark: SparkSession, root: str) -> DataFrame:
     """Near-duplicate components of all documents by two-word shingles."""
     return neardup.near_duplicates(table(spark, root, "documents"), words=2, percent=80)
@@ -56,5 +62,6 @@ QUERIES = {
     "op2_chat_formatting": Query(op2_chat_formatting),
     "op5_decision_list": Query(op5_decision_list),
     "op6_byte_bpe": Query(op6_byte_bpe),
+    "op9_containment": Query(op9_containment),
     "op10_odd_sketch_neardup": Query(op10_odd_sketch_neardup),
 }

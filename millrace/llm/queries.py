@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontaminate, neardup, rules
+from millrace.llm import bpe, chat, decontaminate, neardup, rules, substrings
 from millrace.llm.arrow import table
 from millrace.plans.registry import Query
 
@@ -47,6 +47,12 @@ def op6_byte_bpe(spark: SparkSession, root: str) -> DataFrame:
     return coded.select("doc_id", *bpe.digests(coded))
 
 
+def op7_recompression(spark: SparkSession, root: str) -> DataFrame:
+    """Documents without word sequences that occur elsewhere, as counts and a digest."""
+    cut = substrings.remove_repeats(table(spark, root, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_containment(spark: SparkSession, root: str) -> DataFrame:
     """Benchmark items that documents contain."""
     documents = table(spark, root, "documents")
@@ -62,6 +68,7 @@ QUERIES = {
     "op2_chat_formatting": Query(op2_chat_formatting),
     "op5_decision_list": Query(op5_decision_list),
     "op6_byte_bpe": Query(op6_byte_bpe),
+    "op7_recompression": Query(op7_recompression),
     "op9_containment": Query(op9_containment),
     "op10_odd_sketch_neardup": Query(op10_odd_sketch_neardup),
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontaminate, neardup, rules, substrings
+from millrace.llm import bpe, chat, decontaminate, neardup, pii, rules, substrings
 from millrace.llm.arrow import table
 from millrace.plans.registry import Query
 
@@ -53,6 +53,25 @@ def op7_recompression(spark: SparkSession, root: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_bilstm_pii(spark: SparkSession, root: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    documents = table(spark, root, "documents").select("doc_id", "text")
+    found = pii.find_spans(documents, pii.train(documents))
+    base = F.filter("spans", lambda x: x["base"])
+
+    def joined(spans):
+        parts = F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["begin"], x["end"]))
+        return F.array_join(parts, ",")
+
+    def counted(kind: str):
+        own = F.filter(base, lambda x: x["kind"] == F.lit(kind))
+        return F.size(own).cast("bigint").alias(f"n_{kind}")
+
+    counts = [counted(kind) for kind in pii.KINDS]
+    digest = F.sha2(joined(base), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, joined("spans").alias("spans"))
+
+
 def op9_containment(spark: SparkSession, root: str) -> DataFrame:
     """Benchmark items that documents contain."""
     documents = table(spark, root, "documents")
@@ -69,6 +88,7 @@ QUERIES = {
     "op5_decision_list": Query(op5_decision_list),
     "op6_byte_bpe": Query(op6_byte_bpe),
     "op7_recompression": Query(op7_recompression),
+    "op8_bilstm_pii": Query(op8_bilstm_pii),
     "op9_containment": Query(op9_containment),
     "op10_odd_sketch_neardup": Query(op10_odd_sketch_neardup),
 }

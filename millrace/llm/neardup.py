@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from millrace.llm import minhash
 from millrace.llm.arrow import extended, slices, text_bytes
 from millrace.llm.components import components
-from millrace.llm.words import LOWER, U, WordNumbers, shingle_set
+from millrace.llm.words import LOWER, U, numbers_by_text, shingle_set
 from millrace.session import stage
 
 #: Shingles of the members of one block, and rows and shingles of a product of sets.
@@ -83,11 +83,9 @@ def _signatures(rows: DataFrame, words: int) -> DataFrame:
     schema = extended(rows.select("id"), "n_shingles bigint, class binary, bands array<bigint>, sketch binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = WordNumbers()
         for batch in slices(batches, "text"):
             out = []
-            for text in batch.column("text").to_pylist():
-                found = shingle_set(numbers.of(text.translate(LOWER).split()), words)
+            for found in _shingle_sets(batch, words):
                 if not len(found):
                     out.append((0, None, None, None))
                     continue
@@ -101,6 +99,11 @@ def _signatures(rows: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def _shingle_sets(batch: pa.RecordBatch, words: int) -> Iterator[np.ndarray]:
+    texts = [text.translate(LOWER) for text in batch.column("text").to_pylist()]
+    return (shingle_set(numbers, words) for numbers in numbers_by_text(texts))
+
+
 def _class(found: np.ndarray) -> bytes:
     """Equal for equal shingle sets; 128 bits, so that it tells any number of sets apart."""
     return xxhash.xxh3_128_digest(found.tobytes())
@@ -162,13 +165,10 @@ def _sets(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     schema = extended(texts.select("rep", "sketch"), "set binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = WordNumbers()
         for batch in slices(batches, "text"):
             marks = batch.column("class").to_pylist()
-            texts = batch.column("text").to_pylist()
             at, sets = [], []
-            for k, (mark, text) in enumerate(zip(marks, texts, strict=True)):
-                found = shingle_set(numbers.of(text.translate(LOWER).split()), words)
+            for k, (mark, found) in enumerate(zip(marks, _shingle_sets(batch, words), strict=True)):
                 if _class(found) == mark:  # a key may have other texts
                     at.append(k)
                     sets.append(found.tobytes())

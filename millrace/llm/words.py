@@ -106,6 +106,20 @@ def text_numbers(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(numbers), np.diff(np.searchsorted(np.concatenate(starts), first))
 
 
+def word_tails(texts: list[bytes], count: int) -> np.ndarray:
+    """Number below ``count`` of the last three bytes of each word of all texts end to end."""
+    joined = b" ".join(texts)
+    data = np.concatenate([np.full(3, 32, np.uint8), np.frombuffer(joined, np.uint8), np.full(1, 32, np.uint8)])
+    word = _IS_WORD[data]
+    last = np.flatnonzero(word[:-1] & ~word[1:])
+    tail = data[last].astype(U)
+    whole = np.ones(len(last), bool)
+    for k in (1, 2):
+        whole &= word[last - k]  # bytes before a short word's start do not count
+        tail = tail << U(8) | np.where(whole, data[last - k], 0).astype(U)
+    return (mixed(tail) % U(count)).astype(np.int64)
+
+
 def numbers_by_text(texts: list[bytes]) -> list[np.ndarray]:
     numbers, sizes = text_numbers(texts)
     return np.split(numbers, np.cumsum(sizes)[:-1]) if texts else []

@@ -23,7 +23,7 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{str(root).rstrip('/')}/{name}.parquet")
 
 
-def text_bytes(text: str = "text") -> Column:
+def text_bytes(text: str = "`text`") -> Column:
     """UTF-8 bytes of a text column; null counts as empty."""
     return F.coalesce(F.col(text), F.lit("")).cast("binary")
 

@@ -149,11 +149,13 @@ def deal(df: DataFrame, count: int) -> DataFrame:
 class Answers:
     """Answers of one partition by document."""
 
-    def __init__(self, held: list[tuple[np.ndarray, np.ndarray]]):
+    def __init__(self, held: list[tuple[np.ndarray, ...]]):
         docs = np.concatenate([h[0] for h in held]) if held else np.empty(0, np.int64)
         places = np.concatenate([h[1] for h in held]) if held else np.empty(0, np.int32)
+        values = np.concatenate([h[2] for h in held]) if held and len(held[0]) > 2 else None
         order = np.lexsort((places, docs))
         self.docs, self.places = docs[order], places[order]
+        self.values = None if values is None else values[order].view(np.float64)
 
     def of(self, doc: int) -> np.ndarray:
         """Places answered for a document, ascending; a place may come several times."""
@@ -161,6 +163,13 @@ class Answers:
         end = np.searchsorted(self.docs, doc, "right")
         return self.places[begin:end]
 
+    def sums_of(self, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of the places, and of the values as numbers, answered for each document."""
+        begin, end = np.searchsorted(self.docs, docs, "left"), np.searchsorted(self.docs, docs, "right")
+        values = np.zeros(0) if self.values is None else self.values
+        sums = [np.concatenate([[0], np.cumsum(x)]) for x in (self.places.astype(np.int64), values)]
+        return sums[0][end] - sums[0][begin], sums[1][end] - sums[1][begin]
+
 
 def documents_with(answers: DataFrame, documents: DataFrame, count: int) -> DataFrame:
     """Answers before documents in the partition of each document.
@@ -174,14 +183,14 @@ def documents_with(answers: DataFrame, documents: DataFrame, count: int) -> Data
     return rows.sortWithinPartitions("kind")
 
 
-def partition_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Answers, pa.RecordBatch]]:
-    """Batches of documents of a partition with the partition's answers."""
+def partition_of(batches: Iterator[pa.RecordBatch], *more: str) -> Iterator[tuple[Answers, pa.RecordBatch]]:
+    """Batches of documents of a partition with the partition's answers, values too if named."""
     held, answers = [], None
     for batch in batches:
         kinds = np.array(batch.column("kind"))
         known = kinds != DOCUMENT
         if known.any():
-            held.append(entries(batch.filter(pa.array(known))))
+            held.append(entries(batch.filter(pa.array(known)), *more))
         if not known.all():
             if answers is None:
                 answers = Answers(held)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontaminate, neardup, pii, rules, substrings
+from millrace.llm import bpe, chat, decontaminate, lm, neardup, pii, quality, rules, substrings
 from millrace.llm.arrow import table
 from millrace.plans.registry import Query
 
@@ -14,6 +14,13 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
+def op1_weak_label_quality(spark: SparkSession, root: str) -> DataFrame:
+    """Score and verdict of every document, learned from heuristic votes alone."""
+    documents = table(spark, root, "documents").select("doc_id", "text")
+    judged = quality.classify(documents, quality.fit(documents.select("text")))
+    return judged.select("doc_id", F.round("quality_score", 6).alias("quality_score"), "good")
+
+
 def op2_chat_formatting(spark: SparkSession, root: str) -> DataFrame:
     """All conversations, one record per row, plus conversation -7 in prompt layout."""
     rows = table(spark, root, "conversations")
@@ -25,6 +32,11 @@ def op2_chat_formatting(spark: SparkSession, root: str) -> DataFrame:
     return chat.digest_chats(chat.format_chats(turns)).withColumnRenamed("key", "conv_id")
 
 
+def op4_hidden_markov_lm(spark: SparkSession, root: str) -> DataFrame:
+    """Base and model score of every document; one fold of seven is held out."""
+    return lm.score_texts(table(spark, root, "documents").select("doc_id", "text"))
+
+
 def op5_decision_list(spark: SparkSession, root: str) -> DataFrame:
     """Statistics, base rule and learned verdict of every document."""
     documents = table(spark, root, "documents").select("doc_id", "text")
@@ -84,7 +96,9 @@ def op10_odd_sketch_neardup(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_weak_label_quality": Query(op1_weak_label_quality),
     "op2_chat_formatting": Query(op2_chat_formatting),
+    "op4_hidden_markov_lm": Query(op4_hidden_markov_lm),
     "op5_decision_list": Query(op5_decision_list),
     "op6_byte_bpe": Query(op6_byte_bpe),
     "op7_recompression": Query(op7_recompression),

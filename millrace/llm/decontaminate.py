@@ -11,7 +11,6 @@ verified on the words of all shingles.
 
 from __future__ import annotations
 
-import string
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,9 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from millrace.llm.arrow import extended, slices, text_bytes
-from millrace.llm.words import LOWER, U, WordNumbers, shingles
+from millrace.llm.arrow import slices, text_bytes, without
+from millrace.llm.words import PLAIN, U, numbers_by_text, shingles
 
 #: Bytes of item texts that are broadcast at a time; more items take several passes.
 BLOCK_BYTES = 8 << 20
@@ -31,12 +31,9 @@ BLOCK_BYTES = 8 << 20
 SPARE_HITS = 2
 
 
-_PLAIN = LOWER.translate(bytes(32 if chr(c) in string.punctuation else c for c in range(256)))
-
-
 def words_of(text: bytes) -> list[bytes]:
     """Words compared: A to Z lowered, ASCII punctuation counted as space."""
-    return text.translate(_PLAIN).split()
+    return text.translate(PLAIN).split()
 
 
 @dataclass(frozen=True)
@@ -62,7 +59,7 @@ def items_of(texts: list[bytes], words: int, share: float) -> list[Item]:
 class Sample:
     """Sampled shingles of the items of one width, and all their shingles by number."""
 
-    def __init__(self, items: list[Item], share: float, numbers: WordNumbers):
+    def __init__(self, items: list[Item], share: float):
         self.width = items[0].width
         hits: dict[int, list[int]] = defaultdict(list)
         self.needed_hits: dict[int, int] = {}
@@ -75,7 +72,7 @@ class Sample:
             lacking = max(len(item.parts) - item.needed for item in members)
             size = lacking + 1 + SPARE_HITS
             for item in members:
-                values = np.sort(_numbered(item, numbers))[:size]
+                values = np.sort(_numbered(item))[:size]
                 self.needed_hits[item.number] = max(1, len(values) - (len(item.parts) - item.needed))
                 for value in values.tolist():
                     hits[value].append(item.number)
@@ -98,61 +95,72 @@ class Sample:
         return [number for number, n in count.items() if n >= self.needed_hits[number]]
 
 
-def _numbered(item: Item, numbers: WordNumbers) -> np.ndarray:
-    parts = [numbers.of(list(part)) for part in item.parts]
+def _numbered(item: Item) -> np.ndarray:
+    parts = numbers_by_text([b" ".join(part) for part in item.parts])
     return np.array([shingles(p, item.width)[0] for p in parts], U)
 
 
-def contained_items(
+def mark_contained(
     documents: DataFrame,
     benchmark: DataFrame,
-    key: str = "doc_id",
     text: str = "text",
     item: str = "item_id",
     words: int = 5,
     share: float = 0.8,
 ) -> DataFrame:
-    """(key, item, n_shared, n_shingles, containment) for each row of ``documents`` and item it contains.
+    """Add ``contained``, an array of (item, n_shared, n_shingles), to every row of ``documents``.
 
     Items are compared as sets of shingles of ``words`` words; shorter items are one shingle
-    of their own width. Null and empty texts contain nothing and are contained in nothing.
-    Repeated rows on either side give repeated rows; null keys are kept. Other columns are not
-    returned. Nothing is missed: a document that holds the share holds the sampled shingles asked for.
+    of their own width. Null and empty texts contain nothing and are contained in nothing; without items
+    all arrays are empty. Repeated rows on either side give repeated answers; null items are kept. An
+    existing column ``contained`` is replaced. Nothing is missed: a document that holds the share
+    holds the sampled shingles asked for.
 
     Documents are read once for each block of ``BLOCK_BYTES`` of item texts, and nothing is
     shuffled: the items are a query set, and a block of it is what tasks get by broadcast.
     """
-    rows = documents.select(F.col(f"`{key}`").alias("key"), text_bytes(f"`{text}`").alias("text"))
-    schema = extended(rows.select("key"), "number int, n_shared bigint, n_shingles bigint")
     spark = documents.sparkSession
-    keys = benchmark.select(F.col(f"`{item}`").alias("item"), text_bytes(f"`{text}`").alias("text"))
-    item_type = keys.schema["item"].dataType
-    found = None
-    for block in _blocks(keys):
-        shared = spark.sparkContext.broadcast([text for _, text in block])
-        hits = rows.mapInArrow(_search(shared, words, share, schema.names), schema)
-        names = spark.createDataFrame(
-            [(number, value) for number, (value, _) in enumerate(block)],
-            extended(spark.range(0).select(F.lit(0).alias("number")), f"item {item_type.simpleString()}"),
-        )
-        hits = hits.join(F.broadcast(names), "number")
-        found = hits if found is None else found.unionByName(hits)
-    if found is None:
-        none = F.lit(None).cast(item_type).alias("item")
-        found = rows.select("key", none, F.lit(0).alias("n_shared"), F.lit(0).alias("n_shingles")).limit(0)
-    return found.select(
+    items = benchmark.select(F.col(f"`{item}`").alias("item"), text_bytes().alias("text"))
+    kind = items.schema["item"].dataType
+    found = f"array<struct<item: {kind.simpleString()}, n_shared: bigint, n_shingles: bigint>>"
+    rows = without(documents, "contained", "_source_bytes")
+    rows = rows.withColumn("_source_bytes", text_bytes(f"`{text}`"))
+    rows = rows.withColumn("contained", F.array().cast(found))
+    for block in _blocks(items):
+        shared = spark.sparkContext.broadcast(block)
+        rows = rows.mapInArrow(_search(shared, words, share, to_arrow_type(rows.schema["contained"].dataType)), rows.schema)
+    return rows.drop("_source_bytes")
+
+
+def contained_items(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    item: str = "item_id",
+    words: int = 5,
+    share: float = 0.8,
+) -> DataFrame:
+    """(key, item, n_shared, n_shingles, containment) for each document row and item it contains.
+
+    As ``mark_contained``; null keys are kept, other columns are not returned.
+    """
+    rows = documents.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    marked = mark_contained(rows, benchmark, "text", item, words, share)
+    pairs = marked.select("key", F.explode("contained").alias("hit"))
+    return pairs.select(
         F.col("key").alias(key),
-        F.col("item").alias(item),
-        "n_shared",
-        "n_shingles",
-        (F.col("n_shared") / F.col("n_shingles")).alias("containment"),
+        F.col("hit.item").alias(item),
+        "hit.n_shared",
+        "hit.n_shingles",
+        (F.col("hit.n_shared") / F.col("hit.n_shingles")).alias("containment"),
     )
 
 
-def _blocks(keys: DataFrame) -> Iterator[list[tuple]]:
+def _blocks(items: DataFrame) -> Iterator[list[tuple]]:
     """Items in blocks of bounded size, read one partition at a time."""
     block, size = [], 0
-    for row in keys.filter(F.octet_length("text") > 0).toLocalIterator():
+    for row in items.filter(F.octet_length("text") > 0).toLocalIterator():
         block.append((row["item"], bytes(row["text"])))
         size += len(row["text"])
         if size >= BLOCK_BYTES:
@@ -162,34 +170,31 @@ def _blocks(keys: DataFrame) -> Iterator[list[tuple]]:
         yield block
 
 
-def _search(shared, words: int, share: float, names: list[str]):
+def _search(shared, words: int, share: float, found: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = WordNumbers()
-        items = {item.number: item for item in items_of(shared.value, words, share)}
+        names = [name for name, _ in shared.value]
+        items = {item.number: item for item in items_of([text for _, text in shared.value], words, share)}
         by_width: dict[int, list[Item]] = defaultdict(list)
         for item in items.values():
             by_width[item.width].append(item)
-        samples = [Sample(members, share, numbers) for members in by_width.values()]
-        for batch in slices(batches, "text"):
-            at, out = [], []
-            for k, text in enumerate(batch.column("text").to_pylist()):
-                found = words_of(text)
-                numbered = numbers.of(found)
+        samples = [Sample(members, share) for members in by_width.values()]
+        for batch in slices(batches, "_source_bytes"):
+            texts = [text.translate(PLAIN) for text in batch.column("_source_bytes").to_pylist()]
+            marked = batch.column("contained").to_pylist()
+            for k, numbered in enumerate(numbers_by_text(texts)):
                 for sample in samples:
                     candidates = sample.candidates(shingles(numbered, sample.width))
                     if not candidates:
                         continue
-                    width = sample.width
-                    parts = set(zip(*(found[j:] for j in range(width)), strict=False))
+                    found_words = texts[k].split()
+                    parts = set(zip(*(found_words[j:] for j in range(sample.width)), strict=False))
                     for number in sorted(candidates):
                         item = items[number]
                         n = len(item.parts & parts)
                         if n >= item.needed:
-                            at.append(k)
-                            out.append((number, n, len(item.parts)))
-            if out:
-                columns = [pa.array(v, t) for v, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.int64()), strict=True)]
-                keys = batch.column("key").take(pa.array(at, pa.int64()))
-                yield pa.RecordBatch.from_arrays([keys, *columns], names=names)
+                            hit = {"item": names[number], "n_shared": n, "n_shingles": len(item.parts)}
+                            marked[k].append(hit)
+            at = batch.schema.get_field_index("contained")
+            yield batch.set_column(at, "contained", pa.array(marked, found))
 
     return run

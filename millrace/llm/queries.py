@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontaminate, lm, neardup, pii, quality, rules, substrings
+from millrace.llm import bpe, chat, decontaminate, licenses, lm, neardup, pii, quality, rules, substrings
 from millrace.llm.arrow import table
 from millrace.plans.registry import Query
 
@@ -32,6 +32,13 @@ def op2_chat_formatting(spark: SparkSession, root: str) -> DataFrame:
     return chat.digest_chats(chat.format_chats(turns)).withColumnRenamed("key", "conv_id")
 
 
+def op3_patience_licenses(spark: SparkSession, root: str) -> DataFrame:
+    """License notices in every document, one row each."""
+    documents = table(spark, root, "documents").select("doc_id", "text")
+    found = licenses.find_licenses(documents).select("doc_id", F.inline("licenses"))
+    return found.withColumns({c: F.round(c, 6) for c in ("coverage", "score")})
+
+
 def op4_hidden_markov_lm(spark: SparkSession, root: str) -> DataFrame:
     """Base and model score of every document; one fold of seven is held out."""
     return lm.score_texts(table(spark, root, "documents").select("doc_id", "text"))
@@ -98,6 +105,7 @@ def op10_odd_sketch_neardup(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {
     "op1_weak_label_quality": Query(op1_weak_label_quality),
     "op2_chat_formatting": Query(op2_chat_formatting),
+    "op3_patience_licenses": Query(op3_patience_licenses),
     "op4_hidden_markov_lm": Query(op4_hidden_markov_lm),
     "op5_decision_list": Query(op5_decision_list),
     "op6_byte_bpe": Query(op6_byte_bpe),

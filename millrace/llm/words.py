@@ -10,36 +10,17 @@ a number with a chance in the order of n*n/2**65.
 from __future__ import annotations
 
 import re
+import string
 
 import numpy as np
-import xxhash
 
 U = np.uint64
 MIX_1, MIX_2 = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F)
 #: A to Z lowered, for ``bytes.translate``.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
-
-class WordNumbers(dict):
-    """Hash of each word, remembered for the words met most recently."""
-
-    SIZE = 200_000
-
-    def __init__(self):
-        self.older: dict[bytes, int] = {}
-
-    def __missing__(self, word: bytes) -> int:
-        number = self.older.get(word)
-        if number is None:
-            number = xxhash.xxh3_64_intdigest(word)
-        if len(self) >= self.SIZE:
-            self.older = dict(self)
-            self.clear()
-        self[word] = number
-        return number
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), U, len(words))
+#: The same, and ASCII punctuation as space.
+PLAIN = LOWER.translate(bytes(32 if chr(c) in string.punctuation else c for c in range(256)))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

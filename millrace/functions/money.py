@@ -16,10 +16,25 @@ CENT = Decimal("0.01")
 LOW_BITS = 20
 
 
+#: Below this many cents a double tells which whole cent is nearest, unless it lies near a half.
+CERTAIN = 1e14
+
+
 def cents(col: Column | str) -> Column:
-    """The amount in cents as ``bigint``, halves rounded away from zero."""
+    """The amount in cents as ``bigint``, as a cast to decimal(18,2) gives it.
+
+    An amount out of range, infinite or not a number fails the job. Amounts near half a
+    cent, whose rounding hangs on the decimal digits, take the cast itself; for all others
+    the nearest whole cent is the same and much cheaper.
+    """
     amount = F.col(col) if isinstance(col, str) else col
-    return (F.signum(amount) * F.floor(F.abs(amount) * 100 + 0.5)).cast("bigint")
+    hundred = amount.cast("double") * 100
+    near = (F.abs(hundred) < CERTAIN) & (F.abs(hundred - F.rint(hundred)) < 0.25)
+    checked = F.coalesce(
+        amount.cast("decimal(18,2)"), F.raise_error(F.lit("amount out of range")).cast("decimal(18,2)")
+    )
+    exact = (checked * 100).cast("bigint")
+    return F.when(amount.isNull(), None).when(near, F.rint(hundred).cast("bigint")).otherwise(exact)
 
 
 def net_units(price: Column | str, discount: Column | str) -> Column:
@@ -37,7 +52,25 @@ def from_halves(high: Column, low: Column) -> Column:
     return high.cast("decimal(20,0)") * F.lit(Decimal(2**LOW_BITS)) + low.cast("decimal(20,0)")
 
 
-def total(col: Column | str, over: WindowSpec | None = None) -> Column:
-    """Exact sum of an amount, also over a window; a decimal with two places."""
-    sums = [F.sum(part) for part in halves(cents(col))]
-    return from_halves(*[s.over(over) if over is not None else s for s in sums]) * F.lit(CENT)
+def summands(col: Column | str, scale: int | None) -> tuple[Column, Column]:
+    """Two columns whose sums make up the sum of ``col``: money has a scale of 2, other values None."""
+    if scale == 2:
+        return halves(cents(col))
+    if scale is not None:
+        raise ValueError(f"money has two places, other values no scale: {scale}")
+    value = F.col(col) if isinstance(col, str) else col
+    return value, F.when(value.isNotNull(), F.lit(0))
+
+
+def from_sums(high: Column, low: Column, scale: int | None) -> Column:
+    return from_halves(high, low) * F.lit(CENT) if scale == 2 else high + low
+
+
+def total(col: Column | str, over: WindowSpec | None = None, scale: int | None = 2) -> Column:
+    """Sum of an amount, also over a window.
+
+    Money (``scale`` 2) is added up exactly and comes out as a decimal with two places; with no
+    scale the values are added up as they are.
+    """
+    sums = [F.sum(part) for part in summands(col, scale)]
+    return from_sums(*[s.over(over) if over is not None else s for s in sums], scale)

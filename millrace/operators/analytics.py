@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from millrace.functions.money import CENT, cents, from_halves, halves, net_units, total
+from millrace.functions.money import CENT, from_halves, from_sums, halves, net_units, summands, total
 from millrace.functions.text import truncate_to
 from millrace.operators.ordered import (
     MAX_GROUP_ROWS,
@@ -20,8 +20,6 @@ from millrace.operators.ordered import (
 )
 
 # Spark's default for the largest limit it applies before a shuffle.
-PUSHED_LIMIT = 1000
-SPREAD = 64
 
 
 def star_revenue(
@@ -69,14 +67,15 @@ def multi_level_totals(
     value: str,
     mode: str = "rollup",
     sets: list[list[str]] | None = None,
+    scale: int | None = None,
 ) -> DataFrame:
     """Count and total per level combination; ``level_id`` tells a total from a real null.
 
-    ``mode`` is rollup, cube or sets. Rows are added up at the finest level
+    ``mode`` is rollup, cube or sets; ``scale`` is 2 for money and else None. Rows are added up at the finest level
     first, so only that small result is multiplied by the number of levels.
     """
     finest = df.groupBy(*levels).agg(
-        F.count(F.lit(1)).alias("n_rows"), total(value).alias("total")
+        F.count(F.lit(1)).alias("n_rows"), total(value, scale=scale).alias("total")
     )
     if mode == "rollup":
         grouped = finest.rollup(*levels)
@@ -109,9 +108,11 @@ def top_n_per_group(
         w = Window.partitionBy(*parts).orderBy(*order)
         return rows.withColumn(rank_name, F.row_number().over(w)).filter(F.col(rank_name) <= n)
 
-    if n > PUSHED_LIMIT:
+    spark = df.sparkSession
+    if n > int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
         slot = "_slot"
-        spread = df.withColumn(slot, F.spark_partition_id() % SPREAD)
+        parts = max(2, spark.sparkContext.defaultParallelism)
+        spread = df.withColumn(slot, F.spark_partition_id() % parts)
         df = first(spread, [*group, slot]).drop(slot, rank_name)
     return first(df, group)
 
@@ -124,17 +125,21 @@ def running_and_moving(
     width: int,
     max_group_rows: int = MAX_GROUP_ROWS,
     slices: int | None = None,
+    scale: int | None = None,
 ) -> DataFrame:
-    """Add ``running_total`` and ``moving_avg``, the mean of the last ``width`` rows."""
+    """Add ``running_total`` and ``moving_avg``, the mean of the last ``width`` rows.
+
+    ``scale`` is 2 for money, which is added up exactly, and else None.
+    """
 
     def moving(w: WindowSpec) -> Column:
         frame = w.rowsBetween(-(width - 1), Window.currentRow)
-        amount = total(value, frame).cast("double")
+        amount = total(value, frame, scale).cast("double")
         return (amount / F.count(F.col(value)).over(frame)).alias("moving_avg")
 
     def whole(rows: DataFrame) -> DataFrame:
         w = Window.partitionBy(*part).orderBy(*order)
-        running = total(value, w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        running = total(value, w.rowsBetween(Window.unboundedPreceding, Window.currentRow), scale)
         return rows.select("*", running.cast("double").alias("running_total"), moving(w))
 
     def sliced(rows: DataFrame) -> DataFrame:
@@ -147,12 +152,12 @@ def running_and_moving(
             led = cut
         w = Window.partitionBy(*part, SLICE).orderBy(*order)
         to_here = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        own = [F.when(F.col("_home"), half) for half in halves(cents(value))]
+        own = [F.when(F.col("_home"), part) for part in summands(value, scale)]
         names = ["_high", "_low"]
         local = led.select(
             "*", moving(w), *[F.sum(h).over(to_here).alias(n) for h, n in zip(own, names)]
         ).filter("_home")
-        before = sums_before_slice(cut, part, dict(zip(["_high_0", "_low_0"], halves(cents(value)))))
+        before = sums_before_slice(cut, part, dict(zip(["_high_0", "_low_0"], summands(value, scale))))
         joined = attach(local, part, before, ["_high_0", "_low_0"])
         high, low = [
             F.when(F.col(n).isNull(), F.col(f"{n}_0")).otherwise(
@@ -160,7 +165,7 @@ def running_and_moving(
             )
             for n in names
         ]
-        running = from_halves(high, low) * F.lit(CENT)
+        running = from_sums(high, low, scale)
         return joined.select(
             *rows.columns, running.cast("double").alias("running_total"), "moving_avg"
         )
@@ -175,10 +180,11 @@ def lead_in_rows(
 
     They are among the last ``n`` rows of the slices, numbered through the group.
     """
+    carried = list(dict.fromkeys([*keys, *order, value]))
     tail = Window.partitionBy(*keys, SLICE).orderBy(*[F.col(c).desc() for c in order])
     in_group = Window.partitionBy(*keys)
     tails = (
-        cut.select(*keys, *order, value, SLICE)
+        cut.select(*carried, SLICE)
         .withColumn("_back", F.row_number().over(tail))
         .filter(F.col("_back") <= n)
         .withColumn("_nth", F.row_number().over(in_group.orderBy(SLICE, *order)))
@@ -203,20 +209,22 @@ def lead_in_rows(
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_for_{k}"))
     return tails.join(wanted, same).select(
-        *keys, *order, value, F.col("_target").alias(SLICE), F.lit(False).alias("_home")
+        *carried, F.col("_target").alias(SLICE), F.lit(False).alias("_home")
     )
 
 
-def period_over_period(df: DataFrame, date: str, value: str, unit: str = "month") -> DataFrame:
+def period_over_period(
+    df: DataFrame, date: str, value: str, unit: str = "month", scale: int | None = None
+) -> DataFrame:
     """Total per period, the previous period present, and the change as a ratio.
 
-    The window has no partition; it runs on one row per calendar period.
+    The ratio is null after a total of 0. ``scale`` is 2 for money and else None. The window has no partition; it runs on one row per calendar period.
     """
     w = Window.orderBy("period")
-    change = (F.col("total") - F.col("previous_total")) / F.col("previous_total")
+    change = F.try_divide(F.col("total") - F.col("previous_total"), F.col("previous_total"))
     return (
         df.groupBy(truncate_to(unit, date).alias("period"))
-        .agg(total(value).cast("double").alias("total"))
+        .agg(total(value, scale=scale).cast("double").alias("total"))
         .withColumn("previous_total", F.lag("total").over(w))
         .withColumn("change_ratio", change)
     )
@@ -330,10 +338,10 @@ def funnel_conversion(
 def cohort_retention(df: DataFrame, key: str, date: str) -> DataFrame:
     """(cohort, month_offset, n_keys): distinct keys active per month after their first.
 
-    Rows shrink to one per key and month before the window.
+    Rows without a key belong to nobody and are left out. Rows shrink to one per key and month before the window.
     """
     month = truncate_to("month", date)
-    active = df.select(key, month.alias("month")).distinct()
+    active = df.filter(F.col(key).isNotNull()).select(key, month.alias("month")).distinct()
     cohort = F.min("month").over(Window.partitionBy(key))
     months = lambda c: F.year(c) * 12 + F.month(c)
     return (
@@ -363,7 +371,7 @@ def distribution_stats(
         F.count(col).alias("n"),
         F.min(col).alias("min"),
         F.max(col).alias("max"),
-        F.try_divide(total(col).cast("double"), F.count(col)).alias("mean"),
+        F.avg(col).alias("mean"),
         F.stddev(col).alias("stddev"),
     )
 
@@ -453,6 +461,36 @@ def _quartiles(placed: DataFrame, group: str, col: str) -> DataFrame:
     return found.select(group, *[between(name, share) for name, share in QUARTILES.items()])
 
 
+def ranked(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
+    """Add ``rank`` and ``dense_rank`` per group; rows equal in ``order`` share them."""
+    w = Window.partitionBy(*group).orderBy(*order)
+    return df.withColumns({"rank": F.rank().over(w), "dense_rank": F.dense_rank().over(w)})
+
+
+def trailing_range(
+    df: DataFrame, part: list[str], at: str, value: str, days: int, scale: int | None = None
+) -> DataFrame:
+    """Add ``n_recent`` and ``recent_total``: over the rows of the last ``days`` days, this one's included.
+
+    The frame is a range of time, so rows at the same time see the same frame.
+    """
+    seconds = F.unix_seconds(F.col(at).cast("timestamp"))
+    frame = Window.partitionBy(*part).orderBy(seconds).rangeBetween(-days * 86_400 + 1, Window.currentRow)
+    recent = total(value, frame, scale).cast("double")
+    return df.select(
+        "*", F.count(F.lit(1)).over(frame).alias("n_recent"), recent.alias("recent_total")
+    )
+
+
+def approx_quantiles(
+    df: DataFrame, group: list[Column], col: str, shares: dict[str, float], accuracy: int
+) -> DataFrame:
+    """Sketch quantiles, each a value whose rank is off by at most n / ``accuracy``."""
+    return df.groupBy(*group).agg(
+        *[F.percentile_approx(col, share, accuracy).alias(name) for name, share in shares.items()]
+    )
+
+
 def approx_distinct(df: DataFrame, group: list[Column], col: str, rsd: float) -> DataFrame:
     """Sketch count of distinct values with relative standard deviation ``rsd``."""
     return df.groupBy(*group).agg(F.approx_count_distinct(col, rsd).alias("n_distinct"))

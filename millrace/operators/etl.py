@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,12 +35,19 @@ def incremental_slice(df: DataFrame, col: str, lo: object, hi: object) -> DataFr
 
 
 def upsert_by_key(target: DataFrame, increment: DataFrame, keys: list[str]) -> DataFrame:
-    """``increment`` replaces ``target`` on a key match and is added otherwise."""
+    """``increment`` replaces ``target`` on a key match and is added otherwise.
+
+    A null in a key matches a null, so a rerun changes nothing. The increment is stored first and
+    computed once.
+    """
+    increment = stage(increment.select(*target.columns), "increment")
     repeated = increment.groupBy(*keys).count().filter(F.col("count") > 1)
     if not repeated.isEmpty():
         raise ValueError(f"the increment repeats a key: {keys}")
-    kept = target.join(increment.select(*keys), keys, "left_anti")
-    return kept.select(*target.columns).unionByName(increment.select(*target.columns))
+    renamed = {k: f"_new_{k}" for k in keys}
+    new = increment.select(*[F.col(k).alias(r) for k, r in renamed.items()])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(r)) for k, r in renamed.items()])
+    return target.join(new, same, "left_anti").unionByName(increment)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> None:
@@ -83,15 +91,20 @@ def split_rejects(df: DataFrame, rules: dict[str, Column]) -> Split:
 
 
 def new_vs_returning(
-    orders: DataFrame, customer: str, date: str, value: str, unit: str = "month"
+    orders: DataFrame,
+    customer: str,
+    date: str,
+    value: str,
+    unit: str = "month",
+    scale: int | None = None,
 ) -> DataFrame:
     """(period, new_customers, returning_customers, revenue).
 
-    Orders shrink to one row per customer and period before any window runs.
+    ``scale`` is 2 for money and else None. Orders shrink to one row per customer and period before any window runs.
     """
     per_period = orders.groupBy(
         F.col(customer), truncate_to(unit, date).alias("period")
-    ).agg(total(value).alias("revenue"))
+    ).agg(total(value, scale=scale).alias("revenue"))
     first = F.min("period").over(Window.partitionBy(customer))
     is_new = F.col("period") == F.col("first_period")
     return (

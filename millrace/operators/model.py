@@ -131,8 +131,11 @@ def _report(name: str, checked: Column, violations: Column) -> list[Column]:
 
 
 def _unique_report(tables: dict[str, DataFrame], rule: UniqueKey) -> DataFrame:
+    # As in SQL, and as for foreign keys, a key with a null in it is equal to no other.
     copies = tables[rule.table].groupBy(*rule.cols).agg(F.count(F.lit(1)).alias("_n"))
-    return copies.agg(*_report(rule.name, F.sum("_n"), F.sum(F.col("_n") - 1)))
+    filled = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in rule.cols])
+    surplus = F.when(filled, F.col("_n") - 1).otherwise(0)
+    return copies.agg(*_report(rule.name, F.sum("_n"), F.sum(surplus)))
 
 
 def _foreign_report(tables: dict[str, DataFrame], rule: ForeignKey) -> DataFrame:

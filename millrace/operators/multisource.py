@@ -62,9 +62,11 @@ def reconcile_sources(
         *[F.max(F.when(F.col(side) == s, row)).alias(f"_{s}") for s in ("left", "right")],
     )
     repeated = (F.col("_n_left") > 1) | (F.col("_n_right") > 1)
+    # In a filter, so that no choice of columns can leave the check out.
+    failure = F.raise_error(F.lit(f"a side repeats a key: {keys}")).cast("boolean")
+    grouped = grouped.filter(F.when(repeated, failure).otherwise(True))
     status = (
-        F.when(repeated, F.raise_error(F.lit(f"a side repeats a key: {keys}")).cast("string"))
-        .when(F.col("_n_right") == 0, "left_only")
+        F.when(F.col("_n_right") == 0, "left_only")
         .when(F.col("_n_left") == 0, "right_only")
         .when(F.col("_left").eqNullSafe(F.col("_right")), "matched")
         .otherwise("differs")
@@ -145,7 +147,7 @@ def point_in_time_join(
 ) -> DataFrame:
     """Left join each fact to the version with ``valid_from <= at < valid_to``.
 
-    ``history`` has no overlapping versions per key. Facts and versions are
+    A fact with a null key matches nothing. ``history`` has no overlapping versions per key. Facts and versions are
     merged by time and the latest version is carried forward, which is linear
     per key where a join on the key alone would pair every fact with every version.
     """
@@ -174,7 +176,9 @@ def point_in_time_join(
 
     def matched(rows: DataFrame, found: Column) -> DataFrame:
         at_facts = rows.withColumn("_found", found).filter(F.col("_kind") == 1)
-        open_now = F.col("_found.valid_to").isNull() | (F.col("_at") < F.col("_found.valid_to"))
+        open_now = F.col(key).isNotNull() & (
+            F.col("_found.valid_to").isNull() | (F.col("_at") < F.col("_found.valid_to"))
+        )
         return at_facts.select(
             key,
             *[F.col(f"_fact.{c}").alias(c) for c in fact_cols],

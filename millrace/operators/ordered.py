@@ -36,12 +36,11 @@ def by_group_size(
     if not keys:
         return whole(df) if df.count() <= max_group_rows else sliced(df)
     large = df.groupBy(*keys).count().filter(F.col("count") > max_group_rows)
+    renamed = {name: f"_large_{i}" for i, name in enumerate(keys)}
+    large = stage(large.select(*[F.col(k).alias(r) for k, r in renamed.items()]), "large-groups")
     if large.isEmpty():
         return whole(df)
-    renamed = {name: f"_large_{i}" for i, name in enumerate(keys)}
-    large = F.broadcast(
-        stage(large.select(*[F.col(k).alias(r) for k, r in renamed.items()]), "large-groups")
-    )
+    large = F.broadcast(large)
     same = _all_equal(renamed)
     usual = whole(df.join(large, same, "left_anti"))
     split = sliced(df.join(large, same, "left_semi"))

@@ -28,7 +28,7 @@ def _totals(mode: str, sets: list[list[str]] | None = None):
 
     def run(spark: SparkSession, root: str) -> DataFrame:
         orders = table(spark, root, "orders")
-        return ops.multi_level_totals(orders, levels, "o_totalprice", mode, sets)
+        return ops.multi_level_totals(orders, levels, "o_totalprice", mode, sets, scale=2)
 
     return run
 
@@ -59,12 +59,13 @@ def running_and_moving(spark: SparkSession, root: str) -> DataFrame:
         "o_custkey", "o_orderdate", "o_orderkey", "o_totalprice"
     )
     return ops.running_and_moving(
-        orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice", MOVING_WIDTH
+        orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice", MOVING_WIDTH, scale=2
     )
 
 
 def period_over_period(spark: SparkSession, root: str) -> DataFrame:
-    return ops.period_over_period(table(spark, root, "orders"), "o_orderdate", "o_totalprice")
+    orders = table(spark, root, "orders")
+    return ops.period_over_period(orders, "o_orderdate", "o_totalprice", scale=2)
 
 
 def pivot_measures(spark: SparkSession, root: str) -> DataFrame:
@@ -116,8 +117,49 @@ def distribution_stats(spark: SparkSession, root: str) -> DataFrame:
 
 
 def approx_distinct(spark: SparkSession, root: str) -> DataFrame:
+    """The sketch beside the exact count: whether it is within three standard deviations."""
+    orders = table(spark, root, "orders")
     year = F.year("o_orderdate").alias("order_year")
-    return ops.approx_distinct(table(spark, root, "orders"), [year], "o_custkey", 0.02)
+    sketch = ops.approx_distinct(orders, [year], "o_custkey", 0.02)
+    exact = orders.groupBy(year).agg(F.count_distinct("o_custkey").alias("n"))
+    within = F.abs(F.col("n_distinct") - F.col("n")) <= 3 * 0.02 * F.col("n")
+    return sketch.join(exact, "order_year").select("order_year", within.alias("within_bound"))
+
+
+def approx_quantiles(spark: SparkSession, root: str) -> DataFrame:
+    """Sketch quantiles beside exact ranks: whether each is off by at most one row in a thousand."""
+    orders = table(spark, root, "orders").select("o_orderpriority", "o_totalprice")
+    shares = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    group = F.col("o_orderpriority")
+    sketch = ops.approx_quantiles(orders, [group], "o_totalprice", shares, 1000)
+    sketch = sketch.withColumnRenamed("o_orderpriority", "of")
+    placed = orders.join(sketch, orders["o_orderpriority"] == sketch["of"])
+    at_most = [F.avg((F.col("o_totalprice") <= F.col(n)).cast("int")).alias(f"_le_{n}") for n in shares]
+    below = [F.avg((F.col("o_totalprice") < F.col(n)).cast("int")).alias(f"_lt_{n}") for n in shares]
+    ranks = placed.groupBy(group).agg(*at_most, *below)
+    within = [
+        ((F.col(f"_le_{n}") >= s - 0.001) & (F.col(f"_lt_{n}") <= s + 0.001)).alias(f"{n}_within")
+        for n, s in shares.items()
+    ]
+    return ranks.select("o_orderpriority", *within)
+
+
+def ranked(spark: SparkSession, root: str) -> DataFrame:
+    """Order priorities repeat, so ranks have ties."""
+    orders = table(spark, root, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
+    return ops.ranked(orders, ["o_custkey"], [F.col("o_orderpriority")])
+
+
+def trailing_range(spark: SparkSession, root: str) -> DataFrame:
+    orders = table(spark, root, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    return ops.trailing_range(orders, ["o_custkey"], "o_orderdate", "o_totalprice", 90, scale=2)
+
+
+def totals_of_plain_values(spark: SparkSession, root: str) -> DataFrame:
+    """Totals of values with more than two places, which are no money."""
+    orders = table(spark, root, "orders").withColumn("share", F.col("o_totalprice") / 7)
+    totals = ops.multi_level_totals(orders, ["o_orderstatus"], "share")
+    return totals.withColumn("total", F.round("total", 3))
 
 
 def _flag_sql(flag: str, name: str) -> str:
@@ -185,7 +227,7 @@ QUERIES = {
             FROM orders GROUP BY 1),
         p AS (SELECT period, total, lag(total) OVER (ORDER BY period) AS previous_total FROM m)
         SELECT period, total, previous_total,
-               (total - previous_total) / previous_total AS change_ratio
+               (total - previous_total) / nullif(previous_total, 0) AS change_ratio
         FROM p""",
     ),
     "pivot_measures": Query(pivot_measures, _PIVOT_SQL),
@@ -244,13 +286,45 @@ QUERIES = {
         """
         SELECT o_orderpriority, count(*) AS n,
                round(min(o_totalprice), 2) AS min, round(max(o_totalprice), 2) AS max,
-               round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*), 2)
-                   AS mean,
+               round(avg(o_totalprice), 2) AS mean,
                round(stddev_samp(o_totalprice), 2) AS stddev,
                round(quantile_cont(o_totalprice, 0.25), 2) AS q1,
                round(quantile_cont(o_totalprice, 0.5), 2) AS median,
                round(quantile_cont(o_totalprice, 0.75), 2) AS q3
         FROM orders GROUP BY 1""",
     ),
-    "approx_distinct": Query(approx_distinct),
+    "approx_distinct": Query(
+        approx_distinct,
+        "SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS order_year, TRUE AS within_bound FROM orders",
+    ),
+    "approx_quantiles": Query(
+        approx_quantiles,
+        """
+        SELECT DISTINCT o_orderpriority, TRUE AS q1_within, TRUE AS median_within,
+               TRUE AS q3_within
+        FROM orders""",
+    ),
+    "ranked": Query(
+        ranked,
+        """
+        SELECT o_custkey, o_orderkey, o_orderpriority, CAST(rank() OVER w AS INTEGER) AS rank,
+               CAST(dense_rank() OVER w AS INTEGER) AS dense_rank
+        FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderpriority)""",
+    ),
+    "trailing_range": Query(
+        trailing_range,
+        """
+        SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice, count(*) OVER w AS n_recent,
+               CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER w AS DOUBLE) AS recent_total
+        FROM orders
+        WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate
+                     RANGE BETWEEN INTERVAL 7775999 SECOND PRECEDING AND CURRENT ROW)""",
+    ),
+    "totals_of_plain_values": Query(
+        totals_of_plain_values,
+        """
+        SELECT o_orderstatus, CAST(grouping(o_orderstatus) AS BIGINT) AS level_id,
+               count(*) AS n_rows, round(sum(o_totalprice / 7), 3) AS total
+        FROM orders GROUP BY ROLLUP (o_orderstatus)""",
+    ),
 }

@@ -66,9 +66,8 @@ def split_rejects(spark: SparkSession, root: str) -> DataFrame:
 
 
 def new_vs_returning(spark: SparkSession, root: str) -> DataFrame:
-    return ops.new_vs_returning(
-        table(spark, root, "orders"), "o_custkey", "o_orderdate", "o_totalprice"
-    )
+    orders = table(spark, root, "orders")
+    return ops.new_vs_returning(orders, "o_custkey", "o_orderdate", "o_totalprice", scale=2)
 
 
 QUERIES = {

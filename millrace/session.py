@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RUNTIME_SETTINGS = {
+    # A value that does not fit fails the job instead of becoming null.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -25,8 +27,8 @@ _scratch_roots: dict[str, str] = {}
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings that results and skew handling rely on.
 
-    Sizes that depend on the cluster, such as the number of shuffle partitions,
-    stay as the cluster has them.
+    They stay set on the caller's session. Sizes that depend on the cluster, such as
+    the number of shuffle partitions, stay as the cluster has them.
     """
     for name, value in RUNTIME_SETTINGS.items():
         spark.conf.set(name, value)
@@ -78,6 +80,18 @@ def stage(df: DataFrame, label: str = "stage", partition_by: tuple[str, ...] = (
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any storage that Spark can open."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def remove_path(spark: SparkSession, uri: str) -> None:
+    """Remove a file or folder that is given by its URI."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def broadcast_if_small(
     df: DataFrame, max_rows: int = 500_000, max_bytes: int = 64 * 1024 * 1024
 ) -> DataFrame:

@@ -121,3 +121,49 @@ def test_total_has_room_and_sign(spark):
     mixed = spark.createDataFrame([(-0.01,), (-20_000.5,), (3.25,), (None,)], "v double")
     assert str(mixed.agg(total("v")).first()[0]) == "-19997.26"
     assert mixed.filter("v is null").agg(total("v")).first()[0] is None
+
+
+def test_cents_are_those_of_the_cast(spark):
+    rows = [(v,) for v in (0.285, 1.005, -0.285, 2.675, 1e13 + 0.015, 0.125, 123456.785, 1e15, None)]
+    df = spark.createDataFrame(rows, "v double")
+    assert df.filter(~cents("v").eqNullSafe((F.col("v").cast("decimal(18,2)") * 100).cast("bigint"))).isEmpty()
+    assert df.select(cents("v")).first()[0] == 29
+
+
+@pytest.mark.parametrize("value", [1e17, float("inf"), float("-inf"), float("nan")])
+def test_amounts_out_of_range_fail(spark, value):
+    with pytest.raises(Exception, match="(?i)overflow|out of range|cannot be"):
+        spark.createDataFrame([(value,)], "v double").agg(total("v")).collect()
+
+
+def test_plain_values_are_not_cut(spark):
+    df = spark.createDataFrame([("g", v) for v in (0.001, 0.002, 0.004, 0.125)], "g string, v double")
+    assert ops.distribution_stats(df, "g", "v").first().mean == pytest.approx(0.033)
+    assert ops.multi_level_totals(df, ["g"], "v").first().total == pytest.approx(0.132)
+    for limit in (0, 100):
+        rows = ops.running_and_moving(df, ["g"], ["v"], "v", 2, limit, 2).orderBy("v").collect()
+        assert [r.running_total for r in rows] == pytest.approx([0.001, 0.003, 0.007, 0.132])
+    with pytest.raises(ValueError):
+        total("v", scale=3)
+
+
+def test_a_period_after_nothing_has_no_ratio(spark):
+    rows = [(datetime(2024, 1, 5), 0.0), (datetime(2024, 2, 5), 3.0)]
+    df = spark.createDataFrame(rows, "d timestamp_ntz, v double")
+    out = ops.period_over_period(df, "d", "v", scale=2).orderBy("period").collect()
+    assert [r.change_ratio for r in out] == [None, None]
+
+
+def test_cohorts_leave_out_rows_without_a_key(spark):
+    rows = [(1, datetime(2024, 1, 5)), (None, datetime(2024, 1, 6))]
+    df = spark.createDataFrame(rows, "k bigint, d timestamp_ntz")
+    assert [r.n_keys for r in ops.cohort_retention(df, "k", "d").collect()] == [1]
+
+
+def test_ranks_and_trailing_range(spark):
+    rows = [("a", datetime(2024, 1, d), float(d)) for d in (1, 1, 3, 9)]
+    df = spark.createDataFrame(rows, "g string, t timestamp_ntz, v double")
+    ranks = ops.ranked(df, ["g"], [F.col("t")]).orderBy("t").collect()
+    assert [(r["rank"], r.dense_rank) for r in ranks] == [(1, 1), (1, 1), (3, 2), (4, 3)]
+    recent = ops.trailing_range(df, ["g"], "t", "v", 3).orderBy("t").collect()
+    assert [(r.n_recent, r.recent_total) for r in recent] == [(2, 2.0), (2, 2.0), (3, 5.0), (1, 9.0)]

@@ -80,5 +80,14 @@ def test_new_vs_returning(spark):
     data = [("x", day(1, 1), 1.10), ("x", day(1, 9), 2.20), ("x", day(3, 1), 3.0),
             ("y", day(3, 2), 4.0)]
     df = spark.createDataFrame(data, "c string, at timestamp_ntz, v double")
-    out = ops.new_vs_returning(df, "c", "at", "v").orderBy("period")
+    out = ops.new_vs_returning(df, "c", "at", "v", scale=2).orderBy("period")
     assert [tuple(r)[1:] for r in out.collect()] == [(1, 0, 3.3), (1, 1, 7.0)]
+
+
+def test_upsert_with_null_keys_can_be_rerun(spark):
+    target = spark.createDataFrame([(1, "a"), (None, "b")], "k bigint, v string")
+    new = spark.createDataFrame([(None, "c"), (2, "d")], "k bigint, v string")
+    once = ops.upsert_by_key(target, new, ["k"])
+    twice = ops.upsert_by_key(once, new, ["k"])
+    for out in (once, twice):
+        assert sorted(map(tuple, out.collect()), key=str) == [(1, "a"), (2, "d"), (None, "c")]

@@ -91,3 +91,20 @@ def test_constraints_on_empty_tables(spark):
     ]
     found = ops.check_constraints({"t": empty}, rules).collect()
     assert {tuple(r) for r in found} == {("unique", 0, 0), ("foreign", 0, 0), ("domain", 0, 0)}
+
+
+def test_conform_fails_on_a_bad_value_on_any_session(spark):
+    from millrace.session import prepare
+
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    prepare(spark)
+    df = spark.createDataFrame([("abc",)], "v string")
+    target = StructType([StructField("v", IntegerType())])
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        ops.conform_schema(df, target, {"v": F.col("v")}).collect()
+
+
+def test_unique_keys_with_nulls_are_no_copies(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (2, 2), (2, 2)], "a int, b int")
+    out = ops.check_constraints({"t": df}, [ops.UniqueKey("u", "t", ("a", "b"))]).first()
+    assert (out.checked, out.violations) == (4, 1)

@@ -78,3 +78,19 @@ def test_point_in_time_bounds(spark):
         [("k", t[0], None), ("k", t[1], "a"), ("k", t[2], "b"), ("k", t[2], "b"),
          ("k", t[3], None), ("other", t[1], None), (None, t[1], None)], key=repr,
     )
+
+
+def test_reconcile_refuses_a_repeated_key_whatever_is_asked(spark):
+    left = spark.createDataFrame([(1, 1), (1, 2)], "k int, m int")
+    right = spark.createDataFrame([(1, 1)], "k int, m int")
+    out = ops.reconcile_sources(left, right, ["k"], ["m"])
+    for use in (out.count, out.select("k").collect):
+        with pytest.raises(Exception, match="repeats a key"):
+            use()
+
+
+def test_a_fact_without_key_matches_no_version(spark):
+    facts = spark.createDataFrame([(None, 5), (1, 5)], "k int, at int")
+    history = spark.createDataFrame([(None, 0, None, "x"), (1, 0, None, "y")], "k int, valid_from int, valid_to int, v string")
+    out = ops.point_in_time_join(facts, history, "k", "at")
+    assert sorted((r.k is None, r.v) for r in out.collect()) == [(False, "y"), (True, None)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -30,5 +30,13 @@ def checked_csv(col: str, schema: StructType) -> Column:
     return F.from_csv(F.col(col), ddl, OPTIONS)
 
 
+def once(df: DataFrame, parsed: Column, name: str) -> DataFrame:
+    """Add a column that is worked out once per row, however often filters and fields use it.
+
+    A generator keeps the optimizer from copying the expression to each place of use.
+    """
+    return df.select("*", F.inline(F.array(F.struct(parsed.alias(name)))))
+
+
 def readable(parsed: str) -> Column:
     return F.col(parsed).isNotNull() & F.col(f"{parsed}.{CORRUPT}").isNull()

@@ -31,6 +31,19 @@ def _landed(spark: SparkSession, root: str):
     return lake.land_raw(spark, path, "json", events.schema)
 
 
+def land_raw_csv(spark: SparkSession, root: str) -> DataFrame:
+    """All events as CSV lines, typed again; error events come once more with a broken time."""
+    path = scratch_path(spark, "landing-csv")
+    events = table(spark, root, "events")
+    lake.write_csv_lines(events, path)
+    errors = events.filter("event_type = 'error'")
+    broken = F.concat_ws(",", "event_id", F.lit("no time"), "user_id", "event_type", "value")
+    errors.select(broken.alias("value")).write.mode("append").text(path)
+    split = lake.land_raw(spark, path, "csv", events.schema)
+    good = split.valid.withColumn("line", F.lit(""))
+    return good.unionByName(split.rejects, allowMissingColumns=True)
+
+
 def land_raw(spark: SparkSession, root: str) -> DataFrame:
     return _landed(spark, root).valid
 
@@ -45,7 +58,18 @@ def parse_json_column(spark: SparkSession, root: str) -> DataFrame:
 
 
 def promote_layers(spark: SparkSession, root: str) -> DataFrame:
-    _, mart = lake.promote_layers(table(spark, root, "events"), scratch_path(spark, "layers"))
+    """All events in three loads that share days.
+
+    The first load has earlier versions of the error events, with another day and type, which
+    the later loads correct.
+    """
+    events, layers = table(spark, root, "events"), scratch_path(spark, "layers")
+    early = events.filter("event_type = 'error'").withColumns(
+        {"ts": F.col("ts") - F.expr("interval 1 day"), "event_type": F.lit("draft")}
+    )
+    third = F.col("event_id") % 3
+    for load in (events.filter(third == 0).unionByName(early), events.filter(third == 1), events.filter(third == 2)):
+        _, mart = lake.promote_layers(load, layers)
     stored = spark.read.schema(lake.MART_SCHEMA).parquet(mart)
     return stored.select(
         F.col("event_date").cast("timestamp_ntz").alias("day"),
@@ -87,6 +111,15 @@ def lake_inventory(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES = {
     "land_raw": Query(land_raw, "SELECT * FROM events"),
+    "land_raw_csv": Query(
+        land_raw_csv,
+        """
+        SELECT *, '' AS line FROM events
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL, NULL, NULL,
+               concat_ws(',', event_id, 'no time', user_id, event_type, value)
+        FROM events WHERE event_type = 'error'""",
+    ),
     "land_raw_corrupt": Query(
         land_raw_corrupt,
         """

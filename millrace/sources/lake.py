@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.functions.money import total
-from millrace.functions.parsing import TIMESTAMP_FORMAT, checked_csv, checked_json, readable
+from millrace.functions.parsing import TIMESTAMP_FORMAT, checked_csv, checked_json, once, readable
 from millrace.operators.etl import Split, dedupe_latest, overwrite_partitions
-from millrace.session import settings
+from millrace.session import path_exists, remove_path, settings, stage
 
 CLEAN_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, value double, props string, "
     "event_date date, event_type string"
 )
+CLEAN_PARTS = ["event_date", "event_type"]
 MART_SCHEMA = "event_type string, n_events bigint, total_value double, event_date date"
 
 
@@ -24,6 +27,12 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.select(F.to_json(F.struct("*"), options).alias("value")).write.mode("append").text(path)
 
 
+def write_csv_lines(df: DataFrame, path: str) -> None:
+    """One CSV line per row, times to the microsecond."""
+    options = {"timestampNTZFormat": TIMESTAMP_FORMAT}
+    df.select(F.to_csv(F.struct("*"), options).alias("value")).write.mode("append").text(path)
+
+
 def land_raw(spark: SparkSession, path: str, file_format: str, schema: StructType) -> Split:
     """Read JSON or CSV lines with a declared schema: (typed rows, unreadable lines whole).
 
@@ -33,16 +42,16 @@ def land_raw(spark: SparkSession, path: str, file_format: str, schema: StructTyp
     parsers = {"json": checked_json, "csv": checked_csv}
     if file_format not in parsers:
         raise ValueError(f"not a line format: {file_format}")
-    lines = (
-        spark.read.text(path)
-        .filter(F.trim("value") != "")
-        .withColumn("_row", parsers[file_format]("value", schema))
-    )
-    good = lines.filter(readable("_row")).select(
-        *[F.col(f"_row.{n}").alias(n) for n in schema.names]
+    flag = "_is_valid"
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    tagged = once(lines, parsers[file_format]("value", schema), "_row").withColumn(
+        flag, readable("_row")
     )
-    corrupt = lines.filter(~readable("_row")).select(F.col("value").alias("line"))
-    return Split(good, corrupt)
+    # Stored in two parts, so that both results come from one pass over the source.
+    landed = tagged.withColumn("value", F.when(~F.col(flag), F.col("value")))
+    stored = stage(landed, "landed", (flag,))
+    good = stored.filter(F.col(flag)).select(*[F.col(f"_row.{n}").alias(n) for n in schema.names])
+    return Split(good, stored.filter(~F.col(flag)).select(F.col("value").alias("line")))
 
 
 def parse_json_column(df: DataFrame, col: str, schema: StructType) -> DataFrame:
@@ -54,31 +63,89 @@ def parse_json_column(df: DataFrame, col: str, schema: StructType) -> DataFrame:
 
 
 def promote_clean(raw: DataFrame, root: str) -> str:
-    """Raw events to the clean layer: one row per event, by date and type; returns its path."""
-    path = f"{root}/clean"
-    clean = dedupe_latest(raw, ["event_id"], ["ts"]).withColumn("event_date", F.to_date("ts"))
-    overwrite_partitions(clean, path, ["event_date", "event_type"])
-    return path
+    """Merge raw events into the clean layer: one row per event, the newest, by date and type.
+
+    Returns the layer's path. See ``merge_clean``.
+    """
+    return merge_clean(raw, root)[0]
 
 
-def promote_mart(clean: DataFrame, root: str) -> str:
-    """Clean events to daily counts; returns the path of the mart."""
-    path = f"{root}/mart"
+def merge_clean(raw: DataFrame, root: str) -> tuple[str, DataFrame]:
+    """``promote_clean``, and the partitions it touched.
+
+    Touched are the partitions of the new rows and those that hold older copies of the same
+    events, which may have another date or type. These are read, merged and rewritten; all others
+    stay as they are. Of copies with one time the later load wins. A rerun changes nothing.
+    """
+    spark, path = raw.sparkSession, f"{root}/clean"
+    new = dedupe_latest(raw, ["event_id"], ["ts"]).withColumn("event_date", F.to_date("ts"))
+    new = stage(new.select(*spark.createDataFrame([], CLEAN_SCHEMA).columns), "new-events")
+    touched, merged = new.select(*CLEAN_PARTS), new.withColumn("_load", F.lit(1))
+    if path_exists(spark, path):
+        old = spark.read.schema(CLEAN_SCHEMA).parquet(path)
+        holders = old.join(new.select("event_id"), "event_id", "left_semi").select(*CLEAN_PARTS)
+        touched = stage(touched.union(holders).distinct(), "touched")
+        kept = _in_partitions(old, touched, CLEAN_PARTS).withColumn("_load", F.lit(0))
+        merged = merged.unionByName(kept)
+    else:
+        touched = stage(touched.distinct(), "touched")
+    merged = stage(dedupe_latest(merged, ["event_id"], ["ts", "_load"]).drop("_load"), "merged")
+    overwrite_partitions(merged, path, CLEAN_PARTS)
+    _drop_emptied(spark, path, CLEAN_SCHEMA, touched, merged, CLEAN_PARTS)
+    return path, touched
+
+
+def promote_mart(clean: DataFrame, root: str, days: DataFrame | None = None) -> str:
+    """Clean events to daily counts, of the given days or of all; returns the path of the mart."""
+    spark, path = clean.sparkSession, f"{root}/mart"
+    if days is not None:
+        clean = _in_partitions(clean, days, ["event_date"])
     daily = clean.groupBy("event_date", "event_type").agg(
         F.count(F.lit(1)).alias("n_events"), total("value").cast("double").alias("total_value")
     )
+    daily = stage(daily, "daily")
     overwrite_partitions(daily, path, ["event_date"])
+    if days is not None:
+        _drop_emptied(spark, path, MART_SCHEMA, days, daily, ["event_date"])
     return path
 
 
 def promote_layers(raw: DataFrame, root: str) -> tuple[str, str]:
-    """raw -> clean -> mart. Each step rewrites only the partitions it has, so it can be rerun."""
+    """raw -> clean -> mart, a load at a time.
+
+    A load rewrites the partitions of the clean layer that it touches and the days of
+    the mart that these belong to. It can be rerun.
+    """
     spark = raw.sparkSession
-    clean = promote_clean(raw, root)
-    mart = promote_mart(spark.read.schema(CLEAN_SCHEMA).parquet(clean), root)
+    clean, touched = merge_clean(raw, root)
+    days = stage(touched.select("event_date").distinct(), "days")
+    mart = promote_mart(spark.read.schema(CLEAN_SCHEMA).parquet(clean), root, days)
     return clean, mart
 
 
+def _same_partition(parts: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_in_{c}")) for c in parts])
+
+
+def _in_partitions(df: DataFrame, chosen: DataFrame, parts: list[str], how: str = "left_semi") -> DataFrame:
+    names = chosen.select(*[F.col(c).alias(f"_in_{c}") for c in parts]).distinct()
+    return df.join(names, _same_partition(parts), how)
+
+
+def _drop_emptied(
+    spark: SparkSession, path: str, schema: str, touched: DataFrame, written: DataFrame, parts: list[str]
+) -> None:
+    """Remove touched partitions that got no row; an overwrite by partition leaves them standing."""
+    emptied = _in_partitions(touched, written.select(*parts), parts, "left_anti")
+    if not path_exists(spark, path) or emptied.isEmpty():
+        return
+    stored = spark.read.schema(schema).parquet(path).withColumn("_file", F.col("_metadata.file_path"))
+    folder = F.regexp_extract("_file", "^(.*)/[^/]*$", 1)
+    gone = _in_partitions(stored, emptied, parts).select(folder.alias("folder")).distinct()
+    for row in gone.toLocalIterator():  # one per emptied partition
+        remove_path(spark, row["folder"])
+
+
 def read_pruned(spark: SparkSession, path: str, schema: str, predicate: Column) -> DataFrame:
     """Read the directories that match a predicate on partition columns."""
     return spark.read.schema(schema).parquet(path).filter(predicate)
@@ -107,19 +174,29 @@ def compact_files(
 def lake_inventory(
     spark: SparkSession, path: str, schema: str, partition_cols: list[str]
 ) -> DataFrame:
-    """(partition columns, n_files, n_rows, n_bytes), read from file metadata only."""
-    per_file = (
-        spark.read.schema(schema)
-        .parquet(path)
-        .groupBy(
-            *partition_cols,
+    """(partition columns, n_files, n_rows, n_bytes), files without rows included.
+
+    Files and sizes come from a listing that opens no content; rows are counted by file.
+    """
+    types = spark.createDataFrame([], schema).schema
+    listed = (
+        spark.read.format("binaryFile")
+        .load(path)
+        .select(
+            *[F.col(c).cast(types[c].dataType).alias(c) for c in partition_cols],
             F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_size").alias("_bytes"),
+            F.col("length").alias("_bytes"),
         )
+    )
+    counted = (
+        spark.read.schema(schema)
+        .parquet(path)
+        .groupBy(F.col("_metadata.file_path").alias("_counted"))
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    return per_file.groupBy(*partition_cols).agg(
+    files = listed.join(counted, F.col("_file") == F.col("_counted"), "left")
+    return files.groupBy(*partition_cols).agg(
         F.count(F.lit(1)).alias("n_files"),
-        F.sum("_rows").alias("n_rows"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("n_rows"),
         F.sum("_bytes").alias("n_bytes"),
     )

@@ -40,11 +40,15 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(table_path(root, name))
 
 
-def table_stream(spark: SparkSession, root: str, name: str) -> DataFrame:
+def table_stream(
+    spark: SparkSession, root: str, name: str, max_files_per_trigger: int = 1000
+) -> DataFrame:
     """The same table as a file stream.
 
-    The path is written as a pattern because a file stream takes a single file
-    only through one; it matches a folder of files just as well.
+    A micro-batch takes at most ``max_files_per_trigger`` files, so that a backlog is worked
+    off in several. The path is written as a pattern because a file stream takes a
+    single file only through one; it matches a folder of files just as well.
     """
     pattern = table_path(root, f"{{{name}}}")
-    return spark.readStream.schema(TABLES[name]).parquet(pattern)
+    reader = spark.readStream.schema(TABLES[name])
+    return reader.option("maxFilesPerTrigger", max_files_per_trigger).parquet(pattern)

@@ -108,3 +108,57 @@ def test_compaction_splits_a_large_partition(spark, medium):
     stock = lake.lake_inventory(spark, dst, schema, ["event_type"]).first()
     assert stock.n_rows == 10_000
     assert stock.n_files > 1
+
+
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def load(spark, root, *rows):
+    raw = spark.createDataFrame([(i, t, 1, kind, 1.0, "") for i, t, kind in rows], EVENTS)
+    clean, mart = lake.promote_layers(raw, root)
+    stored = spark.read.schema(lake.CLEAN_SCHEMA).parquet(clean)
+    days = spark.read.schema(lake.MART_SCHEMA).parquet(mart)
+    return (
+        sorted((r.event_id, r.ts.day, r.event_type) for r in stored.collect()),
+        sorted((r.event_date.day, r.event_type, r.n_events) for r in days.collect()),
+    )
+
+
+def test_a_second_load_of_a_day_keeps_the_first(spark):
+    root = scratch_path(spark, "test-second-load")
+    load(spark, root, (1, datetime(2024, 1, 1, 1), "view"))
+    clean, mart = load(spark, root, (2, datetime(2024, 1, 1, 2), "view"))
+    assert clean == [(1, 1, "view"), (2, 1, "view")] and mart == [(1, "view", 2)]
+
+
+def test_an_event_that_moves_is_kept_once(spark):
+    root = scratch_path(spark, "test-moving")
+    load(spark, root, (1, datetime(2024, 1, 1, 1), "view"), (2, datetime(2024, 1, 1, 1), "click"))
+    moved = [(2, datetime(2024, 1, 3), "view"), (3, datetime(2024, 1, 3), "view")]
+    expected = [(1, 1, "view"), (2, 3, "view"), (3, 3, "view")], [(1, "view", 1), (3, "view", 2)]
+    for _ in range(2):
+        assert load(spark, root, *moved) == expected
+    # An older copy that comes late changes nothing; one of the same time replaces.
+    assert load(spark, root, (2, datetime(2024, 1, 2), "click")) == expected
+    assert load(spark, root, (3, datetime(2024, 1, 3), "click"))[0][-1] == (3, 3, "click")
+    # A day that loses its last event leaves both layers.
+    clean, mart = load(spark, root, (1, datetime(2024, 1, 3), "view"))
+    assert {day for _, day, _ in clean} == {3} == {day for day, _, _ in mart}
+
+
+def test_inventory_counts_files_without_rows(spark):
+    root = scratch_path(spark, "test-empty-file")
+    spark.range(8).withColumn("part", F.lit("a")).repartition(4).write.partitionBy("part").parquet(root)
+    spark.range(0).coalesce(1).write.mode("append").parquet(f"{root}/part=a")
+    stock = lake.lake_inventory(spark, root, "id bigint, part string", ["part"]).first()
+    files = spark.read.format("binaryFile").load(root).count()
+    assert files > 4 and (stock.n_files, stock.n_rows) == (files, 8)
+
+
+def test_lines_are_parsed_once(spark, capsys):
+    from millrace.functions.parsing import checked_json, once, readable
+
+    lines_ = spark.createDataFrame([("{}",)], "value string")
+    rows = once(lines_, checked_json("value", PAIR), "_row")
+    rows.filter(readable("_row")).select("_row.a", "_row.b").explain()
+    assert capsys.readouterr().out.count("from_json") == 1

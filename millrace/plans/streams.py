@@ -13,6 +13,7 @@ from millrace.streaming import jobs, run
 
 PROPS = StructType([StructField("k", IntegerType())])
 GAP_SECONDS = 3600
+LATE_DAY = "2024-01-10"
 
 
 def _events(spark: SparkSession, root: str) -> DataFrame:
@@ -23,16 +24,31 @@ def _plain(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n in names})
 
 
+def _each_batch(stream: DataFrame, mode: str, label: str) -> DataFrame:
+    """All micro-batches of a stream, read back."""
+    spark = stream.sparkSession
+    out = scratch_path(spark, label)
+    run.each_batch(stream, mode, run.replace_batches(out), scratch_path(spark, f"{label}-checkpoint"))
+    return spark.read.schema(stream.schema).parquet(f"{out}/batch=*")
+
+
 def stream_decode(spark: SparkSession, root: str) -> DataFrame:
     """Payloads of error events are cut short first, so that there is something to reject."""
     cut = F.when(F.col("event_type") == "error", F.expr("left(props, 4)")).otherwise(F.col("props"))
     stream = table_stream(spark, root, "events").select("event_id", cut.alias("props"))
-    split = jobs.stream_decode(stream, "props", PROPS)
-    typed = run.append_and_read(split.valid, "decoded")
-    rejects = run.append_and_read(split.rejects, "undecoded")
-    return typed.withColumn("rejected", F.lit(False)).unionByName(
-        rejects.withColumn("rejected", F.lit(True)).withColumn("k", F.lit(-1))
+    decoded = jobs.stream_decode(stream, "props", PROPS)
+    out = scratch_path(spark, "decoded")
+    sinks = {
+        "typed": lambda batch: batch.filter(~F.col("rejected")),
+        "rejects": lambda batch: batch.filter("rejected"),
+    }
+    run.each_batch(
+        decoded, "append", run.multi_sink(sinks, out), scratch_path(spark, "decoded-checkpoint")
     )
+    typed, rejects = (
+        spark.read.schema(decoded.schema).parquet(f"{out}/{name}/batch=*") for name in sinks
+    )
+    return typed.unionByName(rejects.withColumn("k", F.lit(-1)))
 
 
 def stream_dedupe(spark: SparkSession, root: str) -> DataFrame:
@@ -41,19 +57,14 @@ def stream_dedupe(spark: SparkSession, root: str) -> DataFrame:
 
 
 def stream_tumbling(spark: SparkSession, root: str) -> DataFrame:
-    closed = jobs.stream_tumbling(_events(spark, root), "1 day")
+    closed = jobs.stream_tumbling(_events(spark, root), "1 day", scale=2)
     return _plain(run.append_and_read(closed, "tumbling"), "window_start", "window_end")
 
 
 def stream_sliding(spark: SparkSession, root: str) -> DataFrame:
-    windows = jobs.stream_sliding(_events(spark, root), "1 day", "12 hours")
-    out = scratch_path(spark, "sliding")
-    query = run.each_batch(
-        windows, "complete", run.replace_batches(out), scratch_path(spark, "sliding-checkpoint")
-    )
-    newest = run.batch_folder(out, query.lastProgress["batchId"])
-    stored = spark.read.schema(windows.schema).parquet(newest)
-    return _plain(stored, "window_start", "window_end")
+    windows = jobs.stream_sliding(_events(spark, root), "1 day", "12 hours", scale=2)
+    newest = jobs.newest_windows(_each_batch(windows, "update", "sliding"))
+    return _plain(newest, "window_start", "window_end")
 
 
 def stream_session(spark: SparkSession, root: str) -> DataFrame:
@@ -62,14 +73,15 @@ def stream_session(spark: SparkSession, root: str) -> DataFrame:
 
 
 def stream_late_rows(spark: SparkSession, root: str) -> DataFrame:
-    """Error events are delivered after all others, so most of them come too late.
+    """Error events and one whole day are delivered after all others, so most come too late.
 
     The second delivery resumes from the checkpoint of the first.
     """
     landing, out = scratch_path(spark, "deliveries"), scratch_path(spark, "late")
     checkpoint = scratch_path(spark, "late-checkpoint")
     schema = TABLES["events"]
-    late = F.col("event_type") == "error"
+    day = F.lit(LATE_DAY).cast("date")
+    late = (F.col("event_type") == "error") | (F.to_date("ts") == day)
     for delivery in (~late, late):
         table(spark, root, "events").filter(delivery).write.mode("append").parquet(landing)
         arriving = jobs.event_time(spark.readStream.schema(schema).parquet(landing))
@@ -79,9 +91,18 @@ def stream_late_rows(spark: SparkSession, root: str) -> DataFrame:
     return jobs.with_dropped(counted, spark.read.schema(schema).parquet(landing), "1 day")
 
 
-def stream_enrich(spark: SparkSession, root: str) -> DataFrame:
+def _enrichment(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     events = table_stream(spark, root, "events").select("event_id", "user_id")
-    dim = table(spark, root, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return events, table(spark, root, "customer").select("c_custkey", "c_name", "c_mktsegment")
+
+
+def stream_enrich(spark: SparkSession, root: str) -> DataFrame:
+    enriched = jobs.stream_enrich(*_enrichment(spark, root), {"user_id": "c_custkey"})
+    return run.append_and_read(enriched, "enriched")
+
+
+def stream_enrich_each_batch(spark: SparkSession, root: str) -> DataFrame:
+    events, dim = _enrichment(spark, root)
     out = scratch_path(spark, "enriched")
     enrich = jobs.enrich_each_batch(dim, {"user_id": "c_custkey"}, run.replace_batches(out))
     run.each_batch(events, "append", enrich, scratch_path(spark, "enriched-checkpoint"))
@@ -104,12 +125,7 @@ def stream_interval_join(spark: SparkSession, root: str) -> DataFrame:
 
 def stream_keyed_state(spark: SparkSession, root: str) -> DataFrame:
     updates = jobs.stream_keyed_state(table_stream(spark, root, "events"), "user_id")
-    out = scratch_path(spark, "state")
-    run.each_batch(
-        updates, "update", run.replace_batches(out), scratch_path(spark, "state-checkpoint")
-    )
-    stored = spark.read.schema(updates.schema).parquet(f"{out}/batch=*")
-    return jobs.merge_slots(stored, "user_id")
+    return jobs.latest_state(_each_batch(updates, "update", "state"), "user_id")
 
 
 def stream_multi_sink(spark: SparkSession, root: str) -> DataFrame:
@@ -131,6 +147,9 @@ def stream_multi_sink(spark: SparkSession, root: str) -> DataFrame:
     return stored[0].unionByName(stored[1])
 
 
+_ENRICHED_SQL = """
+    SELECT event_id, user_id, c_name, c_mktsegment
+    FROM events LEFT JOIN customer ON user_id = c_custkey"""
 _CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
 
 QUERIES = {
@@ -183,11 +202,12 @@ QUERIES = {
     "stream_late_rows": Query(
         stream_late_rows,
         """
-        WITH w1 AS (SELECT max(ts) - INTERVAL 1 HOUR AS t FROM events WHERE event_type <> 'error'),
+        WITH w1 AS (SELECT max(ts) - INTERVAL 1 HOUR AS t FROM events
+                    WHERE event_type <> 'error' AND CAST(ts AS DATE) <> DATE '2024-01-10'),
         w2 AS (SELECT max(ts) - INTERVAL 1 HOUR AS t FROM events),
         d AS (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
                      CAST(date_trunc('day', ts) AS TIMESTAMP) + INTERVAL 1 DAY AS window_end,
-                     event_type = 'error' AS late,
+                     event_type = 'error' OR CAST(ts AS DATE) = DATE '2024-01-10' AS late,
                      CAST(date_trunc('day', ts) AS TIMESTAMP) + INTERVAL 1 DAY <= w1.t AS shut
               FROM events, w1)
         SELECT window_start, window_end,
@@ -195,12 +215,8 @@ QUERIES = {
                count(*) FILTER (late AND shut) AS n_dropped
         FROM d, w2 WHERE window_end <= w2.t GROUP BY 1, 2""",
     ),
-    "stream_enrich": Query(
-        stream_enrich,
-        """
-        SELECT event_id, user_id, c_name, c_mktsegment
-        FROM events LEFT JOIN customer ON user_id = c_custkey""",
-    ),
+    "stream_enrich": Query(stream_enrich, _ENRICHED_SQL),
+    "stream_enrich_each_batch": Query(stream_enrich_each_batch, _ENRICHED_SQL),
     "stream_interval_join": Query(
         stream_interval_join,
         """

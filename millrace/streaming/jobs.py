@@ -3,19 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.functions.money import total
-from millrace.functions.parsing import checked_json, readable
-from millrace.operators.etl import Split
-from millrace.operators.ordered import MAX_GROUP_ROWS, join_unique
-from millrace.streaming.state import CountAndLast
+from millrace.functions.parsing import checked_json, once, readable
 
 DELAY = "1 hour"
-SLOT = "_slot"
 
 
 def event_time(stream: DataFrame, ts: str = "ts") -> DataFrame:
@@ -23,71 +20,95 @@ def event_time(stream: DataFrame, ts: str = "ts") -> DataFrame:
     return stream.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def stream_decode(stream: DataFrame, col: str, schema: StructType) -> Split:
-    """Typed columns from a JSON payload, and the rows whose payload does not parse."""
-    rows = stream.withColumn("_json", checked_json(col, schema))
-    typed = rows.filter(readable("_json")).select(
-        *stream.columns, *[F.col(f"_json.{n}").alias(n) for n in schema.names]
-    )
-    return Split(typed, rows.filter(~readable("_json")).select(*stream.columns))
+def stream_decode(stream: DataFrame, col: str, schema: StructType) -> DataFrame:
+    """Typed columns from a JSON payload, and ``rejected``: whether it does not parse.
+
+    One stream for both kinds of rows, parsed once; several sinks may share it.
+    """
+    rows = once(stream, checked_json(col, schema), "_json")
+    bad = ~readable("_json")
+    fields = [F.when(~bad, F.col(f"_json.{n}")).alias(n) for n in schema.names]
+    return rows.select(*stream.columns, *fields, bad.alias("rejected"))
 
 
 def stream_dedupe(
-    stream: DataFrame, keys: list[str], ts: str = "ts", delay: str = DELAY, slots: int = 16
+    stream: DataFrame, keys: list[str], ts: str = "ts", delay: str = DELAY
 ) -> DataFrame:
     """First arrival per key; duplicates are recognised within the delay.
 
-    Copies of one key are first reduced per slot of the task that read them, so
-    that the final step sees at most ``slots`` copies of any key and batch.
+    One state store, which the watermark empties.
     """
-    timed = stream.withWatermark(ts, delay)
-    slotted = timed.withColumn(SLOT, F.spark_partition_id() % slots)
-    return (
-        slotted.dropDuplicatesWithinWatermark([*keys, SLOT])
-        .drop(SLOT)
-        .dropDuplicatesWithinWatermark(keys)
-    )
+    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
 def stream_tumbling(
-    stream: DataFrame, width: str, ts: str = "ts", delay: str = DELAY, value: str = "value"
+    stream: DataFrame,
+    width: str,
+    ts: str = "ts",
+    delay: str = DELAY,
+    value: str = "value",
+    scale: int | None = None,
 ) -> DataFrame:
-    """Count and total per closed window; meant for append mode."""
-    return _windowed(stream.withWatermark(ts, delay), F.window(ts, width), value)
+    """Count and total per closed window; meant for append mode. ``scale`` is 2 for money."""
+    return _windowed(stream.withWatermark(ts, delay), F.window(ts, width), value, scale)
 
 
 def with_dropped(
-    counted: DataFrame, arrived: DataFrame, width: str, ts: str = "ts"
+    counted: DataFrame, arrived: DataFrame, width: str, ts: str = "ts", delay: str = DELAY
 ) -> DataFrame:
     """Per closed window: rows counted by the stream, and rows that arrived too late for it.
 
-    The progress of a query reports drops after partial aggregation; comparing
-    with all rows that arrived gives the exact number.
+    A window is closed once the newest arrival lies ``delay`` past its end. One whose rows all
+    came too late was never counted and is reported as well. The progress of a query reports
+    drops after partial aggregation; comparing with all rows that arrived gives the exact number.
     """
+    newest = arrived.agg(F.max(ts)).first()[0]
     window = F.window(ts, width).alias("_w")
-    all_rows = arrived.groupBy(window).agg(F.count(F.lit(1)).alias("_arrived"))
-    all_rows = all_rows.select(F.col("_w.start").alias("window_start"), "_arrived")
-    return counted.join(all_rows, "window_start").select(
-        "window_start",
-        "window_end",
-        F.col("n_rows").alias("n_counted"),
-        (F.col("_arrived") - F.col("n_rows")).alias("n_dropped"),
+    closed = F.col("_w.end") <= F.lit(newest) - F.expr(f"interval {delay}")
+    all_rows = (
+        arrived.groupBy(window)
+        .agg(F.count(F.lit(1)).alias("_arrived"))
+        .filter(closed)
+        .select(F.col("_w.start").alias("_start"), F.col("_w.end").alias("_end"), "_arrived")
+    )
+    n_counted = F.coalesce("n_rows", F.lit(0))
+    return all_rows.join(counted, F.col("_start") == F.col("window_start"), "left").select(
+        F.col("_start").alias("window_start"),
+        F.col("_end").alias("window_end"),
+        n_counted.alias("n_counted"),
+        (F.col("_arrived") - n_counted).alias("n_dropped"),
     )
 
 
 def stream_sliding(
-    stream: DataFrame, width: str, slide: str, ts: str = "ts", value: str = "value"
+    stream: DataFrame,
+    width: str,
+    slide: str,
+    ts: str = "ts",
+    delay: str = DELAY,
+    value: str = "value",
+    scale: int | None = None,
 ) -> DataFrame:
-    """Count and total per overlapping window; meant for complete mode."""
-    return _windowed(stream, F.window(ts, width, slide), value)
+    """Count and total per overlapping window; meant for update mode. ``scale`` is 2 for money.
+
+    The watermark removes closed windows from the state.
+    """
+    return _windowed(stream.withWatermark(ts, delay), F.window(ts, width, slide), value, scale)
+
 
+def newest_windows(updates: DataFrame) -> DataFrame:
+    """The last of all updates of each window, which is the one with most rows."""
+    return updates.groupBy("window_start", "window_end").agg(
+        F.max("n_rows").alias("n_rows"), F.max_by("total", "n_rows").alias("total")
+    )
 
-def _windowed(stream: DataFrame, window: Column, value: str) -> DataFrame:
+
+def _windowed(stream: DataFrame, window: Column, value: str, scale: int | None) -> DataFrame:
     return (
         stream.groupBy(window.alias("_w"))
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
-            total(value).cast("double").alias("total"),
+            total(value, scale=scale).cast("double").alias("total"),
         )
         .select(
             F.col("_w.start").alias("window_start"),
@@ -116,31 +137,25 @@ def stream_session(
 
 
 def stream_enrich(stream: DataFrame, dim: DataFrame, on: dict[str, str]) -> DataFrame:
-    """Left join to a static table that is unique on its key; unmatched rows stay.
+    """Left join to a static table that is unique on its key; unmatched rows stay."""
+    return stream.join(dim, _equal(on), "left").drop(*on.values())
 
-    For a table that Spark broadcasts; ``enrich_each_batch`` is for larger ones.
-    """
-    same = None
-    for left, right in on.items():
-        equal = F.col(left) == F.col(right)
-        same = equal if same is None else same & equal
-    return stream.join(dim, same, "left").drop(*on.values())
+
+def _equal(on: dict[str, str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(x) == F.col(y) for x, y in on.items()])
 
 
 def enrich_each_batch(
-    dim: DataFrame,
-    on: dict[str, str],
-    write: Callable[[DataFrame, int], None],
-    max_group_rows: int = MAX_GROUP_ROWS,
+    dim: DataFrame, on: dict[str, str], write: Callable[[DataFrame, int], None]
 ) -> Callable[[DataFrame, int], None]:
-    """``stream_enrich`` for every micro-batch, whatever the sizes of ``dim`` and of any key.
+    """``stream_enrich`` for every micro-batch, as a batch join.
 
-    Keys that are frequent within a batch meet their dimension row by broadcast.
+    Adaptive execution then picks the join by the sizes of this batch and splits a
+    key that is frequent in it, which a streaming plan cannot do.
     """
 
     def enrich(batch: DataFrame, batch_id: int) -> None:
-        joined = join_unique(batch, dim, on, "left", max_group_rows)
-        write(joined.drop(*on.values()), batch_id)
+        write(batch.join(dim, _equal(on), "left").drop(*on.values()), batch_id)
 
     return enrich
 
@@ -181,34 +196,19 @@ def stream_interval_join(
     return pairs.drop("_stretch", "_right_stretch", "_right_key")
 
 
-def stream_keyed_state(
-    stream: DataFrame, key: str, ts: str = "ts", slots: int = 16
-) -> DataFrame:
-    """Running row count and latest time per (key, slot); meant for update mode.
+def stream_keyed_state(stream: DataFrame, key: str, ts: str = "ts") -> DataFrame:
+    """Running row count and latest time per key; meant for update mode.
 
-    A slot is the reading task modulo ``slots``, so that a busy key is spread
-    over several tasks; ``merge_slots`` adds them up.
+    A built-in aggregate: the state holds two values per key, and rows of a busy key are added
+    up by the tasks that read them. Keys of any type; a null key is a key, a null time no time.
     """
-    compact = stream.select(
-        F.col(key).cast("bigint").alias("key"),
-        (F.spark_partition_id() % slots).cast("bigint").alias("slot"),
-        F.lit(1).cast("bigint").alias("rows"),
-        F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
-    )
-    return compact.groupBy("key", "slot").transformWithStateInPandas(
-        statefulProcessor=CountAndLast(),
-        outputStructType="key bigint, slot bigint, n bigint, last_us bigint",
-        outputMode="update",
-        timeMode="none",
+    return stream.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max(ts).alias(f"last_{ts}")
     )
 
 
-def merge_slots(updates: DataFrame, key: str, ts: str = "ts") -> DataFrame:
-    """The newest state per slot, added up to one row per key."""
-    newest = updates.groupBy("key", "slot").agg(
-        F.max("n").alias("n"), F.max("last_us").alias("last_us")
-    )
-    return newest.groupBy(F.col("key").alias(key)).agg(
-        F.sum("n").alias("n_rows"),
-        F.timestamp_micros(F.max("last_us")).cast("timestamp_ntz").alias(f"last_{ts}"),
+def latest_state(updates: DataFrame, key: str, ts: str = "ts") -> DataFrame:
+    """The last of all updates per key: counts and latest times only grow."""
+    return updates.groupBy(key).agg(
+        F.max("n_rows").alias("n_rows"), F.max(f"last_{ts}").alias(f"last_{ts}")
     )

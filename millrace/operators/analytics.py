@@ -14,12 +14,10 @@ from millrace.operators.ordered import (
     SLICE,
     attach,
     by_group_size,
-    join_unique,
     slice_groups,
     sums_before_slice,
 )
-
-# Spark's default for the largest limit it applies before a shuffle.
+from millrace.session import stage
 
 
 def star_revenue(
@@ -250,16 +248,17 @@ def with_and_without(
     right: DataFrame,
     on: dict[str, str],
     flag: str = "has_partner",
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Every left row once, flagged by whether ``right`` has a partner for it.
 
-    ``right`` is reduced to its distinct keys first, so a key repeated there
-    cannot multiply rows, and one join answers both questions.
+    ``right`` is reduced to its distinct keys and stored first: a key repeated there
+    cannot multiply rows, and with a stored side adaptive execution splits a key that ``left``
+    repeats often.
     """
     renamed = {lk: f"_partner_{rk}" for lk, rk in on.items()}
     partners = right.select(*[F.col(rk).alias(renamed[lk]) for lk, rk in on.items()]).distinct()
-    marked = join_unique(left, partners, renamed, "left", max_group_rows)
+    same = reduce(lambda a, b: a & b, [F.col(x) == F.col(y) for x, y in renamed.items()])
+    marked = left.join(stage(partners, "partners"), same, "left")
     found = F.col(next(iter(renamed.values()))).isNotNull()
     return marked.select(*left.columns, found.alias(flag))
 

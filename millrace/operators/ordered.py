@@ -47,32 +47,6 @@ def by_group_size(
     return usual.unionByName(split)
 
 
-def join_unique(
-    left: DataFrame,
-    right: DataFrame,
-    on: dict[str, str],
-    how: str = "left",
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """Join to a side that is unique on its key, however often ``left`` repeats a key.
-
-    For a ``right`` that comes straight from an aggregation: Spark does not split
-    a skewed partition of such a join. Rows of large groups meet their partners
-    by broadcast instead, at most one partner per large group.
-    """
-    same = reduce(lambda a, b: a & b, [F.col(lk) == F.col(rk) for lk, rk in on.items()])
-
-    def whole(part: DataFrame) -> DataFrame:
-        return part.join(right, same, how)
-
-    def sliced(part: DataFrame) -> DataFrame:
-        asked = part.select(*[F.col(k) for k in on]).distinct()
-        few = right.join(F.broadcast(asked), same, "left_semi")
-        return part.join(F.broadcast(few), same, how)
-
-    return by_group_size(left, list(on), whole, sliced, max_group_rows)
-
-
 def slice_groups(
     df: DataFrame, keys: list[str], order: list[str], slices: int | None = None
 ) -> DataFrame:

@@ -22,6 +22,7 @@ RUNTIME_SETTINGS = {
 }
 
 _scratch_roots: dict[str, str] = {}
+_watched: list[list[str]] = []
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -66,7 +67,28 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other call gets."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    for made in _watched:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove what jobs in the ``with`` block put into the shared folder.
+
+    Leave the block only when the job's result is written: a DataFrame that reads an
+    intermediate table has nothing to read afterwards.
+    """
+    made: list[str] = []
+    _watched.append(made)
+    try:
+        yield
+    finally:
+        _watched[:] = [other for other in _watched if other is not made]
+        for path in made:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def stage(df: DataFrame, label: str = "stage", partition_by: tuple[str, ...] = ()) -> DataFrame:

@@ -53,3 +53,12 @@ def test_stage_keeps_rows_and_types(spark):
     staged = session.stage(df)
     assert staged.dtypes == df.dtypes
     assert sorted(map(str, staged.collect())) == sorted(map(str, df.collect()))
+
+
+def test_scratch_is_removed_with_its_block(spark):
+    kept = session.stage(spark.range(3))
+    with session.scratch(spark):
+        inside = session.stage(spark.range(4))
+        folder = inside.inputFiles()[0].rsplit("/", 1)[0]
+        assert session.path_exists(spark, folder) and inside.count() == 4
+    assert not session.path_exists(spark, folder) and kept.count() == 3

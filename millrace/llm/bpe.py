@@ -1,23 +1,26 @@
 """Byte-level BPE encoding and decoding with a rank queue.
 
 A text is cut by the pre-token pattern and every pre-token is merged on its own.
-The pairs of a pre-token wait in buckets, one per merge rank. Which buckets hold
-something is kept in a bitmap of two levels, so that two find-first-set steps give
-the lowest rank; within a bucket the leftmost position comes first. Positions form
-a linked list. A merge does not search the queue for the pairs it destroys: an
-entry whose pair no longer has the bucket's rank is stale and skipped. A pre-token
-of n bytes therefore takes O(n log n) steps, however long it is.
+Pairs wait in buckets, one per merge rank. Which buckets hold something is kept in a
+bitmap of two levels, so that two find-first-set steps give the lowest rank; within a
+bucket the leftmost position comes first. Positions form a linked list. A merge does not
+search the queue for the pairs it destroys: an entry whose pair no longer has the
+bucket's rank is stale and skipped. n bytes therefore take O(n log n) steps, however long
+a pre-token is. Pre-tokens do not touch each other, so those of many texts share a queue.
 """
 
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Callable, Iterator
-from heapq import heappop, heappush
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +28,11 @@ from millrace.llm.arrow import extended, slices, without
 
 #: Entries of the vocabulary that are broadcast at most.
 MAX_VOCABULARY = 2_000_000
-#: Pre-tokens whose ids a task remembers, in each of two generations.
-REMEMBERED = 300_000
+#: Pre-tokens whose ids a worker remembers, and their characters, in each of two generations.
+REMEMBERED, REMEMBERED_BYTES = 400_000, 32 << 20
+#: Pre-tokens that share one queue.
+QUEUED = 1 << 15
+_BYTES = [bytes([code]) for code in range(256)]
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -40,101 +46,135 @@ def read_ranks(path: str) -> list[bytes]:
 
 
 class Bpe:
-    """Encoder and decoder of one task."""
+    """Encoder and decoder of one worker."""
 
     def __init__(self, tokens: list[bytes], pattern: str):
         self.tokens = tokens
         self.ranks = {token: rank for rank, token in enumerate(tokens) if token}
+        pairs = [self.ranks.get(bytes(divmod(pair, 256)), -1) for pair in range(1 << 16)]
+        self.pairs = np.array(pairs, np.int32)
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+        self.sizes = np.array([len(token) for token in tokens])
+        self.firsts = np.cumsum(self.sizes) - self.sizes
         self.pieces = regex.compile(pattern).findall
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.size = 0
 
-    def merged(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token."""
-        get = self.ranks.get
-        whole = get(piece)
-        if whole is not None:
-            return [whole]
-        end = len(piece)
-        part: list[bytes | None] = [piece[k : k + 1] for k in range(end)]
-        after, before = list(range(1, end + 1)), list(range(-1, end - 1))
-        buckets: dict[int, list[int]] = {}
+    def merged(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of each pre-token; all of them wait in one queue, and no pair crosses two."""
+        get, data = self.ranks.get, b"".join(pieces)
+        ends = np.cumsum([len(piece) for piece in pieces])
+        codes = np.frombuffer(data, np.uint8).astype(np.int32)
+        first_ranks = np.append(self.pairs[codes[:-1] << 8 | codes[1:]], np.int32(-1))
+        first_ranks[ends - 1] = -1
+        #: Rank of the pair that begins at a position, -1 where there is none.
+        rank_at = first_ranks.tolist()
+        part = list(map(_BYTES.__getitem__, data))
+        after, before = list(range(1, len(data) + 1)), list(range(-1, len(data) - 1))
+        for end in ends.tolist():
+            after[end - 1] = -1
+        for end in ends[:-1].tolist():
+            before[end] = -1
+        order = np.argsort(first_ranks, kind="stable")
+        cuts = np.flatnonzero(np.diff(first_ranks[order], prepend=-1))
+        waiting = [positions.tolist() for positions in np.split(order, cuts)[1:]]
+        buckets = {rank_at[positions[0]]: positions for positions in waiting}
         words: dict[int, int] = {}
-        summary = 0
-
-        for at in range(end - 1):
-            rank = get(piece[at : at + 2])
-            if rank is None:
-                continue
-            if rank in buckets:
-                buckets[rank].append(at)  # positions ascend
-            else:
-                buckets[rank] = [at]
-                word = rank >> 8
-                words[word] = words.get(word, 0) | 1 << (rank & 255)
-                summary |= 1 << word
+        for rank in buckets:
+            words[rank >> 8] = words.get(rank >> 8, 0) | 1 << (rank & 255)
+        summary = sum(1 << word for word in words)
         while summary:
             word = (summary & -summary).bit_length() - 1
-            bits = words[word]
-            low = bits & -bits
+            low = words[word] & -words[word]
             rank = (word << 8) + low.bit_length() - 1
-            bucket = buckets[rank]
-            if len(bucket) > 1:
-                at = heappop(bucket)
-            else:
-                at = bucket[0]
-                del buckets[rank]
-                words[word] = bits ^ low
-                if bits == low:
-                    summary ^= 1 << word
-            left, right = part[at], after[at]
-            if left is None or right == end:
-                continue
-            joined = left + part[right]
-            if get(joined) != rank:
-                continue
-            part[at], part[right] = joined, None
-            following, previous = after[right], before[at]
-            after[at] = following
-            made = []
-            if following < end:
-                before[following] = at
-                made.append((get(joined + part[following]), at))
-            if previous >= 0:
-                made.append((get(part[previous] + joined), previous))
-            for rank, at in made:
-                if rank is None:
+            words[word] ^= low
+            if not words[word]:
+                summary ^= 1 << word
+            bucket = buckets.pop(rank)
+            bucket.sort()  # leftmost first; entries came in a few ascending stretches
+            least = rank
+            for done, at in enumerate(bucket):
+                if rank_at[at] != rank:
                     continue
-                if rank in buckets:
-                    heappush(buckets[rank], at)
-                else:
-                    buckets[rank] = [at]
-                    word = rank >> 8
-                    words[word] = words.get(word, 0) | 1 << (rank & 255)
+                right = after[at]
+                joined = part[at] = part[at] + part[right]
+                rank_at[right] = -1
+                following, previous = after[right], before[at]
+                after[at] = following
+                rank_at[at] = -1
+                for left, begin, text in (
+                    (at, following, joined + part[following] if following >= 0 else None),
+                    (previous, at, part[previous] + joined if previous >= 0 else None),
+                ):
+                    if text is None:
+                        continue
+                    if left == at:
+                        before[begin] = at
+                    new = rank_at[left] = get(text, -1)
+                    if new < 0:
+                        continue
+                    entries = buckets.get(new)
+                    if entries is not None:
+                        entries.append(left)
+                        continue
+                    buckets[new] = [left]
+                    word = new >> 8
+                    words[word] = words.get(word, 0) | 1 << (new & 255)
                     summary |= 1 << word
-        return [get(x) for x in part if x is not None]
-
-    def packed(self, piece: str) -> bytes:
-        """Ids of a pre-token as 32-bit integers, remembered."""
-        ids = self.older.get(piece)
-        if ids is None:
-            ids = np.array(self.merged(piece.encode()), np.int32).tobytes()
-        if len(self.recent) >= REMEMBERED:
-            self.older, self.recent = self.recent, {}
-        # A pre-token of unusual length is not worth its memory.
-        if len(piece) <= 64:
-            self.recent[piece] = ids
+                    if new < least:
+                        least = new
+                if least < rank:
+                    # A lower rank has come up: the rest of this bucket has to wait for it.
+                    if rest := bucket[done + 1 :]:
+                        buckets[rank] = rest
+                        word = rank >> 8
+                        words[word] |= 1 << (rank & 255)
+                        summary |= 1 << word
+                    break
+        ids = []
+        for at in [0, *ends[:-1].tolist()]:
+            own = []
+            while at >= 0:
+                own.append(get(part[at]))
+                at = after[at]
+            ids.append(own)
         return ids
 
-    def encode(self, text: str) -> bytes:
-        out = []
-        for piece in self.pieces(text):
-            ids = self.recent.get(piece)
-            out.append(self.packed(piece) if ids is None else ids)
-        return b"".join(out)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as 32-bit integers; what pre-tokens gave is remembered."""
+        pieces = [self.pieces(text) for text in texts]
+        if len(self.recent) > REMEMBERED or self.size > REMEMBERED_BYTES:
+            self.older, self.recent, self.size = self.recent, {}, 0
+        recent, older = self.recent, self.older
+        new = set(filterfalse(recent.__contains__, chain.from_iterable(pieces)))
+        queued = []
+        for piece in new:
+            self.size += len(piece)
+            ids = older.get(piece)
+            if ids is not None:
+                recent[piece] = ids
+            else:
+                coded = piece.encode()
+                whole = self.ranks.get(coded)
+                if whole is None:
+                    queued.append((piece, coded))
+                else:
+                    recent[piece] = np.int32(whole).tobytes()
+        for at in range(0, len(queued), QUEUED):
+            names, coded = zip(*queued[at : at + QUEUED], strict=True)
+            for piece, ids in zip(names, self.merged(list(coded)), strict=True):
+                recent[piece] = array("i", ids).tobytes()
+        return [b"".join(map(recent.__getitem__, of_text)) for of_text in pieces]
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of the tokens end to end, and where each row's bytes end; ``ends`` cut the ids into rows."""
+        sizes = self.sizes[ids]
+        stops = np.cumsum(sizes)
+        total = int(stops[-1]) if len(stops) else 0
+        # Each byte's place in the vocabulary: its token's first byte, and how far it is from there.
+        at = np.repeat(self.firsts[ids] - (stops - sizes), sizes) + np.arange(total)
+        return self.flat[at], np.concatenate([[0], stops])[ends]
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -175,28 +215,45 @@ def _mapped(
     added |= {decoded: "binary"} if decoded else {}
     kept = without(df, *added)
     schema = extended(kept, ", ".join(f"`{name}` {kind}" for name, kind in added.items()))
-    vocabulary = df.sparkSession.sparkContext.broadcast(read_ranks(path))
-    source = "_source_bytes"
-    rows = kept.withColumn(source, F.col(f"`{text}`").cast("binary")) if text else kept
-    return rows.mapInArrow(_task(vocabulary, pattern, source if text else None, ids, decoded), schema)
+    tokens = read_ranks(path)
+    vocabulary = df.sparkSession.sparkContext.broadcast(tokens)
+    digest = xxhash.xxh3_64_hexdigest(b"\n".join(tokens))
+    run = _task(vocabulary, digest, pattern, text, ids, decoded)
+    return kept.mapInArrow(run, schema)
 
 
-def _task(vocabulary, pattern: str, source: str | None, ids: str, decoded: str | None) -> Callable:
+_coders: dict[tuple[str, str], Bpe] = {}
+
+
+def _coder(vocabulary, digest: str, pattern: str) -> Bpe:
+    """The coder of this worker process, kept with what it remembers from task to task."""
+    if (digest, pattern) not in _coders:
+        _coders.clear()
+        _coders[digest, pattern] = Bpe(vocabulary.value, pattern)
+    return _coders[digest, pattern]
+
+
+def _task(
+    vocabulary, digest: str, pattern: str, text: str | None, ids: str, decoded: str | None
+) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(vocabulary.value, pattern)
-        for batch in slices(batches, source):
-            if source:
-                texts = batch.column(source).to_pylist()
-                batch = batch.drop_columns([source])
-                packed = [bpe.encode(t.decode()) if t else b"" for t in texts]
+        bpe = _coder(vocabulary, digest, pattern)
+        for batch in slices(batches, text):
+            if text:
+                packed = bpe.encode([t or "" for t in batch.column(text).to_pylist()])
                 values = np.frombuffer(b"".join(packed), np.int32)
-                ends = np.cumsum([0, *[len(p) >> 2 for p in packed]]).astype(np.int32)
-                column = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+                ends = np.cumsum([len(p) >> 2 for p in packed])
+                column = pa.ListArray.from_arrays(np.append(0, ends).astype(np.int32), values)
                 batch = batch.append_column(ids, column)
+            else:
+                column = batch.column(ids)
+                values = np.asarray(column.flatten())
+                ends = np.cumsum(pc.fill_null(column.value_lengths(), 0))
             if decoded:
-                rows = (x or [] for x in batch.column(ids).to_pylist())
-                texts = pa.array([bpe.decode(x) for x in rows], pa.binary())
-                batch = batch.append_column(decoded, texts)
+                data, stops = bpe.decode(values, ends)
+                stops = np.append(0, stops).astype(np.int32)
+                buffers = [None, pa.py_buffer(stops), pa.py_buffer(data)]
+                batch = batch.append_column(decoded, pa.Array.from_buffers(pa.binary(), len(ends), buffers))
             yield batch
 
     return run

@@ -29,7 +29,9 @@ def text_bytes(text: str = "`text`") -> Column:
     return F.coalesce(F.col(text), F.lit("")).cast("binary")
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str | None = None) -> Iterator[pa.RecordBatch]:
+def slices(
+    batches: Iterator[pa.RecordBatch], text: str | None = None, most: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
     """Cut batches so that rows, and bytes of column ``text``, stay bounded in a task."""
     for batch in batches:
         at, size = 0, batch.num_rows
@@ -40,7 +42,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str | None = None) -> Iterat
                 total = 0
                 for k in range(at, end):
                     total += widths[k]
-                    if total > SLICE_BYTES and k > at:
+                    if total > most and k > at:
                         end = k
                         break
             yield batch.slice(at, end - at)

@@ -31,6 +31,9 @@ CLASSES = OWN + TAILS
 SEGMENT = 512
 #: Stretches of the class range in which expected counts are added up.
 PARTS = 16
+SUMS = "target int, sums binary"
+#: Bytes of class sequences, two a token, that a task works on at once.
+CODED_BYTES = 1 << 19
 
 
 def held_out(key: Column, fold: int = 2, folds: int = 7) -> Column:
@@ -145,8 +148,7 @@ class Lexicon:
         classes[: OWN - 1] = np.arange(1, min(OWN - 1, len(words)) + 1)
         own = n[: OWN - 1]
         sizes = np.zeros(CLASSES, np.int64)
-        for r in counts.mapInArrow(_class_sizes, "tail int, n bigint").groupBy("tail").agg(F.sum("n").alias("n")).collect():
-            sizes[OWN + r["tail"]] = r["n"]
+        sizes[OWN:] = _summed(counts.mapInArrow(_class_sizes, SUMS), TAILS)
         np.subtract.at(sizes, OWN + tails[: OWN - 1], own + 1)
         sizes[OWN:] += 1
         sizes[1 : len(own) + 1] = own + 1
@@ -177,8 +179,7 @@ def _frequent(least: int):
 
 def _class_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, tails, counts in _stored(batches):
-        sizes = np.bincount(tails, counts + 1, TAILS).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(TAILS, dtype=np.int32)), pa.array(sizes)], names=["tail", "n"])
+        yield _sum_rows(np.bincount(tails, counts + 1, TAILS))
 
 
 def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -302,7 +303,7 @@ def _forward(model, shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         log_sizes = np.log10(shared.value.sizes)
-        for batch in slices(batches, "classes"):
+        for batch in slices(batches, "classes", CODED_BYTES):
             sequences = [np.frombuffer(s, np.int16) for s in batch.column("classes").to_pylist()]
             chance = log_likelihoods(model.value, sequences) / np.log(10)
             chance -= [log_sizes[s].sum() for s in sequences]
@@ -322,12 +323,7 @@ def fit(sequences: DataFrame, lexicon: Lexicon, states: int, rounds: int) -> Hmm
     model = Hmm.start(shares, states)
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(model)
-        parts = sequences.mapInArrow(_expect(shared), "target int, sums binary")
-        added = exchange.deal(parts, PARTS).mapInArrow(_add_sums, "target int, sums binary")
-        sums = {row["target"]: np.frombuffer(row["sums"], np.float64) for row in added.collect()}
-        if not sums:
-            break
-        flat = np.concatenate([sums[k] for k in range(PARTS)])
+        flat = _summed(sequences.mapInArrow(_expect(shared), SUMS), states * (1 + states + CLASSES))
         head, emit = flat[: states * (1 + states)], flat[states * (1 + states) :].reshape(-1, states)
         model = model.reestimated(head[:states], head[states:].reshape(states, states), emit, shares)
         shared.unpersist()
@@ -338,7 +334,7 @@ def _expect(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Hmm = shared.value
         total = None
-        for batch in slices(batches, "classes"):
+        for batch in slices(batches, "classes", CODED_BYTES):
             sequences = []
             for packed in batch.column("classes").to_pylist():
                 classes = np.frombuffer(packed, np.int16)
@@ -346,13 +342,24 @@ def _expect(shared):
             counts = expected_counts(model, sequences)
             total = counts if total is None else tuple(a + b for a, b in zip(total, counts, strict=True))
         if total is not None:
-            flat = np.concatenate([part.ravel() for part in total])
-            columns = [pa.array(range(PARTS), pa.int32()), pa.array([p.tobytes() for p in np.array_split(flat, PARTS)])]
-            yield pa.RecordBatch.from_arrays(columns, names=["target", "sums"])
+            yield _sum_rows(np.concatenate([part.ravel() for part in total]))
 
     return run
 
 
+def _sum_rows(values: np.ndarray) -> pa.RecordBatch:
+    """What a task has added up, in ``PARTS`` rows."""
+    parts = [part.tobytes() for part in np.array_split(values.astype(np.float64), PARTS)]
+    return pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array(parts)], names=["target", "sums"])
+
+
+def _summed(rows: DataFrame, size: int) -> np.ndarray:
+    """Sums over all tasks, part by part; zeros where there is no task."""
+    added = exchange.deal(rows, PARTS).mapInArrow(_add_sums, SUMS).collect()
+    sums = {row["target"]: np.frombuffer(row["sums"], np.float64) for row in added}
+    return np.concatenate([sums[k] for k in range(PARTS)]) if sums else np.zeros(size)
+
+
 def _add_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in slices(batches):

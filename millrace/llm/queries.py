@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontaminate, licenses, lm, neardup, pii, quality, rules, substrings
+from millrace.llm import bpe, chat, decontaminate, licenses, lm, neardup, pii, quality, rules, sql, substrings
 from millrace.llm.arrow import table
 from millrace.plans.registry import Query
 
@@ -104,13 +104,13 @@ def op10_odd_sketch_neardup(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES = {
     "op1_weak_label_quality": Query(op1_weak_label_quality),
-    "op2_chat_formatting": Query(op2_chat_formatting),
+    "op2_chat_formatting": Query(op2_chat_formatting, sql.chat(CONTROL_TEXT)),
     "op3_patience_licenses": Query(op3_patience_licenses),
     "op4_hidden_markov_lm": Query(op4_hidden_markov_lm),
     "op5_decision_list": Query(op5_decision_list),
     "op6_byte_bpe": Query(op6_byte_bpe),
-    "op7_recompression": Query(op7_recompression),
+    "op7_recompression": Query(op7_recompression, sql.repeats(35)),
     "op8_bilstm_pii": Query(op8_bilstm_pii),
-    "op9_containment": Query(op9_containment),
-    "op10_odd_sketch_neardup": Query(op10_odd_sketch_neardup),
+    "op9_containment": Query(op9_containment, sql.containment(5, 80)),
+    "op10_odd_sketch_neardup": Query(op10_odd_sketch_neardup, sql.near_duplicates(2, 80)),
 }

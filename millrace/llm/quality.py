@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from millrace.llm import rules
 from millrace.llm.arrow import extended, slices, text_bytes, without
 from millrace.llm.words import LOWER, U, text_numbers, word_tails
+from millrace.session import stage
 
 GOOD, BAD, NONE = 1, 0, 2
 #: Hashed features: words, tails of words, and ranges of the text's rates.
@@ -37,7 +38,7 @@ def labellers() -> dict[str, Column]:
         return F.coalesce(F.try_divide(F.col(count).cast("double"), F.col("n_words")), F.lit(0.0))
 
     return {
-        "length": _vote(F.col("n_words") < 5, many),
+        "length": _vote(F.col("n_words") < 1, many),
         "symbols": _vote(F.col("symbols_per_char") > 0.02, some & (F.col("symbols_per_char") < 0.002)),
         "symbols_per_word": _vote(per_word("n_symbols") > 0.2, some & (per_word("n_symbols") < 0.02)),
         "capitals_per_word": _vote(some & (per_word("n_capitals") > 1.5), some & (per_word("n_capitals") < 0.4)),
@@ -122,8 +123,9 @@ def fit(df: DataFrame, text: str = "text", max_sample: int = 3000) -> np.ndarray
     either side of the posterior as far as there are, train the weights: those of smallest
     hash. Pattern counts (3 to the power of the labellers) and the sample are collected.
     """
-    voted = rules.rates(rules.text_counts(df.withColumn("_text", F.col(f"`{text}`")), text))
-    voted = voted.select("_text", *rules.RATES, pattern().alias("pattern"))
+    hashed = df.select(F.xxhash64(F.col(f"`{text}`")).alias("_hash"), F.col(f"`{text}`").alias("text"))
+    counted = rules.rates(rules.text_counts(hashed))
+    voted = stage(counted.select("_hash", pattern().alias("pattern")), "votes")
     found = voted.groupBy("pattern").count().orderBy("pattern").collect()
     if not found:
         return np.zeros(FEATURES + 1)
@@ -132,12 +134,17 @@ def fit(df: DataFrame, text: str = "text", max_sample: int = 3000) -> np.ndarray
     by_pattern = df.sparkSession.createDataFrame(
         [(int(p), float(c)) for p, c in zip(patterns, chance, strict=True)], "pattern int, chance double"
     )
-    labelled = voted.join(F.broadcast(by_pattern), "pattern").withColumn("_hash", F.xxhash64("_text"))
+    labelled = voted.join(F.broadcast(by_pattern), "pattern").select("_hash", "chance").distinct()
     half = max_sample // 2
-    sides = [labelled.filter(f"chance {sign} 0.5") for sign in (">=", "<")]
-    # Documents of one hash are copies of one text.
-    sampled = [side.dropDuplicates(["_hash"]).orderBy("_hash").limit(half) for side in sides]
-    rows = [r for side in sampled for r in side.select("_text", "chance", *rules.RATES).collect()]
+    sides = [
+        labelled.filter(f"chance {sign} 0.5").orderBy("_hash", "chance").limit(half) for sign in (">=", "<")
+    ]
+    # Documents of one hash are copies of one text; the sample is small enough to broadcast.
+    sample = stage(sides[0].union(sides[1]), "sample")
+    chosen = hashed.join(F.broadcast(sample), "_hash").dropDuplicates(["_hash", "chance"])
+    rated = rules.rates(rules.text_counts(chosen.withColumn("_text", F.col("text"))))
+    rows = rated.select("_hash", "_text", "chance", *rules.RATES).collect()
+    rows.sort(key=lambda r: (r["_hash"], r["chance"]))
     matrix = np.zeros((len(rows), FEATURES), np.float32)
     rates = np.array([[r[name] for name in rules.RATES] for r in rows], float).reshape(-1, len(rules.RATES))
     for at in range(0, len(rows), 256):
@@ -148,7 +155,7 @@ def fit(df: DataFrame, text: str = "text", max_sample: int = 3000) -> np.ndarray
     return trained(matrix, np.array([r["chance"] for r in rows]))
 
 
-def classify(df: DataFrame, weights: np.ndarray, text: str = "text", least: float = 0.3) -> DataFrame:
+def classify(df: DataFrame, weights: np.ndarray, text: str = "text", least: float = 0.2) -> DataFrame:
     """Add double ``quality_score`` between 0 and 1 and boolean ``good`` (score of ``least`` or more).
 
     A null text counts as empty; a text without words is never good. Repeated rows get the same

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import bilstm
@@ -148,13 +148,12 @@ def training_windows(df: DataFrame, text: str = "text", max_windows: int = 1500)
     windows = source.select(F.col("t").cast("binary").alias("source")).mapInArrow(
         run, "window string, kind int, begin int, end int"
     )
-    # No kind, nor the windows without a span, may crowd out the others.
-    sampled = None
-    for kind in range(-1, len(KINDS)):
-        share = windows.filter(F.col("kind") == kind).distinct()
-        share = share.orderBy(F.xxhash64("window", "begin"), "window", "begin").limit(max_windows // (len(KINDS) + 1))
-        sampled = share if sampled is None else sampled.union(share)
-    return [tuple(row) for row in sampled.collect()]
+    # No kind, nor the windows without a span, may crowd out the others. Each task passes on
+    # as many windows of a kind as may be chosen.
+    by_hash = Window.partitionBy("kind").orderBy(F.xxhash64("window", "begin"), "window", "begin", "end")
+    chosen = windows.distinct().withColumn("_nth", F.row_number().over(by_hash))
+    chosen = chosen.filter(F.col("_nth") <= max_windows // (len(KINDS) + 1)).orderBy("kind", "_nth")
+    return [tuple(row) for row in chosen.drop("_nth").collect()]
 
 
 def train(df: DataFrame, text: str = "text", max_windows: int = 1500) -> dict[str, np.ndarray] | None:

@@ -29,7 +29,7 @@ from millrace.llm.arrow import extended, slices, without
 #: Entries of the vocabulary that are broadcast at most.
 MAX_VOCABULARY = 2_000_000
 #: Pre-tokens whose ids a worker remembers, and their characters, in each of two generations.
-REMEMBERED, REMEMBERED_BYTES = 400_000, 32 << 20
+REMEMBERED, REMEMBERED_BYTES = 250_000, 32 << 20
 #: Pre-tokens that share one queue.
 QUEUED = 1 << 15
 _BYTES = [bytes([code]) for code in range(256)]

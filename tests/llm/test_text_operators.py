@@ -327,7 +327,7 @@ def test_licenses_of_a_table(spark):
     at = len(TEXTS)
     assert [(m.license, m.begin, m.coverage) for m in out[at]] == [("MIT-text", 1, 1.0)]
     assert out[at + 1][0].license == "MIT-text" and 0.8 <= out[at + 1][0].coverage < 1
-    assert [(m.license, m.begin) for m in out[at + 2]] == [("CC-BY-NC-4.0", 6 * k) for k in range(3)]
+    assert [(m.license, m.begin) for m in out[at + 2]] == [("CC-BY-NC-4.0", 7 * k) for k in range(3)]
     assert all(not out[k] for k in [*range(at), at + 3])
     assert licenses.find_licenses(frame(spark, [])).count() == 0
 

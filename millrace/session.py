@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+PACKAGE_ROOT = str(Path(__file__).resolve().parent.parent)
 _scratch_roots: dict[str, str] = {}
 _watched: list[list[str]] = []
 
@@ -33,6 +36,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     """
     for name, value in RUNTIME_SETTINGS.items():
         spark.conf.set(name, value)
+    # Python workers find this package where the driver does, whatever folder either was started in.
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if PACKAGE_ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *paths])
     return spark
 
 

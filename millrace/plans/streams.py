@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from millrace.plans.registry import Query
-from millrace.session import scratch_path
+from millrace.session import scratch_path, stage
+from millrace.sources import tables
 from millrace.sources.tables import TABLES, table, table_stream
 from millrace.streaming import jobs, run
 
@@ -16,8 +20,49 @@ GAP_SECONDS = 3600
 LATE_DAY = "2024-01-10"
 
 
-def _events(spark: SparkSession, root: str) -> DataFrame:
-    return jobs.event_time(table_stream(spark, root, "events"))
+Arriving = Callable[[], DataFrame]
+
+
+def _deliveries(spark: SparkSession, root: str) -> Iterator[Arriving]:
+    """Streams of the events that have arrived so far, by deliveries whose times ascend.
+
+    A table that fits one micro-batch is one delivery. A larger one, whose files may be in any
+    order of time, is cut into stretches of time of about as many rows; each is put into the
+    landing folder once the one before is worked off. No row is then older than all
+    rows of an earlier micro-batch, and so none comes too late.
+    """
+    events = table(spark, root, "events")
+    number = ceil(len(events.inputFiles()) / tables.MAX_FILES)
+    if number <= 1:
+        yield lambda: jobs.event_time(table_stream(spark, root, "events"))
+        return
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    shares = [k / number for k in range(1, number)]
+    found = events.agg(F.percentile_approx(micros, shares, 100 * number)).first()[0]
+    bounds = sorted(set(found or []))
+    # A row's delivery is the number of bounds up to its time; rows without a time go first.
+    passed = F.filter(F.array(*map(F.lit, bounds)).cast("array<bigint>"), lambda bound: bound <= micros)
+    cut = events.withColumn("delivery", F.size(passed)).repartitionByRange("delivery", "ts", "event_id")
+    parts = stage(cut, "by-time", ("delivery",))
+    landing = scratch_path(spark, "deliveries")
+    for delivery in range(len(bounds) + 1):
+        part = parts.filter(F.col("delivery") == delivery).drop("delivery")
+        part.write.mode("append").parquet(landing)
+        yield lambda: jobs.event_time(spark.readStream.schema(TABLES["events"]).parquet(landing))
+
+
+def _replayed(
+    spark: SparkSession, root: str, job: Callable[[Arriving], DataFrame], label: str, mode: str = "append"
+) -> DataFrame:
+    """What a job with a watermark gives for all events, however many micro-batches they take."""
+    out, checkpoint = scratch_path(spark, label), scratch_path(spark, f"{label}-checkpoint")
+    for arriving in _deliveries(spark, root):
+        result = job(arriving)
+        if mode == "append":
+            run.append_to(result, out, checkpoint)
+        else:
+            run.each_batch(result, mode, run.replace_batches(out), checkpoint)
+    return spark.read.schema(result.schema).parquet(out if mode == "append" else f"{out}/batch=*")
 
 
 def _plain(df: DataFrame, *names: str) -> DataFrame:
@@ -52,24 +97,26 @@ def stream_decode(spark: SparkSession, root: str) -> DataFrame:
 
 
 def stream_dedupe(spark: SparkSession, root: str) -> DataFrame:
-    twice = _events(spark, root).unionByName(_events(spark, root))
-    return _plain(run.append_and_read(jobs.stream_dedupe(twice, ["event_id"]), "deduped"), "ts")
+    def job(arriving: Arriving) -> DataFrame:
+        return jobs.stream_dedupe(arriving().unionByName(arriving()), ["event_id"])
+
+    return _plain(_replayed(spark, root, job, "deduped"), "ts")
 
 
 def stream_tumbling(spark: SparkSession, root: str) -> DataFrame:
-    closed = jobs.stream_tumbling(_events(spark, root), "1 day", scale=2)
-    return _plain(run.append_and_read(closed, "tumbling"), "window_start", "window_end")
+    job = lambda arriving: jobs.stream_tumbling(arriving(), "1 day", scale=2)
+    return _plain(_replayed(spark, root, job, "tumbling"), "window_start", "window_end")
 
 
 def stream_sliding(spark: SparkSession, root: str) -> DataFrame:
-    windows = jobs.stream_sliding(_events(spark, root), "1 day", "12 hours", scale=2)
-    newest = jobs.newest_windows(_each_batch(windows, "update", "sliding"))
+    job = lambda arriving: jobs.stream_sliding(arriving(), "1 day", "12 hours", scale=2)
+    newest = jobs.newest_windows(_replayed(spark, root, job, "sliding", "update"))
     return _plain(newest, "window_start", "window_end")
 
 
 def stream_session(spark: SparkSession, root: str) -> DataFrame:
-    sessions = jobs.stream_session(_events(spark, root), "user_id", "30 minutes")
-    return _plain(run.append_and_read(sessions, "sessions"), "session_start", "session_end")
+    job = lambda arriving: jobs.stream_session(arriving(), "user_id", "30 minutes")
+    return _plain(_replayed(spark, root, job, "sessions"), "session_start", "session_end")
 
 
 def stream_late_rows(spark: SparkSession, root: str) -> DataFrame:
@@ -111,16 +158,18 @@ def stream_enrich_each_batch(spark: SparkSession, root: str) -> DataFrame:
 
 
 def stream_interval_join(spark: SparkSession, root: str) -> DataFrame:
-    def side(kind: str, prefix: str) -> DataFrame:
-        rows = _events(spark, root).filter(F.col("event_type") == kind)
+    def side(arriving: Arriving, kind: str, prefix: str) -> DataFrame:
+        rows = arriving().filter(F.col("event_type") == kind)
         named: list[Column] = [F.col(c).alias(f"{prefix}_{c}") for c in ("event_id", "ts")]
         return rows.select("user_id", *named)
 
-    pairs = jobs.stream_interval_join(
-        side("click", "click"), side("purchase", "purchase"), "user_id", "click_ts",
-        "purchase_ts", GAP_SECONDS,
-    )
-    return _plain(run.append_and_read(pairs, "pairs"), "click_ts", "purchase_ts")
+    def job(arriving: Arriving) -> DataFrame:
+        return jobs.stream_interval_join(
+            side(arriving, "click", "click"), side(arriving, "purchase", "purchase"), "user_id",
+            "click_ts", "purchase_ts", GAP_SECONDS,
+        )
+
+    return _plain(_replayed(spark, root, job, "pairs"), "click_ts", "purchase_ts")
 
 
 def stream_keyed_state(spark: SparkSession, root: str) -> DataFrame:

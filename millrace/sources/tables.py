@@ -40,13 +40,17 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(table_path(root, name))
 
 
+#: Files that a micro-batch takes.
+MAX_FILES = 1000
+
+
 def table_stream(
-    spark: SparkSession, root: str, name: str, max_files_per_trigger: int = 1000
+    spark: SparkSession, root: str, name: str, max_files_per_trigger: int = MAX_FILES
 ) -> DataFrame:
     """The same table as a file stream.
 
     A micro-batch takes at most ``max_files_per_trigger`` files, so that a backlog is worked
-    off in several. The path is written as a pattern because a file stream takes a
+    off in several, in the order of the files' age. The path is written as a pattern because a file stream takes a
     single file only through one; it matches a folder of files just as well.
     """
     pattern = table_path(root, f"{{{name}}}")

@@ -1,13 +1,18 @@
 """Streams over several batches, with restarts, late rows, duplicates and gaps."""
 
+import os
 from datetime import datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from millrace.plans import streams
 from millrace.session import scratch_path
+from millrace.sources import tables
 from millrace.streaming import jobs, run
+from oracle import mismatch
 
 SCHEMA = "id bigint, ts timestamp_ntz, user bigint, value double, props string"
 START = datetime(2024, 1, 1)
@@ -242,3 +247,22 @@ def test_sliding_in_update_mode(spark, slide, expected):
     rows = jobs.newest_windows(stored).orderBy("window_start").collect()
     assert [r.n_rows for r in rows] == expected
     assert [r.total for r in rows] == [float(n) for n in expected]
+
+
+WATERMARKED = ("stream_dedupe", "stream_interval_join", "stream_session", "stream_sliding", "stream_tumbling")
+
+
+@pytest.mark.parametrize("name", WATERMARKED)
+def test_files_out_of_time_order_lose_no_rows(spark, small, tmp_path, monkeypatch, name):
+    """One file per micro-batch, the newest rows in the oldest file."""
+    monkeypatch.setattr(tables, "MAX_FILES", 1, raising=False)
+    monkeypatch.setattr(tables.table_stream, "__defaults__", (1,))
+    folder = tmp_path / "events.parquet"
+    folder.mkdir()
+    events = pq.read_table(f"{small}/events.parquet").sort_by([("ts", "descending")])
+    size = -(-len(events) // 4)
+    for k in range(4):
+        pq.write_table(events.slice(k * size, size), path := folder / f"{k}.parquet")
+        os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
+    query = streams.QUERIES[name]
+    assert mismatch(query.run(spark, str(tmp_path)), small, query.sql) is None

@@ -35,6 +35,9 @@ TEMPLATES = {
     ),
     "CC-BY-4.0": "Licensed under CC BY 4.0",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
     "GPL-notice": (
@@ -58,6 +61,10 @@ TEMPLATES = {
 }
 
 
+#: A notice of so many words names its license by each of them and has to stand word for word.
+SHORT = 12
+
+
 def aligned(left: list, right: list) -> list[tuple[int, int]]:
     """Pairs of equal places of two sequences, ascending in both, by patience alignment."""
     out: list[tuple[int, int]] = []
@@ -133,6 +140,12 @@ def _matches(words: list[int], places: list[int], template: Template, least: flo
     words' places in the text.
     """
     size = len(template.words)
+    if size <= SHORT:
+        first, found = template.words[0], []
+        for k in places:
+            if words[k] == first and tuple(words[k : k + size]) == template.words:
+                found.append((1.0, 1.0, k, k + size, template))
+        return found
     need, reach = int(np.ceil(least * size - 1e-9)), size + size // 2 + 4
     own = [k for k in places if words[k] in template.counts]
     found, done = [], -1
@@ -164,7 +177,8 @@ def find_licenses(
     """Add ``licenses``, an array of (license, begin, end, coverage, score) in order of begin.
 
     Words are compared with A to Z lowered and ASCII punctuation as space; begin and end count words.
-    Coverage is the share of template words aligned, at least ``least``; score, which also counts words
+    Coverage is the share of template words aligned, at least ``least``; a notice of up to ``SHORT``
+    words stands word for word. Score, which also counts words
     of the text in between, decides between matches that overlap (then the longer template, the
     earlier one, the name). Null and empty texts have none, repeated rows get the same answers, and a
     text of any length is searched whole. An existing column ``licenses`` is replaced, others stay.

@@ -332,6 +332,21 @@ def test_licenses_of_a_table(spark):
     assert licenses.find_licenses(frame(spark, [])).count() == 0
 
 
+def test_license_notices_of_other_licenses(spark):
+    lines = {
+        "Released under the BSD License.": [],
+        "It was released under the new license": [],
+        "This work is licensed under the GNU General Public License, version 2.": [],
+        "This work is licensed under the GNU Lesser General Public License, version 3.": [],
+        "Licensed under CC BY-ND 4.0.": ["CC-BY-ND-4.0"],
+        "Licensed under CC BY-NC-SA 4.0.": ["CC-BY-NC-SA-4.0"],
+        "Licensed under CC BY 3.0.": [],
+        "x Released under the MIT License. y": ["MIT"],
+    }
+    found = licenses.find_licenses(frame(spark, list(lines))).orderBy("doc_id").collect()
+    assert [[m.license for m in r.licenses] for r in found] == list(lines.values())
+
+
 def test_licenses_query(spark, medium):
     """Every license line planted in the documents is found, and nothing else."""
     lines = {

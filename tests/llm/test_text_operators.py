@@ -347,6 +347,20 @@ def test_license_notices_of_other_licenses(spark):
     assert [[m.license for m in r.licenses] for r in found] == list(lines.values())
 
 
+def test_whole_license_texts_are_told_apart(spark):
+    """Each text is found as its own license, also with a line put in, and its first sentence is not."""
+    long = {k: t for k, t in licenses.TEMPLATES.items() if len(t.split()) > licenses.SHORT}
+    gap = " ".join(f"gap{k}" for k in range(250))
+    apart = long["BSD-3-Clause"].replace(" 2. ", f" {gap} 2. ", 1)
+    reworded = long["BSD-3-Clause"].replace("Neither the name", "The name").replace("nor the names", "and the names")
+    opening = [t.split(". ")[0][:150] for k, t in long.items() if k not in ("MPL-2.0", "Apache-2.0-notice")]
+    texts = [*(f"So\n{t}\nend" for t in long.values()), apart, reworded, *opening]
+    found = licenses.find_licenses(frame(spark, texts)).orderBy("doc_id").collect()
+    got = [[m.license for m in r.licenses] for r in found]
+    assert got == [*([k] for k in long), ["BSD-3-Clause"], ["BSD-3-Clause"], *([] for _ in opening)]
+    assert all(r.licenses[0].coverage == 1 for r in found[: len(long)])
+
+
 def test_licenses_query(spark, medium):
     """Every license line planted in the documents is found, and nothing else."""
     lines = {

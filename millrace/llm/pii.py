@@ -4,7 +4,8 @@ The model learns what spans look like, from windows that the base patterns label
 rewritten in ways that the patterns do not know (other separators, a phone without plus, an
 at sign in brackets). Whether a span's digits pass the check of its kind is tested afterwards. Texts are cut into overlapping windows; each window is decoded, and
 the spans of all windows of a text are reconciled: spans cut by a window's edge give way to
-whole ones, central ones win, and what remains does not overlap.
+whole ones, or are joined where no window sees them whole, central ones win, and what
+remains does not overlap.
 """
 
 from __future__ import annotations
@@ -187,29 +188,39 @@ def train(df: DataFrame, text: str = "text", max_windows: int = 1500) -> dict[st
     return bilstm.fitted(codes, tags, TAGS)
 
 
+#: (begin, end, kind, edge) of a span in the text; edge is how far it stays from where its window is cut.
+Proposal = tuple[int, int, int, float]
+
+
 def added_spans(text: str, base: list[Span], model: dict[str, np.ndarray]) -> list[Span]:
-    """Reconciled spans of all windows of a text that do not overlap a base span."""
+    """Reconciled spans of all windows of a text that do not overlap a base span.
+
+    A span that a window cuts is followed into the next windows and joined with what they
+    see of it; if the joined one fits a window, it is also decoded in the middle of one.
+    """
     starts = set()
     for m in TRIGGER.finditer(text):
         cell = m.start() // STRIDE * STRIDE
         starts |= {cell, max(0, cell - STRIDE)}
-    ordered = sorted(starts)
-    chars = bilstm.codes_of(text) if len(text) < 4096 else None
-    proposed = []
-    for at in range(0, len(ordered), DECODED):
-        part = ordered[at : at + DECODED]
-        codes = np.zeros((len(part), WIDTH), np.int64)
-        for row, low in enumerate(part):
-            own = bilstm.codes_of(text[low : low + WIDTH]) if chars is None else chars[low : low + WIDTH]
-            codes[row, : len(own)] = own
-        for low, path in zip(part, bilstm.best_paths(model, codes, ALLOWED), strict=True):
-            for kind, begin, end in _spans_of(path.tolist()):
-                edge = min(begin if low else WIDTH, WIDTH - end if low + WIDTH < len(text) else WIDTH)
-                begin, end = low + begin, min(low + end, len(text))
-                proposed.append((-edge, begin, -end, kind))
+    proposed: list[Proposal] = []
+    seen: set[int] = set()
+    while starts:
+        seen |= starts
+        more = set()
+        for low, proposal in _decoded(text, sorted(starts), model):
+            proposed.append(proposal)
+            begin, end, _, _ = proposal
+            if begin == low and low:
+                more.add(low - STRIDE)
+            if end == low + WIDTH and end < len(text):
+                more.add(low + STRIDE)
+        starts = more - seen
+    joined = _joined(proposed)
+    centres = {max(0, (b + e - WIDTH) // 2) for b, e, _, _ in joined if e - b < WIDTH} - seen
+    proposed += joined + [proposal for _, proposal in _decoded(text, sorted(centres), model)]
     taken = sorted((b, e) for _, b, e in base)
     added = []
-    for _, begin, minus_end, kind in sorted(proposed):
+    for _, begin, minus_end, kind in sorted((-edge, b, -e, k) for b, e, k, edge in proposed):
         begin, end = _trimmed(text, begin, -minus_end)
         if end > begin and valid(kind, text[begin:end]) and not any(b < end and e > begin for b, e in taken):
             taken.append((begin, end))
@@ -217,6 +228,41 @@ def added_spans(text: str, base: list[Span], model: dict[str, np.ndarray]) -> li
     return added
 
 
+def _decoded(text: str, starts: list[int], model: dict[str, np.ndarray]) -> Iterator[tuple[int, Proposal]]:
+    """Start of the window and proposal, for the windows that start there."""
+    chars = bilstm.codes_of(text) if starts and len(text) < 4096 else None
+    for at in range(0, len(starts), DECODED):
+        part = starts[at : at + DECODED]
+        codes = np.zeros((len(part), WIDTH), np.int64)
+        for row, low in enumerate(part):
+            own = bilstm.codes_of(text[low : low + WIDTH]) if chars is None else chars[low : low + WIDTH]
+            codes[row, : len(own)] = own
+        for low, path in zip(part, bilstm.best_paths(model, codes, ALLOWED), strict=True):
+            for kind, begin, end in _spans_of(path.tolist()):
+                edge = min(begin if low else WIDTH, WIDTH - end if low + WIDTH < len(text) else WIDTH)
+                yield low, (low + begin, min(low + end, len(text)), kind, edge)
+
+
+def _joined(proposed: list[Proposal]) -> list[Proposal]:
+    """Unions of proposals of one kind that overlap or touch, where a window cuts one of them.
+
+    They come before spans that are cut and after whole ones.
+    """
+    out = []
+    for kind in range(len(KINDS)):
+        union = None
+        for begin, end, _, edge in [*sorted(p for p in proposed if p[2] == kind), (1 << 62, 1 << 62, kind, 1)]:
+            # Two whole spans that touch are two.
+            if union and (begin < union[1] or begin == union[1] and 0 in (edge, union[2])):
+                last = edge if end > union[1] else min(edge, union[2]) if end == union[1] else union[2]
+                union = (union[0], max(union[1], end), last, union[3] + 1, union[4] or edge == 0)
+                continue
+            if union and union[3] > 1 and union[4]:
+                out.append((union[0], union[1], kind, 0.5))
+            union = (begin, end, edge, 1, edge == 0)
+    return out
+
+
 def _trimmed(text: str, begin: int, end: int) -> tuple[int, int]:
     while begin < end and text[begin] in " \n\t.,;:":
         begin += 1

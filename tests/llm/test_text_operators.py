@@ -278,6 +278,22 @@ def test_pii_held_out_spans(spark, pii_model, medium):
     assert total > 20 and found >= 0.8 * total
 
 
+@pytest.mark.parametrize("domain", ["example.co.uk", "mail.example-company.co.uk", "mail.example-company-of-our-days.co.uk", "a" * 90 + ".org"])
+def test_pii_spans_longer_than_the_overlap_of_windows(monkeypatch, domain):
+    """At every offset; in place of the model, windows are tagged as what they show of the span."""
+    outside = bilstm.codes_of("|")[0]
+
+    def tagged(model, codes, allowed):
+        inside = (codes != outside) & (codes != 0)
+        return np.where(inside, np.where(np.roll(inside, 1, 1) & (np.arange(pii.WIDTH) > 0), 2, 1), 0)
+
+    monkeypatch.setattr(bilstm, "best_paths", tagged)
+    span = f"maria.lopez (at) {domain}"
+    for offset in range(32):
+        text = "|" * (64 + offset) + span + "|" * 100
+        assert pii.added_spans(text, [], {}) == [(0, 64 + offset, 64 + offset + len(span))]
+
+
 def test_pii_spans_and_redaction_of_a_table(spark, pii_model):
     texts = [*TEXTS, "mail a.b@c.de or 1.2.3.4, +1 (555) 010-9999.", "clean words only", "12345678"]
     found = pii.find_spans(frame(spark, texts), pii_model)

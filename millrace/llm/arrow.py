@@ -14,6 +14,8 @@ SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "labels": "doc_id bigint, quality int, toxic int",
     "benchmark": "item_id bigint, text string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 #: Rows and bytes of text that a task holds as Python values at once (one row at least).

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontaminate, licenses, lm, neardup, pii, quality, rules, sql, substrings
+from millrace.llm import bpe, chat, decontaminate, licenses, lm, merkle, neardup, pii, quality, rules, sql, substrings
 from millrace.llm.arrow import table
 from millrace.plans.registry import Query
 
@@ -102,6 +102,28 @@ def op10_odd_sketch_neardup(spark: SparkSession, root: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, root, "documents"), words=2, percent=80)
 
 
+def op13_merkle_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """Proof of every document up to the root of the table, and what a changed length does to it.
+
+    Of documents whose doc_id has a CRC that 7 divides, n_chars is one too many when the leaf
+    is compared; a null doc_id has no CRC. A null length stays null.
+    """
+    documents = table(spark, root, "documents")
+    columns = {c: F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")}
+    longer = F.col("n_chars").cast("decimal(20,0)") + 1
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    changed = F.when(chosen, merkle.leaf_of(list((columns | {"n_chars": longer}).values())))
+    keep = {"doc_id": F.col("doc_id"), "changed": changed}
+    proved = merkle.prove_rows(documents, "lang", "doc_id", merkle.leaf_of(list(columns.values())), keep)
+    found = proved.withColumn("folded_root", merkle.folded(F.coalesce("changed", "leaf"), F.col("path")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_weak_label_quality": Query(op1_weak_label_quality),
     "op2_chat_formatting": Query(op2_chat_formatting, sql.chat(CONTROL_TEXT)),
@@ -113,4 +135,5 @@ QUERIES = {
     "op8_bilstm_pii": Query(op8_bilstm_pii),
     "op9_containment": Query(op9_containment, sql.containment(5, 80)),
     "op10_odd_sketch_neardup": Query(op10_odd_sketch_neardup, sql.near_duplicates(2, 80)),
+    "op13_merkle_manifest": Query(op13_merkle_manifest, sql.merkle()),
 }

@@ -104,3 +104,59 @@ def near_duplicates(words: int, percent: int) -> str:
         low AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
         FROM low LEFT JOIN n USING (doc_id)"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || {value}, '-')"
+
+
+def _merkle_levels(name: str, leaves: str) -> str:
+    """Nodes of all levels over (tree, pos, h), and the steps of each leaf up to its root."""
+    return f"""
+        {name} AS (
+            SELECT tree, 0 AS level, count(*) OVER (PARTITION BY tree) AS n, pos, h FROM {leaves}
+            UNION ALL
+            SELECT tree, level + 1, (n + 1) // 2, pos // 2, sha256(string_agg(h, '' ORDER BY pos))
+            FROM {name} WHERE n > 1 GROUP BY tree, level, n, pos // 2),
+        {name}_steps AS (
+            SELECT l.tree, l.pos,
+                   list(CASE (l.pos >> v.level) & 1 WHEN 1 THEN 'L' ELSE 'R' END || coalesce(s.h, '')
+                        ORDER BY v.level) AS steps
+            FROM {leaves} l
+            JOIN (SELECT DISTINCT tree, level FROM {name} WHERE n > 1) v ON v.tree = l.tree
+            LEFT JOIN {name} s ON s.tree = l.tree AND s.level = v.level
+                 AND s.pos = xor(l.pos >> v.level, CAST(1 AS BIGINT))
+            GROUP BY l.tree, l.pos)"""
+
+
+def merkle() -> str:
+    """Trees of two over the documents of each lang and over their roots; CRC-32 bit by bit."""
+    fields = {c: _field(c) for c in ("doc_id", "source", "lang", "n_chars", "text")}
+    leaf = " || ".join(fields.values())
+    changed = " || ".join((fields | {"n_chars": _field("(CAST(n_chars AS DECIMAL(20, 0)) + 1)")}).values())
+    codes = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    bit = "xor(b >> 1, CASE WHEN b & 1 = 1 THEN CAST(3988292384 AS BIGINT) ELSE CAST(0 AS BIGINT) END)"
+    byte = f"list_reduce(list_concat([xor(a, c)], CAST(range(8) AS BIGINT[])), lambda b, z: {bit})"
+    crc = f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {codes}), lambda a, c: {byte}), 4294967295)"
+    step = "sha256(CASE s[1] WHEN 'L' THEN s[2:] || a ELSE a || s[2:] END)"
+    return f"""
+        WITH RECURSIVE leaves AS (
+            SELECT doc_id, coalesce('=' || lang, '') AS tree, sha256({leaf}) AS h,
+                   CASE WHEN {crc} % 7 = 0 THEN sha256({changed}) END AS changed FROM documents),
+        l AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS pos
+              FROM leaves),
+        {_merkle_levels("nodes", "l")},
+        t AS (SELECT '' AS tree, tree AS own, h, row_number() OVER (ORDER BY tree) - 1 AS pos
+              FROM nodes WHERE n = 1),
+        {_merkle_levels("tops", "t")},
+        p AS (SELECT l.doc_id, l.h AS leaf, coalesce(l.changed, l.h) AS compared, t.h AS subroot,
+                     list_concat(coalesce(a.steps, []), coalesce(b.steps, [])) AS path
+              FROM l JOIN t ON t.own = l.tree
+              LEFT JOIN nodes_steps a ON a.tree = l.tree AND a.pos = l.pos
+              LEFT JOIN tops_steps b ON b.pos = t.pos),
+        f AS (SELECT *, list_reduce(list_concat([compared], path), lambda a, s: {step}) AS folded_root,
+                     (SELECT h FROM tops WHERE n = 1) AS root FROM p)
+        SELECT doc_id, leaf, subroot, root,
+               sha256(array_to_string(list_transform(path, lambda s: s[2:]), '')) AS proof_sha256,
+               folded_root, folded_root = root AS verified
+        FROM f"""

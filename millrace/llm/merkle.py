@@ -47,12 +47,13 @@ def tree_name(value: Column) -> Column:
 def numbered(leaves: DataFrame, order: list[str]) -> DataFrame:
     """Add ``position`` (from 0, by ``order`` within ``tree``, nulls first) and ``depth`` of the tree.
 
-    Equal rows take neighbouring positions. The rows are stored once, sorted by ranges; then
+    Equal rows take neighbouring positions. The rows are stored, since the bounds of ranges
+    come from a pass of their own, and stored again, sorted by ranges; then
     a place is the row's place in its range, plus the rows of earlier ranges, less the place
     at which its tree begins. The table of ranges is bounded by the number of partitions.
     """
     by = ["tree", *order]
-    read = leaves.withColumn("_reader", F.spark_partition_id())
+    read = stage(leaves, "unsorted").withColumn("_reader", F.spark_partition_id())
     ranged = read.repartitionByRange(*by, "_reader").drop("_reader").sortWithinPartitions(*by)
     rows = stage(ranged.withColumn("_place", F.monotonically_increasing_id()), "leaves")
     in_range = F.shiftright("_place", 33)
@@ -242,9 +243,11 @@ def prove_rows(
     own = build(leaves, ["_order", "digest"], every)
     tops = own.roots.select(F.lit("").alias("tree"), F.col("tree").alias("group"), "digest")
     whole = build(tops, ["group"], every)
-    top = proofs(whole, ["group"]).select("group", F.col("digest").alias("subroot"), F.col("path").alias("_top"))
-    root = whole.roots.select(F.col("digest").alias("root"))
-    top = stage(top.join(F.broadcast(root)), "subroots")  # one root
+    root = whole.roots.select("tree", F.col("digest").alias("root"))  # one row
+    top = proofs(whole, ["group"]).join(F.broadcast(root), "tree")
+    top = stage(
+        top.select("group", F.col("digest").alias("subroot"), F.col("path").alias("_top"), "root"), "subroots"
+    )
     rows = proofs(own, list(names)).join(top, F.col("tree") == F.col("group"))
     return rows.select(
         *[F.col(inner).alias(name) for inner, name in names.items()],

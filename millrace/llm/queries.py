@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontaminate, licenses, lm, merkle, neardup, pii, quality, rules, sql, substrings
+from millrace.llm import bpe, chat, decontaminate, licenses, lm, merkle, neardup, pii, quality, rules, sql, substrings, warc
 from millrace.llm.arrow import table
 from millrace.plans.registry import Query
+from millrace.session import scratch_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -102,6 +103,37 @@ def op10_odd_sketch_neardup(spark: SparkSession, root: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, root, "documents"), words=2, percent=80)
 
 
+def op12_warc_archive(spark: SparkSession, root: str) -> DataFrame:
+    """Every page written to WARC files and read back.
+
+    Responses are judged by their payload, revisits by their header alone.
+    """
+    path = scratch_path(spark, "warc")
+    warc.archive(table(spark, root, "pages"), path, "page_id", "url", "html")
+
+    def number(urn: str):
+        text = F.substring_index(urn, ":", -1)
+        return F.when(text != "", text).cast("bigint")
+
+    whole = "record_type string, record_id string, payload binary"
+    responses = warc.read(spark, path, whole).filter("record_type = 'response'").select(
+        number("record_id").alias("page_id"),
+        F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_digest"),
+        "record_type",
+        F.lit(None).cast("bigint").alias("refers_to"),
+    )
+    headers = "record_type string, record_id string, payload_bytes bigint, payload_digest string, refers_to string"
+    revisits = warc.read(spark, path, headers).filter("record_type = 'revisit'").select(
+        number("record_id").alias("page_id"),
+        "payload_bytes",
+        F.substring_index("payload_digest", ":", -1).alias("payload_digest"),
+        "record_type",
+        number("refers_to").alias("refers_to"),
+    )
+    return responses.unionByName(revisits)
+
+
 def op13_merkle_manifest(spark: SparkSession, root: str) -> DataFrame:
     """Proof of every document up to the root of the table, and what a changed length does to it.
 
@@ -135,5 +167,6 @@ QUERIES = {
     "op8_bilstm_pii": Query(op8_bilstm_pii),
     "op9_containment": Query(op9_containment, sql.containment(5, 80)),
     "op10_odd_sketch_neardup": Query(op10_odd_sketch_neardup, sql.near_duplicates(2, 80)),
+    "op12_warc_archive": Query(op12_warc_archive, sql.archive(100)),
     "op13_merkle_manifest": Query(op13_merkle_manifest, sql.merkle()),
 }

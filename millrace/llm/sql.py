@@ -106,6 +106,19 @@ def near_duplicates(words: int, percent: int) -> str:
         FROM low LEFT JOIN n USING (doc_id)"""
 
 
+def archive(least: int) -> str:
+    """Pages by digest; the first of equal ones that are long enough is a response."""
+    return f"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+        d AS (SELECT page_id, n, sha256(html) AS digest FROM p),
+        f AS (SELECT *, CASE WHEN n >= {least} THEN min(page_id) OVER (PARTITION BY digest) END AS first FROM d)
+        SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+               CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit'
+                    ELSE 'response' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+        FROM f"""
+
+
 def _field(value: str) -> str:
     return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || {value}, '-')"
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontaminate, licenses, lm, merkle, neardup, pii, quality, rules, sql, substrings, warc
+from millrace.llm import bpe, chat, decontaminate, licenses, lm, merkle, neardup, pii, quality, rules, sql, substrings, warc, whitening
 from millrace.llm.arrow import table
 from millrace.plans.registry import Query
 from millrace.session import scratch_path
@@ -103,6 +103,12 @@ def op10_odd_sketch_neardup(spark: SparkSession, root: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, root, "documents"), words=2, percent=80)
 
 
+def op11_exact_whitening(spark: SparkSession, root: str) -> DataFrame:
+    """The first 16 components of every embedding, whitened."""
+    embeddings = table(spark, root, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(embeddings, whitening.fit(embeddings))
+
+
 def op12_warc_archive(spark: SparkSession, root: str) -> DataFrame:
     """Every page written to WARC files and read back.
 
@@ -167,6 +173,7 @@ QUERIES = {
     "op8_bilstm_pii": Query(op8_bilstm_pii),
     "op9_containment": Query(op9_containment, sql.containment(5, 80)),
     "op10_odd_sketch_neardup": Query(op10_odd_sketch_neardup, sql.near_duplicates(2, 80)),
+    "op11_exact_whitening": Query(op11_exact_whitening),
     "op12_warc_archive": Query(op12_warc_archive, sql.archive(100)),
     "op13_merkle_manifest": Query(op13_merkle_manifest, sql.merkle()),
 }

@@ -32,6 +32,8 @@ MAX_VOCABULARY = 2_000_000
 REMEMBERED, REMEMBERED_BYTES = 250_000, 32 << 20
 #: Pre-tokens that share one queue.
 QUEUED = 1 << 15
+#: Positions of a bucket from which array operations pay.
+MANY = 96
 _BYTES = [bytes([code]) for code in range(256)]
 
 
@@ -45,14 +47,176 @@ def read_ranks(path: str) -> list[bytes]:
     return [tokens.get(rank, b"") for rank in range(max(tokens) + 1)]
 
 
+class _Queue:
+    """Linked positions of the bytes of many pre-tokens, and those that wait, by rank.
+
+    ``part`` is the token that begins at a position, ``rank_at`` the rank of the pair that it
+    begins (-1: none), ``after`` and ``before`` link positions. Each is an array that single
+    steps index and a numpy view (``v_``) of the same memory.
+    """
+
+    def __init__(self, bpe: Bpe, data: np.ndarray, ends: np.ndarray):
+        self.bpe, size = bpe, len(data)
+        part = bpe.of_byte[data]
+        if (part < 0).any():
+            raise ValueError("the vocabulary lacks a byte of the text")
+        first_ranks = np.append(bpe.ranks_of(part[:-1], part[1:]), np.int32(-1)).astype(np.int32)
+        first_ranks[ends - 1] = -1
+        after = np.arange(1, size + 1, dtype=np.int32)
+        before = np.arange(-1, size - 1, dtype=np.int32)
+        after[ends - 1] = -1
+        before[np.append(0, ends[:-1])] = -1
+        self.part, self.v_part = _shared(part)
+        self.rank_at, self.v_rank_at = _shared(first_ranks)
+        self.after, self.v_after = _shared(after)
+        self.before, self.v_before = _shared(before)
+        self.alive = np.ones(size, bool)
+        self.buckets: dict[int, list[int]] = {}
+        self.words: dict[int, int] = {}
+        self.summary = 0
+        waiting = np.flatnonzero(first_ranks >= 0)
+        self.push_all(waiting, first_ranks[waiting])
+
+    def lowest(self) -> int:
+        """The lowest rank that waits, by two find-first-set steps; its bit is cleared."""
+        word = (self.summary & -self.summary).bit_length() - 1
+        low = self.words[word] & -self.words[word]
+        self.words[word] ^= low
+        if not self.words[word]:
+            self.summary ^= 1 << word
+        return (word << 8) + low.bit_length() - 1
+
+    def push(self, rank: int, positions: list[int]) -> None:
+        entries = self.buckets.get(rank)
+        if entries is not None:
+            entries.extend(positions)
+            return
+        self.buckets[rank] = positions
+        word = rank >> 8
+        self.words[word] = self.words.get(word, 0) | 1 << (rank & 255)
+        self.summary |= 1 << word
+
+    def push_all(self, positions: np.ndarray, ranks: np.ndarray) -> None:
+        order = np.argsort(ranks, kind="stable")
+        positions, ranks = positions[order].tolist(), ranks[order]
+        cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+        at = 0
+        for end in [*cuts.tolist(), len(positions)]:
+            if end > at:
+                self.push(int(ranks[at]), positions[at:end])
+            at = end
+
+    def merge_all(self, rank: int, bucket: list[int]) -> bool:
+        """Merge all pairs of a bucket at once; False, and nothing done, if a lower rank could come up."""
+        part, rank_at, after, before = self.v_part, self.v_rank_at, self.v_after, self.v_before
+        at = np.array(bucket, np.int32)
+        at = at[rank_at[at] == rank]  # others are stale
+        if not len(at):
+            return True
+        at.sort()
+        right = after[at]
+        shares = right[:-1] == at[1:]
+        if shares.any():
+            # Pairs that share a token, as in "aaa": of each run every second one, from the left.
+            place = np.arange(len(at))
+            begins = np.append(True, ~shares)
+            taken = (place - np.maximum.accumulate(np.where(begins, place, 0))) & 1 == 0
+            at, right = at[taken], right[taken]
+        following, previous = after[right], before[at]
+        has_right, touches = following >= 0, np.append(False, following[:-1] == at[1:])
+        has_left = (previous >= 0) & ~touches
+        follows = following[has_right]
+        precedes, begun = previous[has_left], at[has_right]
+        token = np.int32(rank)
+        right_ranks = self.bpe.ranks_of(np.full(len(follows), token), part[follows])
+        left_ranks = self.bpe.ranks_of(part[precedes], np.full(len(precedes), token))
+        twice = self.bpe.joined.get(rank << 32 | rank, -1)
+        lowest = min((r[r >= 0].min(initial=rank) for r in (right_ranks, left_ranks)), default=rank)
+        if lowest < rank or (0 <= twice < rank and touches.any()):
+            return False
+        part[at] = rank
+        self.alive[right] = False
+        rank_at[right] = -1
+        rank_at[at] = -1
+        after[at] = following
+        before[follows] = begun
+        # The next token may have been merged as well.
+        right_ranks[np.append(touches[1:], False)[has_right]] = twice
+        rank_at[begun] = right_ranks
+        rank_at[precedes] = left_ranks
+        positions, ranks = np.concatenate([begun, precedes]), np.concatenate([right_ranks, left_ranks])
+        waits = ranks >= 0
+        if waits.any():
+            self.push_all(positions[waits], ranks[waits])
+        return True
+
+    def merge_each(self, rank: int, bucket: list[int]) -> None:
+        """Merge the pairs of a bucket from the left; the rest waits once a lower rank comes up."""
+        get, part, rank_at, after, before = self.bpe.joined.get, self.part, self.rank_at, self.after, self.before
+        buckets, words, alive = self.buckets, self.words, self.alive
+        bucket.sort()  # entries came in a few ascending stretches
+        least, high = rank, rank << 32
+        for done, at in enumerate(bucket):
+            if rank_at[at] != rank:
+                continue
+            right = after[at]
+            part[at] = rank
+            alive[right] = False
+            rank_at[right] = rank_at[at] = -1
+            following, previous = after[right], before[at]
+            after[at] = following
+            for left, pair in (
+                (at, high | part[following] if following >= 0 else -1),
+                (previous, part[previous] << 32 | rank if previous >= 0 else -1),
+            ):
+                if pair < 0:
+                    continue
+                if left == at:
+                    before[following] = at
+                new = rank_at[left] = get(pair, -1)
+                if new < 0:
+                    continue
+                entries = buckets.get(new)
+                if entries is not None:
+                    entries.append(left)
+                    continue
+                buckets[new] = [left]
+                word = new >> 8
+                words[word] = words.get(word, 0) | 1 << (new & 255)
+                self.summary |= 1 << word
+                if new < least:
+                    least = new
+            if least < rank:
+                if rest := bucket[done + 1 :]:
+                    self.push(rank, rest)
+                return
+
+
+def _shared(values: np.ndarray) -> tuple[array, np.ndarray]:
+    """The values as an array of Python's, and a view of it."""
+    own = array("i", values.astype(np.int32).tobytes())
+    return own, np.frombuffer(own, np.int32)
+
+
 class Bpe:
     """Encoder and decoder of one worker."""
 
     def __init__(self, tokens: list[bytes], pattern: str):
         self.tokens = tokens
         self.ranks = {token: rank for rank, token in enumerate(tokens) if token}
-        pairs = [self.ranks.get(bytes(divmod(pair, 256)), -1) for pair in range(1 << 16)]
-        self.pairs = np.array(pairs, np.int32)
+        self.of_byte = np.array([self.ranks.get(one, -1) for one in _BYTES], np.int32)
+        #: Rank of two tokens that make one, by both their ranks; as a dictionary, and sorted.
+        self.joined = {
+            left << 32 | right: rank
+            for token, rank in self.ranks.items()
+            for cut in range(1, len(token))
+            if (left := self.ranks.get(token[:cut])) is not None
+            and (right := self.ranks.get(token[cut:])) is not None
+        }
+        pairs = np.fromiter(self.joined, np.int64, len(self.joined))
+        order = np.argsort(pairs)
+        self.pairs = np.append(pairs[order], np.int64(-1))
+        self.pair_ranks = np.append(np.fromiter(self.joined.values(), np.int32, len(order))[order], np.int32(-1))
         self.flat = np.frombuffer(b"".join(tokens), np.uint8)
         self.sizes = np.array([len(token) for token in tokens])
         self.firsts = np.cumsum(self.sizes) - self.sizes
@@ -61,85 +225,34 @@ class Bpe:
         self.older: dict[str, bytes] = {}
         self.size = 0
 
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair of tokens, -1 where they make none."""
+        wanted = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.pairs[:-1], wanted)
+        return np.where(self.pairs[at] == wanted, self.pair_ranks[at], np.int32(-1))
+
     def merged(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of each pre-token; all of them wait in one queue, and no pair crosses two."""
-        get, data = self.ranks.get, b"".join(pieces)
+        """Ids of each pre-token."""
+        ids, ends = self.queued(pieces)
+        return [part.tolist() for part in np.split(ids, ends[:-1])]
+
+    def queued(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pre-tokens end to end, and where each one's ids end.
+
+        All wait in one queue, and no pair crosses two. A bucket of many positions is
+        merged by array operations where no merge of it makes a pair of lower rank; else its
+        positions are merged one by one, from the left, until a lower rank comes up.
+        """
+        data = np.frombuffer(b"".join(pieces), np.uint8)
         ends = np.cumsum([len(piece) for piece in pieces])
-        codes = np.frombuffer(data, np.uint8).astype(np.int32)
-        first_ranks = np.append(self.pairs[codes[:-1] << 8 | codes[1:]], np.int32(-1))
-        first_ranks[ends - 1] = -1
-        #: Rank of the pair that begins at a position, -1 where there is none.
-        rank_at = first_ranks.tolist()
-        part = list(map(_BYTES.__getitem__, data))
-        after, before = list(range(1, len(data) + 1)), list(range(-1, len(data) - 1))
-        for end in ends.tolist():
-            after[end - 1] = -1
-        for end in ends[:-1].tolist():
-            before[end] = -1
-        order = np.argsort(first_ranks, kind="stable")
-        cuts = np.flatnonzero(np.diff(first_ranks[order], prepend=-1))
-        waiting = [positions.tolist() for positions in np.split(order, cuts)[1:]]
-        buckets = {rank_at[positions[0]]: positions for positions in waiting}
-        words: dict[int, int] = {}
-        for rank in buckets:
-            words[rank >> 8] = words.get(rank >> 8, 0) | 1 << (rank & 255)
-        summary = sum(1 << word for word in words)
-        while summary:
-            word = (summary & -summary).bit_length() - 1
-            low = words[word] & -words[word]
-            rank = (word << 8) + low.bit_length() - 1
-            words[word] ^= low
-            if not words[word]:
-                summary ^= 1 << word
-            bucket = buckets.pop(rank)
-            bucket.sort()  # leftmost first; entries came in a few ascending stretches
-            least = rank
-            for done, at in enumerate(bucket):
-                if rank_at[at] != rank:
-                    continue
-                right = after[at]
-                joined = part[at] = part[at] + part[right]
-                rank_at[right] = -1
-                following, previous = after[right], before[at]
-                after[at] = following
-                rank_at[at] = -1
-                for left, begin, text in (
-                    (at, following, joined + part[following] if following >= 0 else None),
-                    (previous, at, part[previous] + joined if previous >= 0 else None),
-                ):
-                    if text is None:
-                        continue
-                    if left == at:
-                        before[begin] = at
-                    new = rank_at[left] = get(text, -1)
-                    if new < 0:
-                        continue
-                    entries = buckets.get(new)
-                    if entries is not None:
-                        entries.append(left)
-                        continue
-                    buckets[new] = [left]
-                    word = new >> 8
-                    words[word] = words.get(word, 0) | 1 << (new & 255)
-                    summary |= 1 << word
-                    if new < least:
-                        least = new
-                if least < rank:
-                    # A lower rank has come up: the rest of this bucket has to wait for it.
-                    if rest := bucket[done + 1 :]:
-                        buckets[rank] = rest
-                        word = rank >> 8
-                        words[word] |= 1 << (rank & 255)
-                        summary |= 1 << word
-                    break
-        ids = []
-        for at in [0, *ends[:-1].tolist()]:
-            own = []
-            while at >= 0:
-                own.append(get(part[at]))
-                at = after[at]
-            ids.append(own)
-        return ids
+        queue = _Queue(self, data, ends)
+        while queue.summary:
+            rank = queue.lowest()
+            bucket = queue.buckets.pop(rank)
+            if len(bucket) < MANY or not queue.merge_all(rank, bucket):
+                queue.merge_each(rank, bucket)
+        kept = np.concatenate([[0], np.cumsum(queue.alive)])[ends]
+        return queue.v_part[queue.alive], kept
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as 32-bit integers; what pre-tokens gave is remembered."""
@@ -163,8 +276,11 @@ class Bpe:
                     recent[piece] = np.int32(whole).tobytes()
         for at in range(0, len(queued), QUEUED):
             names, coded = zip(*queued[at : at + QUEUED], strict=True)
-            for piece, ids in zip(names, self.merged(list(coded)), strict=True):
-                recent[piece] = array("i", ids).tobytes()
+            ids, ends = self.queued(list(coded))
+            packed, begin = ids.tobytes(), 0
+            for piece, end in zip(names, (ends * 4).tolist(), strict=True):
+                recent[piece] = packed[begin:end]
+                begin = end
         return [b"".join(map(recent.__getitem__, of_text)) for of_text in pieces]
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -52,6 +52,35 @@ def test_bpe_of_long_pre_tokens_and_a_lower_rank_coming_up(coder, reference_code
     assert odd.merged([b"abcabc"]) == [[3, 3]] or odd.merged([b"abcabc"]) == [[5, 4]]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="ab", min_size=1, max_size=30), min_size=1, max_size=12), st.permutations(range(3, 12)))
+def test_bpe_by_buckets_is_bpe_one_by_one(pieces, order):
+    """Vocabularies whose merges often bring up lower ranks, with every bucket merged at once or none."""
+    joined = [b"ab", b"ba", b"aa", b"bab", b"aba", b"aab", b"abab", b"aaaa", b"bb"]
+    own = bpe.Bpe([b"a", b"b", b"c", *(joined[k - 3] for k in order)], ".+")
+
+    def one_by_one(piece):
+        parts = [bytes([c]) for c in piece]
+        while True:
+            found = [(own.ranks.get(a + b), k) for k, (a, b) in enumerate(zip(parts, parts[1:], strict=False))]
+            found = [f for f in found if f[0] is not None]
+            if not found:
+                return [own.ranks[p] for p in parts]
+            k = min(found)[1]
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+
+    coded = [p.encode() for p in pieces]
+    for many in (1, 4, 10**9):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(bpe, "MANY", many)
+            assert own.merged(coded) == [one_by_one(p) for p in coded]
+
+
+def test_bpe_of_a_byte_that_is_not_in_the_vocabulary():
+    with pytest.raises(ValueError, match="lacks a byte"):
+        bpe.Bpe([b"a"], ".+").encode(["ab"])
+
+
 def test_bpe_round_trip_of_a_table(spark, reference_coder):
     coded = bpe.round_trip(frame(spark, TEXTS + TEXTS), VOCABULARY, public_tokenizers.PATTERN)
     assert coded.columns == ["doc_id", "text", "good", "spans", "n_words", "ids", "decoded"]

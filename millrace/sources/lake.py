@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -11,13 +9,16 @@ from pyspark.sql.types import StructType
 from millrace.functions.money import total
 from millrace.functions.parsing import TIMESTAMP_FORMAT, checked_csv, checked_json, once, readable
 from millrace.operators.etl import Split, dedupe_latest, overwrite_partitions
-from millrace.session import path_exists, remove_path, settings, stage
+from millrace.session import path_exists, settings, stage
+from millrace.sources import journal
 
 CLEAN_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, value double, props string, "
     "event_date date, event_type string"
 )
 CLEAN_PARTS = ["event_date", "event_type"]
+#: Which of several rows of one event and time stays: the greatest by these.
+TIE_BREAK = ["event_type", "user_id", "value", "props"]
 MART_SCHEMA = "event_type string, n_events bigint, total_value double, event_date date"
 
 
@@ -65,48 +66,52 @@ def parse_json_column(df: DataFrame, col: str, schema: StructType) -> DataFrame:
 def promote_clean(raw: DataFrame, root: str) -> str:
     """Merge raw events into the clean layer: one row per event, the newest, by date and type.
 
-    Returns the layer's path. See ``merge_clean``.
-    """
-    return merge_clean(raw, root)[0]
-
-
-def merge_clean(raw: DataFrame, root: str) -> tuple[str, DataFrame]:
-    """``promote_clean``, and the partitions it touched.
-
-    Touched are the partitions of the new rows and those that hold older copies of the same
-    events, which may have another date or type. These are read, merged and rewritten; all others
-    stay as they are. Of copies with one time the later load wins. A rerun changes nothing.
+    Rewritten are the partitions of the new rows and those that hold older copies of the same
+    events, which may have another date or type; all others stay as they are. Of copies with one
+    time the later load wins, within a load the greatest by all other columns. A rerun changes
+    nothing, also after a run that was cut off at any point: what is to be written stands in a
+    journal first, see ``journal``. Returns the layer's path.
     """
-    spark, path = raw.sparkSession, f"{root}/clean"
-    new = dedupe_latest(raw, ["event_id"], ["ts"]).withColumn("event_date", F.to_date("ts"))
-    new = stage(new.select(*spark.createDataFrame([], CLEAN_SCHEMA).columns), "new-events")
+    spark, path, journal_path = raw.sparkSession, f"{root}/clean", f"{root}/journal"
+    journal.finish(spark, journal_path, path, CLEAN_SCHEMA, CLEAN_PARTS)
+    typed = raw.withColumn("event_date", F.to_date("ts"))
+    new = typed.select(*spark.createDataFrame([], CLEAN_SCHEMA).columns)
+    new = stage(dedupe_latest(new, ["event_id"], ["ts", *TIE_BREAK]), "new-events")
     touched, merged = new.select(*CLEAN_PARTS), new.withColumn("_load", F.lit(1))
     if path_exists(spark, path):
         old = spark.read.schema(CLEAN_SCHEMA).parquet(path)
-        holders = old.join(new.select("event_id"), "event_id", "left_semi").select(*CLEAN_PARTS)
-        touched = stage(touched.union(holders).distinct(), "touched")
-        kept = _in_partitions(old, touched, CLEAN_PARTS).withColumn("_load", F.lit(0))
-        merged = merged.unionByName(kept)
-    else:
+        same = F.col("event_id").eqNullSafe(F.col("_event_id"))
+        ids = new.select(F.col("event_id").alias("_event_id"))
+        touched = touched.union(old.join(ids, same, "left_semi").select(*CLEAN_PARTS))
         touched = stage(touched.distinct(), "touched")
-    merged = stage(dedupe_latest(merged, ["event_id"], ["ts", "_load"]).drop("_load"), "merged")
-    overwrite_partitions(merged, path, CLEAN_PARTS)
-    _drop_emptied(spark, path, CLEAN_SCHEMA, touched, merged, CLEAN_PARTS)
-    return path, touched
+        kept = journal.in_partitions(old, touched, CLEAN_PARTS).withColumn("_load", F.lit(0))
+        merged = merged.unionByName(kept)
+    merged = dedupe_latest(merged, ["event_id"], ["ts", "_load"]).drop("_load")
+    journal.log(journal_path, merged, touched)
+    journal.finish(spark, journal_path, path, CLEAN_SCHEMA, CLEAN_PARTS)
+    return path
 
 
 def promote_mart(clean: DataFrame, root: str, days: DataFrame | None = None) -> str:
-    """Clean events to daily counts, of the given days or of all; returns the path of the mart."""
+    """Clean events to daily counts, of the given days or of all; returns the path of the mart.
+
+    It follows from the clean layer alone, so a run that was cut off is repeated.
+    """
     spark, path = clean.sparkSession, f"{root}/mart"
     if days is not None:
-        clean = _in_partitions(clean, days, ["event_date"])
+        clean = journal.in_partitions(clean, days, ["event_date"])
     daily = clean.groupBy("event_date", "event_type").agg(
         F.count(F.lit(1)).alias("n_events"), total("value").cast("double").alias("total_value")
     )
-    daily = stage(daily, "daily")
-    overwrite_partitions(daily, path, ["event_date"])
-    if days is not None:
-        _drop_emptied(spark, path, MART_SCHEMA, days, daily, ["event_date"])
+    if days is None:
+        overwrite_partitions(daily, path, ["event_date"])
+        return path
+    # An entry of its own kind of journal, since days without events leave the mart.
+    journal_path = f"{root}/mart-journal"
+    journal.log(journal_path, daily, days.select("event_date"))
+    journal.finish(spark, journal_path, path, MART_SCHEMA, ["event_date"])
+    for entry in journal.entries(spark, journal_path):
+        journal.forget(spark, entry)
     return path
 
 
@@ -114,38 +119,19 @@ def promote_layers(raw: DataFrame, root: str) -> tuple[str, str]:
     """raw -> clean -> mart, a load at a time.
 
     A load rewrites the partitions of the clean layer that it touches and the days of
-    the mart that these belong to. It can be rerun.
+    the mart that these belong to. Days stay in the journal until the mart has them, so that a
+    rerun, or the next load, also counts the days of runs that were cut off.
     """
     spark = raw.sparkSession
-    clean, touched = merge_clean(raw, root)
-    days = stage(touched.select("event_date").distinct(), "days")
-    mart = promote_mart(spark.read.schema(CLEAN_SCHEMA).parquet(clean), root, days)
+    clean = promote_clean(raw, root)
+    waiting = journal.entries(spark, f"{root}/journal")
+    days = journal.touched(spark, waiting, CLEAN_SCHEMA, CLEAN_PARTS).select("event_date")
+    mart = promote_mart(spark.read.schema(CLEAN_SCHEMA).parquet(clean), root, stage(days.distinct(), "days"))
+    for entry in waiting:
+        journal.forget(spark, entry)
     return clean, mart
 
 
-def _same_partition(parts: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_in_{c}")) for c in parts])
-
-
-def _in_partitions(df: DataFrame, chosen: DataFrame, parts: list[str], how: str = "left_semi") -> DataFrame:
-    names = chosen.select(*[F.col(c).alias(f"_in_{c}") for c in parts]).distinct()
-    return df.join(names, _same_partition(parts), how)
-
-
-def _drop_emptied(
-    spark: SparkSession, path: str, schema: str, touched: DataFrame, written: DataFrame, parts: list[str]
-) -> None:
-    """Remove touched partitions that got no row; an overwrite by partition leaves them standing."""
-    emptied = _in_partitions(touched, written.select(*parts), parts, "left_anti")
-    if not path_exists(spark, path) or emptied.isEmpty():
-        return
-    stored = spark.read.schema(schema).parquet(path).withColumn("_file", F.col("_metadata.file_path"))
-    folder = F.regexp_extract("_file", "^(.*)/[^/]*$", 1)
-    gone = _in_partitions(stored, emptied, parts).select(folder.alias("folder")).distinct()
-    for row in gone.toLocalIterator():  # one per emptied partition
-        remove_path(spark, row["folder"])
-
-
 def read_pruned(spark: SparkSession, path: str, schema: str, predicate: Column) -> DataFrame:
     """Read the directories that match a predicate on partition columns."""
     return spark.read.schema(schema).parquet(path).filter(predicate)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from millrace.session import scratch_path
-from millrace.sources import lake
+from millrace.sources import journal, lake
 from millrace.sources.tables import TABLES, table
 
 PAIR = StructType().add("a", IntegerType()).add("b", "string")
@@ -146,6 +146,89 @@ def test_an_event_that_moves_is_kept_once(spark):
     assert {day for _, day, _ in clean} == {3} == {day for day, _, _ in mart}
 
 
+class Lost(Exception):
+    """The job ended here."""
+
+
+WRITES = ["log", "overwrite_partitions", "_drop_emptied", "mark", "remove_path"]
+
+
+def cut_off(monkeypatch, after, halfway=False):
+    """The job is lost after so many writes; an overwrite may be lost between two of its partitions."""
+    done = []
+
+    def step(name, real):
+        def run(*args, **kwargs):
+            if name == "overwrite_partitions" and halfway and len(done) == after:
+                df, path, parts = args
+                one = df.select(*parts).orderBy(*parts).first()
+                for part in parts:
+                    df = df.filter(F.col(part).eqNullSafe(F.lit(one[part])))
+                real(df, path, parts)
+                raise Lost
+            out = real(*args, **kwargs)
+            done.append(name)
+            if len(done) > after:
+                raise Lost
+            return out
+
+        return run
+
+    for name in WRITES:
+        monkeypatch.setattr(journal, name, step(name, getattr(journal, name)))
+    return done
+
+
+FIRST = [(1, datetime(2024, 1, 1, 1), "click"), (2, datetime(2024, 1, 1, 2), "click"), (5, datetime(2024, 1, 5), "view")]
+SECOND = [(1, datetime(2024, 1, 2), "view"), (3, datetime(2024, 1, 3), "view"), (2, datetime(2024, 1, 2), "view")]
+THIRD = [(4, datetime(2024, 1, 4), "view")]
+
+
+@pytest.mark.parametrize("halfway", [False, True])
+def test_a_load_that_is_cut_off_anywhere_is_finished_by_the_next_run(spark, monkeypatch, halfway):
+    expected = [(1, 2, "view"), (2, 2, "view"), (3, 3, "view"), (5, 5, "view")]
+    counted = [(2, "view", 2), (3, "view", 1), (5, "view", 1)]
+    after, steps = 0, None
+    while steps is None or after < steps:
+        root = scratch_path(spark, "test-cut-off")
+        load(spark, root, *FIRST)
+        with monkeypatch.context() as patch:
+            done = cut_off(patch, after, halfway)
+            try:
+                load(spark, root, *SECOND)
+                steps = len(done)
+            except Lost:
+                pass
+        # Either the same load comes again, or the next one does and then the same again.
+        if after % 2 == 0:
+            assert load(spark, root, *THIRD)[0][-2:] == [(4, 4, "view"), (5, 5, "view")]
+            clean, mart = load(spark, root, *SECOND)
+            assert clean == sorted([*expected, (4, 4, "view")]) and mart == sorted([*counted, (4, "view", 1)])
+        else:
+            assert load(spark, root, *SECOND) == (expected, counted)
+        assert journal.entries(spark, f"{root}/journal") == []
+        after += 9 if halfway else 5
+    assert steps >= 8
+
+
+def test_days_of_a_clean_merge_alone_reach_the_mart_later(spark):
+    root = scratch_path(spark, "test-days")
+    load(spark, root, *FIRST)
+    lake.promote_clean(spark.createDataFrame([(1, SECOND[0][1], 1, "view", 1.0, "")], EVENTS), root)
+    assert load(spark, root, *THIRD)[1] == [(1, "click", 1), (2, "view", 1), (4, "view", 1), (5, "view", 1)]
+
+
+def test_rows_of_one_event_and_time_are_settled_by_their_values(spark):
+    rows = [(7, datetime(2024, 1, 1), user, kind, 1.0, "") for user, kind in ((1, "a"), (3, "b"), (2, "b"), (None, "b"))]
+    rows += [(None, None, 1, None, None, None)] * 2
+    for order in (rows, rows[::-1]):
+        root = scratch_path(spark, "test-ties")
+        for _ in range(2):
+            clean, _ = lake.promote_layers(spark.createDataFrame(order, EVENTS).repartition(4), root)
+        stored = spark.read.schema(lake.CLEAN_SCHEMA).parquet(clean).collect()
+        assert sorted(((r.event_id, r.user_id, r.event_type) for r in stored), key=repr) == [(7, 3, "b"), (None, 1, None)]
+
+
 def test_inventory_counts_files_without_rows(spark):
     root = scratch_path(spark, "test-empty-file")
     spark.range(8).withColumn("part", F.lit("a")).repartition(4).write.partitionBy("part").parquet(root)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators import multisource as ops
 from millrace.plans.registry import Query
-from millrace.session import stage
+from millrace.session import scratch_path, stage
+from millrace.sources import history
 from millrace.sources.tables import table
 
 
@@ -74,11 +75,21 @@ def point_in_time_join(spark: SparkSession, root: str) -> DataFrame:
         .select("user_id", F.col("_day").cast("timestamp_ntz").alias("snapshot_at"))
     )
     # A warehouse keeps its history as a table; the join reads it more than once.
-    history = stage(_history(spark, root), "history")
-    joined = ops.point_in_time_join(days, history, "user_id", "snapshot_at")
+    versions = stage(_history(spark, root), "history")
+    joined = ops.point_in_time_join(days, versions, "user_id", "snapshot_at")
     return joined.select("user_id", "snapshot_at", "event_type", "valid_from")
 
 
+def merge_history(spark: SparkSession, root: str) -> DataFrame:
+    """The history of ``scd2_history`` from three loads; each has changes older than those before."""
+    events = table(spark, root, "events").select("user_id", "ts", "event_type")
+    home, place = scratch_path(spark, "history"), F.pmod(F.xxhash64("ts"), F.lit(3))
+    for load in (2, 0, 1):
+        history.merge_history(events.filter(place == load), home, "user_id", "ts", ["event_type"])
+    columns = "user_id bigint, ts timestamp_ntz, event_type string"
+    return history.read_history(spark, home, "user_id", "ts", columns)
+
+
 _PARTIES_SQL = """
     SELECT c_custkey AS party_id, c_name AS name, c_nationkey AS nation_key,
            c_acctbal AS balance, c_mktsegment AS segment, 'customer' AS source FROM customer
@@ -117,6 +128,9 @@ QUERIES = {
     "scd2_history": Query(
         scd2_history, f"SELECT *, valid_to IS NULL AS is_current FROM ({_HISTORY_SQL})"
     ),
+    "merge_history": Query(
+        merge_history, f"SELECT *, valid_to IS NULL AS is_current FROM ({_HISTORY_SQL})"
+    ),
     "point_in_time_join": Query(
         point_in_time_join,
         f"""

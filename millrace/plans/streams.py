@@ -13,11 +13,12 @@ from millrace.plans.registry import Query
 from millrace.session import scratch_path, stage
 from millrace.sources import tables
 from millrace.sources.tables import TABLES, table, table_stream
-from millrace.streaming import jobs, run
+from millrace.streaming import jobs, run, stateful
 
 PROPS = StructType([StructField("k", IntegerType())])
 GAP_SECONDS = 3600
 LATE_DAY = "2024-01-10"
+STREAM_BEGIN = "2024-01-10 12:00:00"
 
 
 Arriving = Callable[[], DataFrame]
@@ -199,6 +200,29 @@ def stream_multi_sink(spark: SparkSession, root: str) -> DataFrame:
 _ENRICHED_SQL = """
     SELECT event_id, user_id, c_name, c_mktsegment
     FROM events LEFT JOIN customer ON user_id = c_custkey"""
+def stream_left_open(spark: SparkSession, root: str) -> DataFrame:
+    """Clicks that no purchase of the user follows within an hour, from an hour before the stream begins.
+
+    Those of that hour which are still open are the state to begin with.
+    """
+    is_click, is_purchase = (F.col("event_type") == kind for kind in ("click", "purchase"))
+    begin, gap = F.lit(STREAM_BEGIN).cast("timestamp"), F.expr(f"interval {GAP_SECONDS} seconds")
+    before = jobs.event_time(table(spark, root, "events"))
+    before = before.filter((F.col("ts") >= begin - gap) & (F.col("ts") < begin))
+    bought = before.filter(is_purchase).groupBy(F.col("user_id").alias("buyer"))
+    bought = bought.agg(F.max("ts").alias("bought_at"))  # all of them are within the gap
+    same = (F.col("user_id") == F.col("buyer")) & (F.col("ts") <= F.col("bought_at"))
+    known = before.filter(is_click).join(bought, same, "left_anti")
+
+    def job(arriving: Arriving) -> DataFrame:
+        stream = arriving().filter(F.col("ts") >= begin)
+        return stateful.stream_left_open(
+            stream, "user_id", "ts", "event_id", is_click, is_purchase, GAP_SECONDS, known
+        )
+
+    return _plain(_replayed(spark, root, job, "left-open"), "opened_at", "left_at")
+
+
 _CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
 
 QUERIES = {
@@ -248,6 +272,17 @@ QUERIES = {
         FROM n GROUP BY user_id, s
         HAVING max(ts) + INTERVAL 30 MINUTE <= {_CLOSED}""",
     ),
+    "stream_left_open": Query(
+        stream_left_open,
+        f"""
+        WITH e AS (SELECT * FROM events WHERE event_type IN ('click', 'purchase')),
+        w AS (SELECT epoch_ms(max(ts)) - 3600000 AS reached FROM e)
+        SELECT user_id, event_id, ts AS opened_at, ts + INTERVAL 1 HOUR AS left_at FROM e AS c, w
+        WHERE event_type = 'click' AND ts >= TIMESTAMP '{STREAM_BEGIN}' - INTERVAL 1 HOUR
+              AND epoch_ms(ts + INTERVAL 1 HOUR) < reached - 1
+              AND NOT EXISTS (SELECT 1 FROM e AS p WHERE p.event_type = 'purchase'
+                              AND p.user_id = c.user_id AND p.ts BETWEEN c.ts AND c.ts + INTERVAL 1 HOUR)""",
+    ),
     "stream_late_rows": Query(
         stream_late_rows,
         """

@@ -350,6 +350,45 @@ def cohort_retention(df: DataFrame, key: str, date: str) -> DataFrame:
     )
 
 
+def rolling_distinct(df: DataFrame, key: str, date: str, days: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """(``by``, day, n_keys): distinct keys of the last ``days`` days, for each day from a group's first to its last.
+
+    A key enters the count on a day on which it was not in it and leaves it ``days`` days after its last
+    row, so work does not grow with ``days``. Rows without a key make their day known but
+    are no key; rows without a date are left out; a null in ``by`` is a group. Days between without any row are
+    reported too. After the first step a key has one row per group and day, and what is added up one row per day.
+    """
+    if days < 1:
+        raise ValueError("at least one day")
+    active = df.select(*by, F.col(key).alias("_key"), F.to_date(date).alias("day")).filter("day is not null").distinct()
+    of_key = Window.partitionBy(*by, "_key").orderBy("day")
+    until = F.date_add("day", days)
+    ends = active.withColumns({
+        "_enters": F.col("_key").isNotNull() & F.coalesce(F.date_add(F.lag("day").over(of_key), days) < F.col("day"), F.lit(True)),
+        "_leaves": F.col("_key").isNotNull() & F.coalesce(F.lead("day").over(of_key) > until, F.lit(True)),
+    })
+
+    def change(day: Column, by_how_much: Column, known: bool) -> Column:
+        return F.struct(day.alias("day"), by_how_much.alias("change"), F.lit(known).alias("known"))
+
+    moves = F.array(
+        change(F.col("day"), F.col("_enters").cast("bigint"), True),
+        change(until, -F.col("_leaves").cast("bigint"), False),
+    )
+    per_day = (
+        ends.select(*by, F.inline(moves))
+        .groupBy(*by, "day")
+        .agg(F.sum("change").alias("change"), F.max("known").alias("known"))
+    )
+    over_days = Window.partitionBy(*by).orderBy("day")
+    last = F.max(F.when(F.col("known"), F.col("day"))).over(Window.partitionBy(*by))
+    counted = per_day.select(
+        *by, "day", F.sum("change").over(over_days).alias("n_keys"), F.lead("day").over(over_days).alias("_next"), last.alias("_last")
+    ).filter("day <= _last")
+    through = F.least(F.col("_last"), F.coalesce(F.date_sub("_next", 1), F.col("_last")))
+    return counted.select(*by, F.explode(F.sequence("day", through)).alias("day"), "n_keys")
+
+
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 

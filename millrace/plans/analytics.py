@@ -172,6 +172,12 @@ _PIVOT_SQL = f"""
            {", ".join(_flag_sql(f, n) for f, n in RETURN_FLAGS.items())}
     FROM lineitem GROUP BY 1"""
 
+def rolling_distinct(spark: SparkSession, root: str) -> DataFrame:
+    """Users of each type of event within the last seven days, day by day."""
+    users = ops.rolling_distinct(table(spark, root, "events"), "user_id", "ts", 7, ("event_type",))
+    return users.select("event_type", F.col("day").cast("timestamp_ntz").alias("day"), "n_keys")
+
+
 QUERIES = {
     "star_revenue": Query(
         star_revenue,
@@ -327,4 +333,15 @@ QUERIES = {
                count(*) AS n_rows, round(sum(o_totalprice / 7), 3) AS total
         FROM orders GROUP BY ROLLUP (o_orderstatus)""",
     ),
+    "rolling_distinct": Query(
+        rolling_distinct,
+        """
+        WITH d AS (SELECT event_type, unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)),
+                                             INTERVAL 1 DAY)) AS day
+                   FROM events GROUP BY 1)
+        SELECT d.event_type, CAST(d.day AS TIMESTAMP) AS day, count(DISTINCT e.user_id) AS n_keys
+        FROM d LEFT JOIN events e ON e.event_type = d.event_type
+          AND e.ts >= d.day - INTERVAL 6 DAY AND e.ts < d.day + INTERVAL 1 DAY
+        GROUP BY 1, 2""",
+    ),
 }

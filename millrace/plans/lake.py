@@ -10,7 +10,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from millrace.plans.registry import Query
 from millrace.session import scratch_path
-from millrace.sources import lake
+from millrace.sources import clustered, gate, lake
 from millrace.sources.tables import TABLES, table
 
 PROPS = StructType([StructField("k", IntegerType())])
@@ -109,6 +109,42 @@ def lake_inventory(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def read_clustered(spark: SparkSession, root: str) -> DataFrame:
+    """Events of some users in a range of values, from a table that is clustered by both."""
+    path = scratch_path(spark, "clustered")
+    clustered.write_clustered(table(spark, root, "events"), path, ["user_id", "value"], 500)
+    ranges = {"user_id": (10, 30), "value": (5.0, 20.0)}
+    return clustered.read_clustered(spark, path, TABLES["events"], ranges)
+
+
+def _gated(spark: SparkSession, root: str) -> tuple[str, list[gate.GateReport]]:
+    """Loads of events: a good one, one that lost the values of error events, twice, and an empty one."""
+    events, path = table(spark, root, "events"), scratch_path(spark, "gated")
+    lost = F.when(F.col("event_type") != "error", F.col("value"))
+    rules = {"value is known": F.col("value") >= 0, "event has a time": F.col("ts").isNotNull()}
+    good, bad = events.filter("event_type = 'error'"), events.withColumn("value", lost)
+    return path, [
+        gate.gated_write(good, path, rules),
+        gate.gated_write(bad, path, rules),
+        # Half of the rows may break a rule here, so this one passes.
+        gate.gated_write(bad, f"{path}-tolerant", rules, {"value is known": 0.5}),
+        gate.gated_write(events.filter("event_id < 0"), path, rules),
+    ]
+
+
+def gated_write(spark: SparkSession, root: str) -> DataFrame:
+    """What readers see after one good load and two that were refused."""
+    path, _ = _gated(spark, root)
+    return gate.read_published(spark, path, TABLES["events"])
+
+
+def gate_report(spark: SparkSession, root: str) -> DataFrame:
+    """One row a load: rows, rows without a value, and whether it was published."""
+    _, reports = _gated(spark, root)
+    rows = [(k + 1, r.published, r.n_rows, r.broken["value is known"]) for k, r in enumerate(reports)]
+    return spark.createDataFrame(rows, "load int, published boolean, n_rows bigint, n_broken bigint")
+
+
 QUERIES = {
     "land_raw": Query(land_raw, "SELECT * FROM events"),
     "land_raw_csv": Query(
@@ -155,4 +191,18 @@ QUERIES = {
                TRUE AS has_files, TRUE AS has_bytes
         FROM events GROUP BY 1, 2""",
     ),
+    "read_clustered": Query(
+        read_clustered,
+        "SELECT * FROM events WHERE user_id BETWEEN 10 AND 30 AND value BETWEEN 5.0 AND 20.0",
+    ),
+    "gated_write": Query(gated_write, "SELECT * FROM events WHERE event_type = 'error'"),
+    "gate_report": Query(
+        gate_report,
+        """
+        WITH e AS (SELECT count(*) AS n, count(*) FILTER (event_type = 'error') AS errors FROM events)
+        SELECT 1 AS load, TRUE AS published, errors AS n_rows, 0::BIGINT AS n_broken FROM e
+        UNION ALL SELECT 2, FALSE, n, errors FROM e
+        UNION ALL SELECT 3, TRUE, n, errors FROM e
+        UNION ALL SELECT 4, FALSE, 0, 0""",
+    ),
 }

@@ -61,6 +61,14 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def extended(df: DataFrame, ddl: str) -> StructType:
     """Schema of ``df`` with the columns of ``ddl`` behind."""
     return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrow import extended
+from millrace.llm.arrow import extended, slices
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 #: Characters that open a control string of this or another template, and the escape itself.
@@ -27,6 +27,8 @@ OPENING = re.compile(r"([\\<\[])")
 OPENED = re.compile(r"([\\<\[])\\")
 #: Turns by number that are formatted by one task at least, and characters of a segment.
 BLOCK_TURNS, SEGMENT_CHARS = 4096, 1 << 20
+#: A record nested deeper than this is of no layout.
+MAX_DEPTH = 100
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
@@ -82,16 +84,18 @@ MAPPINGS = (
 )
 
 
-def field_paths(value: object, prefix: str = "") -> set[str]:
+def field_paths(value: object, prefix: str = "", depth: int = 0) -> set[str]:
     """Paths of all nested fields; list items share the path of their list plus ``[]``."""
+    if depth > MAX_DEPTH:
+        raise ValueError("nested too deep")
     if isinstance(value, dict):
         paths = set()
         for name, inner in value.items():
             path = f"{prefix}.{name}" if prefix else name
-            paths |= {path} | field_paths(inner, path)
+            paths |= {path} | field_paths(inner, path, depth + 1)
         return paths
     if isinstance(value, list):
-        return {f"{prefix}[]"}.union(*(field_paths(x, f"{prefix}[]") for x in value))
+        return {f"{prefix}[]"}.union(*(field_paths(x, f"{prefix}[]", depth + 1) for x in value))
     return set()
 
 
@@ -139,8 +143,8 @@ def canonical_turns(
 ) -> DataFrame:
     """One row (key, order, position, role, text, layout, fingerprint) per turn of each record.
 
-    ``record`` is JSON text. A record that is null, no JSON object, or of a layout that no
-    mapping knows gives one row with null ``layout``, null role and null text, so that it can
+    ``record`` is JSON text. A record that is null, no JSON object, nested deeper than ``MAX_DEPTH``,
+    holding half of a surrogate pair (which is no text), or of a layout that no mapping knows gives one row with null ``layout``, null role and null text, so that it can
     be counted and a mapping added. A mapped record without turns gives no row. Other columns
     are not returned; repeated records give repeated turns.
     """
@@ -154,7 +158,7 @@ def canonical_turns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, Mapping | None] = {}
-        for batch in batches:
+        for batch in slices(batches, "record"):
             source, out = [], []
             records = batch.column("record").to_pylist()
             for at, text in enumerate(records):
@@ -184,7 +188,10 @@ def canonical_turns(
 def _parsed(text: str | None) -> dict:
     try:
         value = json.loads(text) if text else None
-    except ValueError:
+        field_paths(value)
+        if text and "\\u" in text:
+            json.dumps(value, ensure_ascii=False).encode()
+    except (ValueError, RecursionError):
         value = None
     return value if isinstance(value, dict) else {}
 
@@ -240,7 +247,7 @@ def format_chats(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
             segment += 1
             parts, marked, size, n_turns = [], [], 0, 0
 
-        for batch in batches:
+        for batch in slices(batches, "text"):
             key_type = batch.schema.field("key").type
             for key, block, _, _, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (key, block) != current:
@@ -311,7 +318,7 @@ def digest_chats(segments: DataFrame) -> DataFrame:
             columns = [pa.array(list(v), t) for v, t in zip(values, types, strict=True)]
             return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-        for batch in batches:
+        for batch in slices(batches, "formatted"):
             key_type = batch.schema.field("key").type
             columns = (batch.column(c).to_pylist() for c in ("key", "formatted", "loss_spans"))
             for key, text, spans in zip(*columns, strict=True):

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from millrace.llm.arrow import slices, text_bytes, without
+from millrace.llm.arrow import fresh, slices, text_bytes, without
 from millrace.llm.words import PLAIN, U, numbers_by_text, shingles
 
 #: Bytes of item texts that are broadcast at a time; more items take several passes.
@@ -123,13 +123,14 @@ def mark_contained(
     items = benchmark.select(F.col(f"`{item}`").alias("item"), text_bytes().alias("text"))
     kind = items.schema["item"].dataType
     found = f"array<struct<item: {kind.simpleString()}, n_shared: bigint, n_shingles: bigint>>"
-    rows = without(documents, "contained", "_source_bytes")
-    rows = rows.withColumn("_source_bytes", text_bytes(f"`{text}`"))
+    rows = without(documents, "contained")
+    bytes_column = fresh(rows, "_source_bytes")
+    rows = rows.withColumn(bytes_column, text_bytes(f"`{text}`"))
     rows = rows.withColumn("contained", F.array().cast(found))
     for block in _blocks(items):
         shared = spark.sparkContext.broadcast(block)
-        rows = rows.mapInArrow(_search(shared, words, share, to_arrow_type(rows.schema["contained"].dataType)), rows.schema)
-    return rows.drop("_source_bytes")
+        rows = rows.mapInArrow(_search(shared, bytes_column, words, share, to_arrow_type(rows.schema["contained"].dataType)), rows.schema)
+    return rows.drop(bytes_column)
 
 
 def contained_items(
@@ -170,7 +171,7 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple]]:
         yield block
 
 
-def _search(shared, words: int, share: float, found: pa.DataType):
+def _search(shared, bytes_column: str, words: int, share: float, found: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [name for name, _ in shared.value]
         items = {item.number: item for item in items_of([text for _, text in shared.value], words, share)}
@@ -178,8 +179,8 @@ def _search(shared, words: int, share: float, found: pa.DataType):
         for item in items.values():
             by_width[item.width].append(item)
         samples = [Sample(members, share) for members in by_width.values()]
-        for batch in slices(batches, "_source_bytes"):
-            texts = [text.translate(PLAIN) for text in batch.column("_source_bytes").to_pylist()]
+        for batch in slices(batches, bytes_column):
+            texts = [text.translate(PLAIN) for text in batch.column(bytes_column).to_pylist()]
             marked = batch.column("contained").to_pylist()
             for k, numbered in enumerate(numbers_by_text(texts)):
                 for sample in samples:

@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrow import extended, slices, text_bytes, without
-from millrace.llm.words import PLAIN, numbers_by_text, text_numbers
+from millrace.llm.arrow import extended, fresh, slices, text_bytes, without
+from millrace.llm.words import PLAIN, Taken, numbers_by_text, text_numbers
 
 _AS_IS = (
     'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
@@ -296,7 +296,8 @@ def find_licenses(
     text of any length is searched whole. An existing column ``licenses`` is replaced, others stay.
     The templates are a fixed list and travel with the task.
     """
-    kept = without(df, "licenses", "_source_bytes")
+    kept = without(df, "licenses")
+    bytes_column = fresh(kept, "_source_bytes")
     found = "struct<license: string, begin: bigint, end: bigint, coverage: double, score: double>"
     schema = extended(kept, f"licenses array<{found}>")
 
@@ -306,8 +307,8 @@ def find_licenses(
         kinds = (pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
         names = ("license", "begin", "end", "coverage", "score")
         kind = pa.list_(pa.struct(list(zip(names, kinds, strict=True))))
-        for batch in slices(batches, "_source_bytes"):
-            texts = [t.translate(PLAIN) for t in batch.column("_source_bytes").to_pylist()]
+        for batch in slices(batches, bytes_column):
+            texts = [t.translate(PLAIN) for t in batch.column(bytes_column).to_pylist()]
             out = []
             for numbers in numbers_by_text(texts):
                 places = np.flatnonzero(np.isin(numbers, vocabulary))
@@ -319,17 +320,15 @@ def find_licenses(
                         words = numbers.tolist() if words is None else words
                         matches += _matches(words, places.tolist(), template, least)
                 out.append([dict(zip(names, m, strict=True)) for m in _best(matches)])
-            batch = batch.drop_columns(["_source_bytes"])
+            batch = batch.drop_columns([bytes_column])
             yield batch.append_column("licenses", pa.array(out, kind))
 
-    return kept.withColumn("_source_bytes", text_bytes(f"`{text}`")).mapInArrow(run, schema)
+    return kept.withColumn(bytes_column, text_bytes(f"`{text}`")).mapInArrow(run, schema)
 
 
 def _best(matches: list[tuple]) -> list[tuple]:
     """Matches that do not overlap, best first taken, in order of begin."""
     ranked = sorted(matches, key=lambda m: (-m[0], -len(m[4].words), m[2], m[4].name))
-    taken: list[tuple] = []
-    for score, coverage, begin, end, template in ranked:
-        if all(end <= b or begin >= e for _, b, e, _, _ in taken):
-            taken.append((template.name, begin, end, coverage, score))
-    return sorted(taken, key=lambda m: m[1])
+    taken = Taken()
+    chosen = [m for m in ranked if taken.take(m[2], m[3])]
+    return sorted(((t.name, begin, end, cover, score) for score, cover, begin, end, t in chosen), key=lambda m: m[1])

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import bilstm
-from millrace.llm.arrow import extended, slices, without
+from millrace.llm.arrow import extended, fresh, slices, without
+from millrace.llm.words import Taken
 
 KINDS = ("email", "ip", "card", "phone")
 WIDTH, STRIDE = 64, 32
@@ -40,6 +42,15 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+_DIGITS = frozenset("0123456789")
+_REST = re.compile(r"[A-Za-z0-9-]*(?:\.[A-Za-z0-9-]+)*")
+_NUMBER = re.compile("[0-9]*")
+#: How far a span is completed at either end; no address has more characters.
+REACH = 320
+_DATE = re.compile(
+    r"(?:[0-9]{4}([ .\x2f-])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([ .\x2f-])[0-9]{1,2}\2[0-9]{4})(?: [0-9. ]*)?"
+)
+
 Span = tuple[int, int, int]
 
 
@@ -100,6 +111,8 @@ def valid(kind: int, text: str) -> bool:
         return _valid_ip(re.sub(r" ?\. ?", ".", text)) and bool(re.fullmatch(r"[0-9. ]+", text))
     if kind == 2:
         return 16 <= len(digits) <= 19 and luhn(digits) and bool(re.fullmatch(r"[0-9][0-9 ./_-]*[0-9]", text))
+    if _DATE.fullmatch(text):
+        return False
     whole = re.fullmatch(r"(?:\+|00|\()?[0-9][0-9 ().\x2f-]*[0-9]", text)
     # Without a plus, groups have to be set apart, or any long number would do.
     return 8 <= len(digits) <= 15 and bool(whole) and (text[0] == "+" or len(re.findall("[0-9]+", text)) > 2)
@@ -122,24 +135,26 @@ def _rewritten(kind: int, text: str, number: int) -> str:
 def training_windows(df: DataFrame, text: str = "text", max_windows: int = 1500) -> list[tuple[str, int, int, int]]:
     """(window, kind, begin, end) around base spans, and with kind -1 around other triggers.
 
-    At most ``max_windows``, those of smallest hash, so that they are the same whatever the
-    order of rows.
+    At most ``max_windows``, a fifth of each kind, those of smallest hash, so that they are the same
+    whatever the order of rows; of windows without a span one in eight by another hash enters.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "source"):
             out = []
             for source in batch.column("source").to_pylist():
-                text = source.decode()
+                text = source.decode("utf-8", "replace")
                 spans = shaped_spans(text)
+                near = Taken([(b, e) for _, b, e in spans])
                 for kind, begin, end in spans:
-                    if end - begin < WIDTH - 16:
-                        low = max(0, begin - (7 * begin) % (WIDTH - (end - begin)))
-                        out.append((text[low : low + WIDTH], kind, begin - low, end - low))
+                    # A span longer than a window is trained as far as the window goes.
+                    low = max(0, begin - (7 * begin) % max(WIDTH - (end - begin), 16))
+                    out.append((text[low : low + WIDTH], kind, begin - low, min(end - low, WIDTH)))
                 for m in TRIGGER.finditer(text):
                     low = max(0, m.start() - WIDTH // 2)
-                    if m.start() % 8 == 0 and not any(b < low + WIDTH and e > low for _, b, e in spans):
-                        out.append((text[low : low + WIDTH], -1, 0, 0))
+                    window = text[low : low + WIDTH]
+                    if crc32(window.encode()) % 8 == 0 and near.free(low, low + WIDTH):
+                        out.append((window, -1, 0, 0))
             if out:
                 types = (pa.string(), pa.int32(), pa.int32(), pa.int32())
                 columns = [pa.array(v, t) for v, t in zip(zip(*out, strict=True), types, strict=True)]
@@ -218,12 +233,13 @@ def added_spans(text: str, base: list[Span], model: dict[str, np.ndarray]) -> li
     joined = _joined(proposed)
     centres = {max(0, (b + e - WIDTH) // 2) for b, e, _, _ in joined if e - b < WIDTH} - seen
     proposed += joined + [proposal for _, proposal in _decoded(text, sorted(centres), model)]
-    taken = sorted((b, e) for _, b, e in base)
-    added = []
+    taken, added = Taken([(b, e) for _, b, e in base]), []
     for _, begin, minus_end, kind in sorted((-edge, b, -e, k) for b, e, k, edge in proposed):
         begin, end = _trimmed(text, begin, -minus_end)
-        if end > begin and valid(kind, text[begin:end]) and not any(b < end and e > begin for b, e in taken):
-            taken.append((begin, end))
+        if end <= begin or not taken.free(begin, end):
+            continue
+        begin, end = _whole(text, kind, begin, end)
+        if valid(kind, text[begin:end]) and taken.take(begin, end):
             added.append((kind, begin, end))
     return added
 
@@ -271,6 +287,18 @@ def _trimmed(text: str, begin: int, end: int) -> tuple[int, int]:
     return begin, end
 
 
+def _whole(text: str, kind: int, begin: int, end: int) -> tuple[int, int]:
+    """The span with the rest of the word or number that it begins or ends in."""
+    before = _LOCAL if kind == 0 else _DIGITS
+    least, most = max(0, begin - REACH), min(len(text), end + REACH)
+    if text[begin] in before:
+        while begin > least and text[begin - 1] in before:
+            begin -= 1
+    if text[end - 1] in before:
+        end = (_REST if kind == 0 else _NUMBER).match(text, end, most).end()
+    return begin, end
+
+
 def _spans_of(path: list[int]) -> list[Span]:
     spans, begin = [], None
     for at, tag in enumerate([*path, 0]):
@@ -287,20 +315,21 @@ def find_spans(df: DataFrame, model: dict[str, np.ndarray] | None, text: str = "
 
     Offsets are code points, ends exclusive. Base spans of different kinds may overlap; spans that the
     model adds overlap nothing. Null and empty texts have no spans; repeated rows get the same
-    ones. An existing column ``spans`` is replaced. A window without a digit or an at sign is not decoded, since
+    ones. Bytes that are no UTF-8 count as U+FFFD. An existing column ``spans`` is replaced, others stay. A window without a digit or an at sign is not decoded, since
     no span without one is valid.
     """
     kept = without(df, "spans")
     struct = "struct<kind: string, begin: bigint, end: bigint, base: boolean>"
+    bytes_column = fresh(kept, "_source_bytes")
     schema = extended(kept, f"spans array<{struct}>")
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([("kind", pa.string()), ("begin", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())])
-        for batch in slices(batches, "_source_bytes"):
+        for batch in slices(batches, bytes_column):
             out = []
-            for source in batch.column("_source_bytes").to_pylist():
-                value = source.decode() if source else ""
+            for source in batch.column(bytes_column).to_pylist():
+                value = source.decode("utf-8", "replace") if source else ""
                 if not TRIGGER.search(value):
                     out.append([])
                     continue
@@ -308,10 +337,10 @@ def find_spans(df: DataFrame, model: dict[str, np.ndarray] | None, text: str = "
                 more = added_spans(value, base, shared.value) if shared.value else []
                 spans = sorted([(*s, True) for s in base] + [(*s, False) for s in more])
                 out.append([{"kind": KINDS[k], "begin": b, "end": e, "base": own} for k, b, e, own in spans])
-            batch = batch.drop_columns(["_source_bytes"])
+            batch = batch.drop_columns([bytes_column])
             yield batch.append_column("spans", pa.array(out, pa.list_(kind)))
 
-    source = kept.withColumn("_source_bytes", F.col(f"`{text}`").cast("binary"))
+    source = kept.withColumn(bytes_column, F.col(f"`{text}`").cast("binary"))
     return source.mapInArrow(run, schema)
 
 
@@ -325,10 +354,11 @@ def redact(df: DataFrame, text: str = "text") -> DataFrame:
         "when a.end > b.end then -1 when a.end < b.end then 1 else 0 end)"
     )
     # State: text so far, and the code point up to which the source is used.
-    step = f"""aggregate(_ordered, named_struct('out', cast('' as string), 'at', 0L), (s, x) ->
+    name = fresh(df, "_ordered")
+    step = f"""aggregate(`{name}`, named_struct('out', cast('' as string), 'at', 0L), (s, x) ->
         if(x.begin < s.at, named_struct('out', s.out, 'at', greatest(s.at, x.end)),
            named_struct('out', concat(s.out, substring(`{text}`, int(s.at + 1), int(x.begin - s.at)), '[', x.kind, ']'),
                         'at', x.end)),
         s -> concat(s.out, substring(`{text}`, int(s.at + 1))))"""
     changed = F.when(F.size("spans") > 0, F.expr(step)).otherwise(F.col(f"`{text}`"))
-    return df.withColumn("_ordered", ordered).withColumn(text, changed).drop("_ordered")
+    return df.withColumn(name, ordered).withColumn(text, changed).drop(name)

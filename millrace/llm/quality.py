@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import rules
-from millrace.llm.arrow import extended, slices, text_bytes, without
+from millrace.llm.arrow import extended, fresh, slices, text_bytes, without
 from millrace.llm.words import LOWER, U, text_numbers, word_tails
 from millrace.session import stage
 
@@ -24,6 +24,8 @@ GOOD, BAD, NONE = 1, 0, 2
 #: Hashed features: words, tails of words, and ranges of the text's rates.
 WORDS, TAILS, RANGES = 2048, 512, 16
 FEATURES = WORDS + TAILS + RANGES * len(rules.RATES)
+#: Mean and weight of the priors on being right on bad, and on good documents.
+PRIOR = ((0.4, 10.0), (0.995, 1000.0))
 
 
 def _vote(bad: Column, good: Column) -> Column:
@@ -58,18 +60,24 @@ def pattern() -> Column:
     return sum((vote * 3**at for at, vote in enumerate(labellers().values())), F.lit(0)).cast("int")
 
 
-def posteriors(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> np.ndarray:
+def posteriors(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, prior: tuple = PRIOR) -> np.ndarray:
     """Chance of good for each vote pattern, by expectation-maximisation over pattern counts.
 
     Each labeller has a chance of being right on good documents, at first 0.995, and one on bad
     documents, at first 0.4, since a heuristic knows one way of being bad and calls the others
-    good; abstaining tells nothing. Beta priors of these means, that on good as heavy as all rows,
-    keep a kind of bad documents from being learned as good.
+    good; abstaining tells nothing. ``prior`` gives the means and weights, in votes, of Beta priors on bad and
+    on good documents. The weights are fixed, so with many rows the votes alone decide.
     """
+    return estimated(patterns, counts, rounds, prior)[0]
+
+
+def estimated(
+    patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, prior: tuple = PRIOR
+) -> tuple[np.ndarray, np.ndarray, float]:
+    """Posteriors of the patterns, chance of being right by (bad or good, labeller), share of good."""
     number = len(labellers())
     votes = (patterns[:, None] // 3 ** np.arange(number)) % 3
-    total = max(counts.sum(), 100.0)
-    prior = np.array([[4.0, 10.0], [0.995 * total, total]])  # right and all votes, on bad and on good
+    prior = np.array([(mean * weight, weight) for mean, weight in prior])  # right and all votes
     right = np.repeat(prior[:, :1] / prior[:, 1:], number, axis=1)
     share = 0.8
     for _ in range(rounds):
@@ -84,7 +92,7 @@ def posteriors(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> n
             agreed = weight[side] @ (votes == said)
             spoken = weight[side] @ (votes != NONE)
             right[side] = (agreed + prior[side, 0]) / (spoken + prior[side, 1])
-    return chance
+    return chance, right, share
 
 
 def features(texts: list[bytes], rates: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -121,7 +129,8 @@ def fit(df: DataFrame, text: str = "text", max_sample: int = 3000) -> np.ndarray
 
     Votes are counted over all documents. At most ``max_sample`` documents, half of them from
     either side of the posterior as far as there are, train the weights: those of smallest
-    hash. Pattern counts (3 to the power of the labellers) and the sample are collected.
+    hash. Pattern counts (3 to the power of the labellers) and the sample's features, of a fixed size
+    a document, are collected.
     """
     hashed = df.select(F.xxhash64(F.col(f"`{text}`")).alias("_hash"), F.col(f"`{text}`").alias("text"))
     counted = rules.rates(rules.text_counts(hashed))
@@ -142,19 +151,33 @@ def fit(df: DataFrame, text: str = "text", max_sample: int = 3000) -> np.ndarray
     # Documents of one hash are copies of one text; the sample is small enough to broadcast.
     sample = stage(sides[0].union(sides[1]), "sample")
     chosen = hashed.join(F.broadcast(sample), "_hash").dropDuplicates(["_hash", "chance"])
-    rated = rules.rates(rules.text_counts(chosen.withColumn("_text", F.col("text"))))
-    rows = rated.select("_hash", "_text", "chance", *rules.RATES).collect()
-    rows.sort(key=lambda r: (r["_hash"], r["chance"]))
-    matrix = np.zeros((len(rows), FEATURES), np.float32)
-    rates = np.array([[r[name] for name in rules.RATES] for r in rows], float).reshape(-1, len(rules.RATES))
-    for at in range(0, len(rows), 256):
-        part = rows[at : at + 256]
-        texts = [(r["_text"] or "").encode() for r in part]
-        row, column, value = features(texts, rates[at : at + 256])
-        np.add.at(matrix, (row + at, column), value)
+    made = chosen.select("_hash", "chance", text_bytes().alias("source")).mapInArrow(
+        _featured, "_hash bigint, chance double, features binary"
+    )
+    rows = sorted(made.collect(), key=lambda r: (r["_hash"], r["chance"]))
+    matrix = np.array([np.frombuffer(r["features"], np.float32) for r in rows]).reshape(-1, FEATURES)
     return trained(matrix, np.array([r["chance"] for r in rows]))
 
 
+def _rates_of(counts: np.ndarray) -> np.ndarray:
+    at = {name: k for k, name in enumerate(rules.COUNTS)}
+    return np.stack([counts[:, at[a]] / np.maximum(counts[:, at[b]], 1) for a, b in rules.RATES.values()], axis=1)
+
+
+def _counted(texts: list[bytes]) -> np.ndarray:
+    return np.array([rules.counts_of(t) for t in texts], float).reshape(-1, len(rules.COUNTS))
+
+
+def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "source"):
+        texts = batch.column("source").to_pylist()
+        matrix = np.zeros((len(texts), FEATURES), np.float32)
+        row, column, value = features(texts, _rates_of(_counted(texts)))
+        np.add.at(matrix, (row, column), value)
+        batch = batch.drop_columns(["source"])
+        yield batch.append_column("features", pa.array([vector.tobytes() for vector in matrix], pa.binary()))
+
+
 def classify(df: DataFrame, weights: np.ndarray, text: str = "text", least: float = 0.2) -> DataFrame:
     """Add double ``quality_score`` between 0 and 1 and boolean ``good`` (score of ``least`` or more).
 
@@ -163,23 +186,20 @@ def classify(df: DataFrame, weights: np.ndarray, text: str = "text", least: floa
     """
     shared = df.sparkSession.sparkContext.broadcast(weights)
     kept = without(df, "quality_score", "good")
+    bytes_column = fresh(kept, "_source_bytes")
     schema = extended(kept, "quality_score double, good boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
-        for batch in slices(batches, "_source_bytes"):
-            texts = batch.column("_source_bytes").to_pylist()
-            counts = np.array([rules.counts_of(t) for t in texts], float).reshape(-1, len(rules.COUNTS))
-            at = {name: k for k, name in enumerate(rules.COUNTS)}
-            rates = np.stack(
-                [counts[:, at[a]] / np.maximum(counts[:, at[b]], 1) for a, b in rules.RATES.values()], axis=1
-            )
-            row, column, value = features(texts, rates)
+        for batch in slices(batches, bytes_column):
+            texts = batch.column(bytes_column).to_pylist()
+            counts = _counted(texts)
+            row, column, value = features(texts, _rates_of(counts))
             score = np.bincount(row, weights[column] * value, len(texts)) + weights[-1]
             score = 1 / (1 + np.exp(-np.clip(score, -50, 50)))
             good = (score >= least) & (counts[:, 0] > 0)
-            batch = batch.drop_columns(["_source_bytes"])
+            batch = batch.drop_columns([bytes_column])
             batch = batch.append_column("quality_score", pa.array(score))
             yield batch.append_column("good", pa.array(good))
 
-    return kept.withColumn("_source_bytes", text_bytes(f"`{text}`")).mapInArrow(run, schema)
+    return kept.withColumn(bytes_column, text_bytes(f"`{text}`")).mapInArrow(run, schema)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrow import extended, slices, text_bytes, without
+from millrace.llm.arrow import extended, fresh, slices, text_bytes, without
 
 COUNTS = (
     "n_words",
@@ -49,7 +49,7 @@ def counts_of(text: bytes) -> tuple[int, ...]:
     lines = [line for line in text.split(b"\n") if line.strip()]
     return (
         len(words),
-        len(joined.decode()),
+        len(joined.decode("utf-8", "replace")),
         len(text) - len(text.translate(None, SYMBOLS)),
         len(lines) - len(set(lines)),
         _repeated(words),
@@ -77,20 +77,21 @@ def text_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """Add the bigint columns ``COUNTS``; a null or empty text has zeros.
 
     Columns of the same names are replaced; rows stay as they are, and ``text`` is
-    not returned.
+    not returned. Bytes that are no UTF-8 count as U+FFFD.
     """
-    rows = without(df.withColumn("_source_bytes", text_bytes(text)), text, *COUNTS)
-    schema = extended(without(rows, "_source_bytes"), ", ".join(f"{c} bigint" for c in COUNTS))
-    return rows.mapInArrow(_count_task, schema)
-
-
-def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "_source_bytes"):
-        rows = [counts_of(t) for t in batch.column("_source_bytes").to_pylist()]
-        batch = batch.drop_columns(["_source_bytes"])
-        for name, values in zip(COUNTS, zip(*rows, strict=True), strict=True):
-            batch = batch.append_column(name, pa.array(values, pa.int64()))
-        yield batch
+    bytes_column = fresh(df, "_source_bytes")
+    rows = without(df.withColumn(bytes_column, text_bytes(f"`{text}`")), text, *COUNTS)
+    schema = extended(without(rows, bytes_column), ", ".join(f"{c} bigint" for c in COUNTS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, bytes_column):
+            counted = [counts_of(t) for t in batch.column(bytes_column).to_pylist()]
+            batch = batch.drop_columns([bytes_column])
+            for name, values in zip(COUNTS, zip(*counted, strict=True), strict=True):
+                batch = batch.append_column(name, pa.array(values, pa.int64()))
+            yield batch
+
+    return rows.mapInArrow(run, schema)
 
 
 def rates(df: DataFrame) -> DataFrame:

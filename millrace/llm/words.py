@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import string
+from bisect import bisect_right
 
 import numpy as np
 
@@ -23,6 +24,33 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 PLAIN = LOWER.translate(bytes(32 if chr(c) in string.punctuation else c for c in range(256)))
 
 
+class Taken:
+    """Stretches that do not overlap, kept in order; a new one is found its place by bisection."""
+
+    def __init__(self, spans: list[tuple[int, int]] = ()):
+        self.begins: list[int] = []
+        self.ends: list[int] = []
+        for begin, end in sorted(spans):
+            if self.ends and begin < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.begins.append(begin)
+                self.ends.append(end)
+
+    def take(self, begin: int, end: int) -> bool:
+        """Take a stretch if none of it is taken yet."""
+        if not self.free(begin, end):
+            return False
+        at = bisect_right(self.ends, begin)
+        self.begins.insert(at, begin)
+        self.ends.insert(at, end)
+        return True
+
+    def free(self, begin: int, end: int) -> bool:
+        at = bisect_right(self.ends, begin)
+        return at == len(self.begins) or self.begins[at] >= end
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread every input bit over the whole number (a bijection)."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)

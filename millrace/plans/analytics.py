@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from millrace.functions.money import total
 from millrace.operators import analytics as ops
+from millrace.operators import sketches
 from millrace.operators.etl import incremental_slice
 from millrace.plans.registry import Query
+from millrace.session import stage
 from millrace.sources.tables import table
 
 FUNNEL_STEPS = ["view", "click", "purchase"]
@@ -126,6 +128,73 @@ def approx_distinct(spark: SparkSession, root: str) -> DataFrame:
     return sketch.join(exact, "order_year").select("order_year", within.alias("within_bound"))
 
 
+def _sketches(events: DataFrame) -> DataFrame:
+    groups = {"day": F.date_trunc("day", "ts"), "event_type": F.col("event_type")}
+    return stage(sketches.sketch_mart(events, groups, "user_id", "value"), "sketch-mart")
+
+
+def sketch_spans(spark: SparkSession, root: str) -> DataFrame:
+    """Weeks answered from a stored mart of days, beside exact figures: whether each is within its bound.
+
+    Users are allowed four standard errors, the quartiles twice the error of a rank.
+    """
+    events = table(spark, root, "events").select("ts", "event_type", "user_id", "value")
+    shares = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    week = {"week": F.date_trunc("week", "day"), "event_type": F.col("event_type")}
+    found = sketches.span_figures(_sketches(events), week, shares)
+    exact_of = F.col("exact_week").eqNullSafe(F.col("week")) & F.col("exact_type").eqNullSafe(F.col("event_type"))
+    rows = events.select(
+        F.date_trunc("week", "ts").alias("exact_week"), F.col("event_type").alias("exact_type"), "user_id", "value"
+    )
+    users = rows.groupBy("exact_week", "exact_type").agg(F.count_distinct("user_id").alias("n_exact"))
+    # The sketches' answers have a row per week and type: the join adds them to the rows.
+    placed = rows.drop("user_id").join(found.select("week", "event_type", *shares), exact_of)
+    ranks = placed.groupBy("exact_week", "exact_type").agg(
+        *[F.avg((F.col("value") <= F.col(n)).cast("int")).alias(f"_le_{n}") for n in shares],
+        *[F.avg((F.col("value") < F.col(n)).cast("int")).alias(f"_lt_{n}") for n in shares],
+    )
+    allowed, rank = 4 * sketches.COUNT_ERROR, 2 * sketches.RANK_ERROR
+    return (
+        found.join(users, exact_of)
+        .drop("exact_week", "exact_type")
+        .join(ranks, exact_of)
+        .select(
+            "week",
+            "event_type",
+            "n_rows",
+            (F.abs(F.col("n_keys") - F.col("n_exact")) <= allowed * F.col("n_exact")).alias("n_keys_within"),
+            *[
+                ((F.col(f"_le_{n}") >= s - rank) & (F.col(f"_lt_{n}") <= s + rank)).alias(f"{n}_within")
+                for n, s in shares.items()
+            ],
+        )
+    )
+
+
+def sketch_retention(spark: SparkSession, root: str) -> DataFrame:
+    """Users of each kind of event in the first ten days of 2024 and in the next, and in both, from the mart."""
+    events = table(spark, root, "events").select("ts", "event_type", "user_id", "value")
+    spans = [F.col("day").between(datetime(2024, 1, a), datetime(2024, 1, b)) for a, b in ((1, 10), (11, 20))]
+    found = sketches.span_overlap(_sketches(events), ["event_type"], *spans)
+    seen = [F.max(s.cast("int")).alias(n) for s, n in zip(spans, ("_a", "_b"))]
+    exact = (
+        events.withColumn("day", F.date_trunc("day", "ts"))
+        .filter(F.col("user_id").isNotNull() & (spans[0] | spans[1]))
+        .groupBy(F.col("event_type").alias("exact_type"), "user_id")
+        .agg(*seen)
+        .groupBy("exact_type")
+        .agg(F.sum("_a").alias("a"), F.sum("_b").alias("b"), F.sum(F.col("_a") * F.col("_b")).alias("both"),
+             F.count(F.lit(1)).alias("either"))
+    )
+    allowed = 4 * sketches.COUNT_ERROR
+    return found.join(exact, F.col("event_type").eqNullSafe(F.col("exact_type"))).select(
+        "event_type",
+        (F.abs(F.col("n_first") - F.col("a")) <= allowed * F.col("a")).alias("n_first_within"),
+        (F.abs(F.col("n_second") - F.col("b")) <= allowed * F.col("b")).alias("n_second_within"),
+        (F.abs(F.col("n_both") - F.col("both")) <= allowed * F.col("either")).alias("n_both_within"),
+    )
+
+
 def approx_quantiles(spark: SparkSession, root: str) -> DataFrame:
     """Sketch quantiles beside exact ranks: whether each is off by at most two rows in a thousand."""
     orders = table(spark, root, "orders").select("o_orderpriority", "o_totalprice")
@@ -303,6 +372,19 @@ QUERIES = {
         approx_distinct,
         "SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS order_year, TRUE AS within_bound FROM orders",
     ),
+    "sketch_spans": Query(
+        sketch_spans,
+        """
+        SELECT CAST(date_trunc('week', ts) AS TIMESTAMP) AS week, event_type, count(*) AS n_rows,
+               TRUE AS n_keys_within, TRUE AS q1_within, TRUE AS median_within, TRUE AS q3_within
+        FROM events GROUP BY 1, 2""",
+    ),
+    "sketch_retention": Query(
+        sketch_retention,
+        """
+        SELECT DISTINCT event_type, TRUE AS n_first_within, TRUE AS n_second_within, TRUE AS n_both_within
+        FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-21'""",
+    ),
     "approx_quantiles": Query(
         approx_quantiles,
         """

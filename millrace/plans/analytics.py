@@ -140,11 +140,12 @@ def sketch_spans(spark: SparkSession, root: str) -> DataFrame:
     """
     events = table(spark, root, "events").select("ts", "event_type", "user_id", "value")
     shares = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    week = {"week": F.date_trunc("week", "day"), "event_type": F.col("event_type")}
+    week = {"week": F.date_trunc("week", "day").cast("timestamp_ntz"), "event_type": F.col("event_type")}
     found = sketches.span_figures(_sketches(events), week, shares)
     exact_of = F.col("exact_week").eqNullSafe(F.col("week")) & F.col("exact_type").eqNullSafe(F.col("event_type"))
     rows = events.select(
-        F.date_trunc("week", "ts").alias("exact_week"), F.col("event_type").alias("exact_type"), "user_id", "value"
+        F.date_trunc("week", "ts").cast("timestamp_ntz").alias("exact_week"),
+        F.col("event_type").alias("exact_type"), "user_id", "value",
     )
     users = rows.groupBy("exact_week", "exact_type").agg(F.count_distinct("user_id").alias("n_exact"))
     # The sketches' answers have a row per week and type: the join adds them to the rows.

@@ -10,8 +10,9 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from millrace.plans.registry import Query
 from millrace.session import scratch_path
-from millrace.sources import clustered, gate, lake
+from millrace.sources import clustered, fixed_width, gate, lake
 from millrace.sources.tables import TABLES, table
+from millrace.streaming import run
 
 PROPS = StructType([StructField("k", IntegerType())])
 DAY_TYPE = ["event_date", "event_type"]
@@ -57,6 +58,35 @@ def parse_json_column(spark: SparkSession, root: str) -> DataFrame:
     return lake.parse_json_column(events, "props", PROPS)
 
 
+#: Bytes of the columns of a line of events.
+EVENT_WIDTHS = (20, 26, 20, 16, 24, 64)
+
+
+def _event_lines(spark: SparkSession, root: str) -> tuple[str, fixed_width.Layout]:
+    path = scratch_path(spark, "event-lines")
+    layout = fixed_width.Layout(StructType.fromDDL(TABLES["events"]), EVENT_WIDTHS)
+    fixed_width.write(table(spark, root, "events"), path, layout)
+    return path, layout
+
+
+def fixed_width_read(spark: SparkSession, root: str) -> DataFrame:
+    """Purchases and errors of users from number 75 on, from lines of fixed width."""
+    path, layout = _event_lines(spark, root)
+    columns = ["event_id", "ts", "user_id", "event_type", "value"]
+    return fixed_width.read(spark, path, layout, columns).filter(
+        F.col("event_type").isin("purchase", "error") & (F.col("user_id") >= 75)
+    )
+
+
+def fixed_width_stream(spark: SparkSession, root: str) -> DataFrame:
+    """All events, from lines of fixed width by a stream."""
+    path, layout = _event_lines(spark, root)
+    out = scratch_path(spark, "event-lines-out")
+    stream = fixed_width.read_stream(spark, path, layout)
+    run.append_to(stream, out, scratch_path(spark, "event-lines-checkpoint"))
+    return spark.read.schema(layout.columns).parquet(out)
+
+
 def promote_layers(spark: SparkSession, root: str) -> DataFrame:
     """All events in three loads that share days.
 
@@ -146,6 +176,13 @@ def gate_report(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = {
+    "fixed_width_read": Query(
+        fixed_width_read,
+        """
+        SELECT event_id, ts, user_id, event_type, value FROM events
+        WHERE event_type IN ('purchase', 'error') AND user_id >= 75""",
+    ),
+    "fixed_width_stream": Query(fixed_width_stream, "SELECT * FROM events"),
     "land_raw": Query(land_raw, "SELECT * FROM events"),
     "land_raw_csv": Query(
         land_raw_csv,

@@ -70,11 +70,11 @@ def _event_lines(spark: SparkSession, root: str) -> tuple[str, fixed_width.Layou
 
 
 def fixed_width_read(spark: SparkSession, root: str) -> DataFrame:
-    """Purchases and errors of users from number 75 on, from lines of fixed width."""
+    """Purchases and errors of users from number 5 on, from lines of fixed width."""
     path, layout = _event_lines(spark, root)
     columns = ["event_id", "ts", "user_id", "event_type", "value"]
     return fixed_width.read(spark, path, layout, columns).filter(
-        F.col("event_type").isin("purchase", "error") & (F.col("user_id") >= 75)
+        F.col("event_type").isin("purchase", "error") & (F.col("user_id") >= 5)
     )
 
 
@@ -180,7 +180,7 @@ QUERIES = {
         fixed_width_read,
         """
         SELECT event_id, ts, user_id, event_type, value FROM events
-        WHERE event_type IN ('purchase', 'error') AND user_id >= 75""",
+        WHERE event_type IN ('purchase', 'error') AND user_id >= 5""",
     ),
     "fixed_width_stream": Query(fixed_width_stream, "SELECT * FROM events"),
     "land_raw": Query(land_raw, "SELECT * FROM events"),

@@ -14,6 +14,7 @@ from millrace.operators.ordered import (
     SLICE,
     attach,
     by_group_size,
+    running_totals,
     slice_groups,
     sums_before_slice,
 )
@@ -499,25 +500,90 @@ def _quartiles(placed: DataFrame, group: str, col: str) -> DataFrame:
     return found.select(group, *[between(name, share) for name, share in QUARTILES.items()])
 
 
-def ranked(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
-    """Add ``rank`` and ``dense_rank`` per group; rows equal in ``order`` share them."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumns({"rank": F.rank().over(w), "dense_rank": F.dense_rank().over(w)})
+def ranked(
+    df: DataFrame,
+    group: list[str],
+    order: list[str],
+    descending: bool = False,
+    max_group_rows: int = MAX_GROUP_ROWS,
+    slices: int | None = None,
+) -> DataFrame:
+    """Add ``rank`` and ``dense_rank`` per group; rows equal in ``order`` share them.
+
+    Nulls come first, or last if ``descending``. In a large group the different values are ranked, by
+    running counts over slices of them, and the rows look theirs up; a frequent value is one row there.
+    """
+
+    def whole(rows: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*group).orderBy(*[F.col(c).desc() if descending else F.col(c) for c in order])
+        return rows.withColumns({"rank": F.rank().over(w), "dense_rank": F.dense_rank().over(w)})
+
+    def sliced(rows: DataFrame) -> DataFrame:
+        values = stage(rows.groupBy(*group, *order).agg(F.count(F.lit(1)).alias("_n")), "ranked-values")
+        counts = {"_rows": F.col("_n"), "_values": F.lit(1).cast("bigint")}
+        placed = running_totals(values, group, order, counts, max_group_rows, slices)
+        rank, dense = F.col("_rows") - F.col("_n") + 1, F.col("_values")
+        if descending:  # counted from the other end
+            ends = values.groupBy(*group).agg(F.sum("_n").alias("_all_rows"), F.count(F.lit(1)).alias("_all_values"))
+            placed = _looked_up(placed, F.broadcast(ends), group)  # a row per large group
+            rank, dense = F.col("_all_rows") - F.col("_rows") + 1, F.col("_all_values") - F.col("_values") + 1
+        found = placed.select(*group, *order, rank.cast("int").alias("rank"), dense.cast("int").alias("dense_rank"))
+        return _looked_up(rows, found, [*group, *order])
+
+    return by_group_size(df, group, whole, sliced, max_group_rows)
 
 
 def trailing_range(
-    df: DataFrame, part: list[str], at: str, value: str, days: int, scale: int | None = None
+    df: DataFrame,
+    part: list[str],
+    at: str,
+    value: str,
+    days: int,
+    scale: int | None = None,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add ``n_recent`` and ``recent_total``: over the rows of the last ``days`` days, this one's included.
 
-    The frame is a range of time, so rows at the same time see the same frame.
+    The frame is a range of time, so rows at the same time see the same frame; rows without a time see each
+    other. A large group becomes one row per second, cut into stretches of ``days`` days: a frame
+    ends in one stretch and begins there or in the one before, whose rows are led in.
     """
+    span = days * 86_400
     seconds = F.unix_seconds(F.col(at).cast("timestamp"))
-    frame = Window.partitionBy(*part).orderBy(seconds).rangeBetween(-days * 86_400 + 1, Window.currentRow)
-    recent = total(value, frame, scale).cast("double")
-    return df.select(
-        "*", F.count(F.lit(1)).over(frame).alias("n_recent"), recent.alias("recent_total")
-    )
+
+    def whole(rows: DataFrame) -> DataFrame:
+        frame = Window.partitionBy(*part).orderBy(seconds).rangeBetween(-span + 1, Window.currentRow)
+        recent = total(value, frame, scale).cast("double")
+        return rows.select("*", F.count(F.lit(1)).over(frame).alias("n_recent"), recent.alias("recent_total"))
+
+    def sliced(rows: DataFrame) -> DataFrame:
+        timed = rows.withColumn("_second", seconds)
+        sums = [F.sum(half).alias(n) for half, n in zip(summands(value, scale), ("_high", "_low"))]
+        per_second = timed.groupBy(*part, "_second").agg(F.count(F.lit(1)).alias("_n"), *sums)
+        own = F.floor(F.col("_second") / span)
+        stretches = F.array(
+            F.struct(own.alias("_stretch"), F.lit(True).alias("_home")),
+            F.struct((own + 1).alias("_stretch"), F.lit(False).alias("_home")),
+        )
+        led = per_second.select("*", F.inline(stretches)).filter("_home or _second is not null")
+        frame = Window.partitionBy(*part, "_stretch").orderBy("_second").rangeBetween(-span + 1, Window.currentRow)
+        recent = from_sums(F.sum("_high").over(frame), F.sum("_low").over(frame), scale).cast("double")
+        found = (
+            led.select(*part, "_second", "_home", F.sum("_n").over(frame).alias("n_recent"), recent.alias("recent_total"))
+            .filter("_home")
+            .drop("_home")
+        )
+        return _looked_up(timed, found, [*part, "_second"]).drop("_second")
+
+    return by_group_size(df, part, whole, sliced, max_group_rows)
+
+
+def _looked_up(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows with the other columns of ``found``, which has one row for each of their keys, null ones included."""
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{i}")) for i, k in enumerate(keys)], F.lit(True))
+    added = [c for c in found.columns if c not in keys]
+    renamed = found.select(*[F.col(k).alias(f"_of_{i}") for i, k in enumerate(keys)], *added)
+    return rows.join(renamed, same).select(*rows.columns, *added)
 
 
 def approx_quantiles(

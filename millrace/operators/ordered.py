@@ -19,6 +19,7 @@ from millrace.session import stage
 
 MAX_GROUP_ROWS = 2_000_000
 SLICE = "_slice"
+IS_LARGE = "_is_large"
 
 
 def by_group_size(
@@ -31,7 +32,8 @@ def by_group_size(
     """Run ``whole`` on groups of up to ``max_group_rows`` rows, ``sliced`` on the others.
 
     Both must return the same columns. The list of large groups has at most
-    ``rows / max_group_rows`` entries, so it is safe to broadcast.
+    ``rows / max_group_rows`` entries, so it is safe to broadcast. ``df`` is computed twice, to
+    count and to work: if there are large groups, both kinds are stored apart in one pass.
     """
     if not keys:
         return whole(df) if df.count() <= max_group_rows else sliced(df)
@@ -40,11 +42,11 @@ def by_group_size(
     large = stage(large.select(*[F.col(k).alias(r) for k, r in renamed.items()]), "large-groups")
     if large.isEmpty():
         return whole(df)
-    large = F.broadcast(large)
-    same = _all_equal(renamed)
-    usual = whole(df.join(large, same, "left_anti"))
-    split = sliced(df.join(large, same, "left_semi"))
-    return usual.unionByName(split)
+    marked = F.broadcast(large.withColumn(IS_LARGE, F.lit(True)))
+    told = df.join(marked, _all_equal(renamed), "left").withColumn(IS_LARGE, F.coalesce(IS_LARGE, F.lit(False)))
+    kinds = stage(told.select(*df.columns, IS_LARGE), "by-group-size", (IS_LARGE,))
+    usual, split = (kinds.filter(F.col(IS_LARGE) == kind).select(*df.columns) for kind in (False, True))
+    return whole(usual).unionByName(sliced(split))
 
 
 def slice_groups(

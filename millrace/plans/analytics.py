@@ -217,7 +217,7 @@ def approx_quantiles(spark: SparkSession, root: str) -> DataFrame:
 def ranked(spark: SparkSession, root: str) -> DataFrame:
     """Order priorities repeat, so ranks have ties."""
     orders = table(spark, root, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
-    return ops.ranked(orders, ["o_custkey"], [F.col("o_orderpriority")])
+    return ops.ranked(orders, ["o_custkey"], ["o_orderpriority"])
 
 
 def trailing_range(spark: SparkSession, root: str) -> DataFrame:

@@ -162,7 +162,7 @@ def test_cohorts_leave_out_rows_without_a_key(spark):
 def test_ranks_and_trailing_range(spark):
     rows = [("a", datetime(2024, 1, d), float(d)) for d in (1, 1, 3, 9)]
     df = spark.createDataFrame(rows, "g string, t timestamp_ntz, v double")
-    ranks = ops.ranked(df, ["g"], [F.col("t")]).orderBy("t").collect()
+    ranks = ops.ranked(df, ["g"], ["t"]).orderBy("t").collect()
     assert [(r["rank"], r.dense_rank) for r in ranks] == [(1, 1), (1, 1), (3, 2), (4, 3)]
     recent = ops.trailing_range(df, ["g"], "t", "v", 3).orderBy("t").collect()
     assert [(r.n_recent, r.recent_total) for r in recent] == [(2, 2.0), (2, 2.0), (3, 5.0), (1, 9.0)]

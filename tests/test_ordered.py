@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from millrace.operators.analytics import (
     distribution_stats,
     funnel_conversion,
+    ranked,
     running_and_moving,
+    trailing_range,
 )
 from millrace.operators.multisource import point_in_time_join, scd2_history
 from millrace.operators.ordered import running_totals, slice_groups
@@ -70,6 +72,48 @@ def test_running_and_moving(rows, cut, width):
     assert bag(whole) == bag(sliced)
 
 
+@pytest.mark.parametrize("cut", CUTS)
+@pytest.mark.parametrize("order", [["state", "value"], ["state"], ["id"]])
+@pytest.mark.parametrize("descending", [False, True])
+def test_ranked(rows, cut, order, descending):
+    """Few different values, nulls among them, and as many as rows."""
+    run = lambda **kw: ranked(rows, ["key"], order, descending, **kw)
+    whole, sliced = run(**ALL_WHOLE), run(**cut)
+    assert whole.dtypes == sliced.dtypes
+    assert bag(whole) == bag(sliced)
+    assert bag(ranked(rows, [], order, descending, **ALL_WHOLE)) == bag(ranked(rows, [], order, descending, **cut))
+
+
+@pytest.mark.parametrize("least", [0, 100])
+@pytest.mark.parametrize("days, step", [(1, 4000), (3, 86_400), (40, 86_399)])
+@pytest.mark.parametrize("scale", [2, None])
+def test_trailing_range(rows, least, days, step, scale):
+    """Times far apart and close together, before 1970 too, with repeats and nulls."""
+    second = F.when(F.col("id") % 11 > 0, F.floor(F.col("id") / 2) * step - 3_000_000)
+    spread = rows.withColumn("at", F.timestamp_seconds(second).cast("timestamp_ntz")).withColumn(
+        "value", F.when(F.col("id") % 5 > 0, F.col("value"))
+    )
+    run = lambda n: trailing_range(spread, ["key"], "at", "value", days, scale, n)
+    whole, sliced = run(10**9), run(least)
+    assert whole.dtypes == sliced.dtypes
+    assert bag(whole) == bag(sliced)
+
+
+def test_large_groups_cost_no_further_reading(spark, rows):
+    """The input is computed to count its groups and once more, whatever the groups are."""
+    for least in (0, 100, 10**9):
+        read = spark.sparkContext.accumulator(0)
+
+        def counted(batches):
+            for batch in batches:
+                read.add(len(batch))
+                yield batch
+
+        source = rows.mapInPandas(counted, rows.schema)
+        scd2_history(source, "key", "at", ["state"], max_group_rows=least, slices=3).collect()
+        assert read.value == 2 * 600
+
+
 @pytest.mark.parametrize("cut", CUTS)
 def test_history(rows, cut):
     run = lambda **kw: scd2_history(rows, "key", "at", ["state"], **kw)

@@ -6,6 +6,9 @@ from dataclasses import dataclass
 
 import numpy as np
 
+#: Tokens that are worked on one after the other when counts are made; longer sequences go side by side.
+SEGMENT = 512
+
 
 @dataclass(frozen=True)
 class Hmm:
@@ -59,29 +62,93 @@ def log_likelihoods(model: Hmm, sequences: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def expected_counts(model: Hmm, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected first states, transitions and (classes, states) emissions of sequences."""
+def expected_counts(
+    model: Hmm, sequences: list[np.ndarray], segment: int = SEGMENT
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected first states, transitions and (classes, states) emissions of non-empty sequences.
+
+    Long sequences are worked on in segments side by side, which changes nothing: each segment begins with
+    the state that the whole sequence gives it, ends with the chance of all that follows, and the
+    transition into it is counted.
+    """
     single = Hmm(*(x.astype(np.float32) for x in (model.first, model.step, model.emit)))
-    _, flat, starts, alive = _lanes(sequences)
+    states = len(model.first)
+    pieces, before, after, inner = _segments(single, sequences, segment)
+    order, flat, starts, alive = _lanes(pieces)
+    before, after, inner = before[order], after[order], inner[order]
     forward, scales = [], []
     for t, n in enumerate(alive.tolist()):
         emitted = single.emit[flat[starts[:n] + t]]
-        state = single.first * emitted if t == 0 else (forward[-1][:n] @ single.step) * emitted
+        if t == 0:
+            state = np.where(inner[:, None], before @ single.step, single.first) * emitted
+        else:
+            state = (forward[-1][:n] @ single.step) * emitted
         scale = state.sum(axis=1, keepdims=True)
         forward.append(state / scale)
         scales.append(scale)
-    states = len(model.first)
     share = np.empty((len(flat), states), np.float32)
     steps = np.zeros((states, states))
-    ahead = np.ones_like(forward[-1])
+    m, through = 0, np.empty((0, states), np.float32)
     for t in range(len(alive) - 1, -1, -1):
         n = int(alive[t])
-        if t + 1 < len(alive):
-            m = int(alive[t + 1])
-            through = single.emit[flat[starts[:m] + t + 1]] * ahead / scales[t + 1]
-            steps += forward[t][:m].T @ through
-            ahead = np.ones((n, states), np.float32)
-            ahead[:m] = through @ single.step.T
+        ahead = np.empty((n, states), np.float32)
+        steps += forward[t][:m].T @ through
+        ahead[:m] = through @ single.step.T
+        # Segments that end here; the shares of a token's states add up to one.
+        ahead[m:] = after[m:n] / (forward[t][m:] * after[m:n]).sum(axis=1, keepdims=True)
         share[starts[:n] + t] = forward[t] * ahead
+        through = single.emit[flat[starts[:n] + t]] * ahead / scales[t]
+        m = n
+    steps += before[inner].T @ through[inner]
     emitted = np.stack([np.bincount(flat, share[:, s], len(model.emit)) for s in range(states)], axis=1)
-    return share[starts].sum(axis=0).astype(float), steps * model.step, emitted
+    return share[starts[~inner]].sum(axis=0).astype(float), steps * model.step, emitted
+
+
+def _segments(
+    model: Hmm, sequences: list[np.ndarray], segment: int
+) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of all sequences, the state before each, the chances after each, and whether it has one before."""
+    states = len(model.first)
+    long = [s for s in sequences if len(s) > segment]
+    pieces = [s for s in sequences if len(s) <= segment]
+    befores, afters = [np.ones((len(pieces), states), np.float32)], [np.ones((len(pieces), states), np.float32)]
+    inner = [np.zeros(len(pieces), bool)]
+    if long:
+        order, entered, left = _boundaries(model, long, segment)
+        for j in range(len(entered)):
+            lanes = len(entered[j])  # of the sequences that have a segment j, longest first
+            pieces += [long[k][j * segment : (j + 1) * segment] for k in order[:lanes]]
+            befores.append(entered[j])
+            afters.append(np.concatenate([left[j], np.ones((lanes - len(left[j]), states), np.float32)]))
+            inner.append(np.full(lanes, j > 0))
+    return pieces, np.concatenate(befores), np.concatenate(afters), np.concatenate(inner)
+
+
+def _boundaries(
+    model: Hmm, sequences: list[np.ndarray], segment: int
+) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Order of the sequences; by segment, the states that lead into it and the chances of what comes after it.
+
+    Only the ends of segments are kept, so a sequence takes little memory whatever its length.
+    """
+    order, flat, starts, alive = _lanes(sequences)
+    counts = [*alive.tolist(), 0]
+    entered = [np.ones((counts[0], len(model.first)), np.float32)]  # nothing comes before the first
+    state = None
+    for t, n in enumerate(counts[:-1]):
+        emitted = model.emit[flat[starts[:n] + t]]
+        state = (model.first if t == 0 else state[:n] @ model.step) * emitted
+        state /= state.sum(axis=1, keepdims=True)
+        if (t + 1) % segment == 0 and counts[t + 1]:
+            entered.append(state[: counts[t + 1]].copy())
+    left: list[np.ndarray] = [np.ones((0, len(model.first)), np.float32)] * len(entered)
+    ahead = np.ones((0, len(model.first)), np.float32)
+    for t in range(len(alive) - 1, -1, -1):
+        n, m = counts[t], counts[t + 1]
+        through = model.emit[flat[starts[:m] + t + 1]] * ahead
+        through /= through.sum(axis=1, keepdims=True)
+        ahead = np.ones((n, len(model.first)), np.float32)
+        ahead[:m] = through @ model.step.T
+        if (t + 1) % segment == 0:
+            left[t // segment] = ahead[:m].copy()
+    return order, entered, left

@@ -27,8 +27,6 @@ FREQUENT = 1e-6
 #: Classes: 0 is the end of a text, then frequent words, then tails of words.
 OWN, TAILS = 4096, 2048
 CLASSES = OWN + TAILS
-#: Tokens of a training sequence; longer texts are trained in several.
-SEGMENT = 512
 #: Stretches of the class range in which expected counts are added up.
 PARTS = 16
 SUMS = "target int, sums binary"
@@ -315,7 +313,7 @@ def _forward(model, shared):
 def fit(sequences: DataFrame, lexicon: Lexicon, states: int, rounds: int) -> Hmm:
     """Baum-Welch over all class sequences.
 
-    A round reads every sequence, in segments of ``SEGMENT`` tokens; tasks add up expected
+    A round reads every sequence, each as a whole; tasks add up expected
     counts, which are added up again by stretch of classes. Only (classes, states) sums reach the driver.
     """
     spark = sequences.sparkSession
@@ -335,10 +333,9 @@ def _expect(shared):
         model: Hmm = shared.value
         total = None
         for batch in slices(batches, "classes", CODED_BYTES):
-            sequences = []
-            for packed in batch.column("classes").to_pylist():
-                classes = np.frombuffer(packed, np.int16)
-                sequences += [classes[at : at + SEGMENT] for at in range(0, len(classes), SEGMENT)]
+            sequences = [np.frombuffer(s, np.int16) for s in batch.column("classes").to_pylist() if s]
+            if not sequences:
+                continue
             counts = expected_counts(model, sequences)
             total = counts if total is None else tuple(a + b for a, b in zip(total, counts, strict=True))
         if total is not None:

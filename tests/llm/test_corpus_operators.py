@@ -246,7 +246,23 @@ def test_forward_and_expected_counts():
                 if t:
                     sums[1][p[t - 1], p[t]] += chance / total
     assert np.allclose(hmm.log_likelihoods(model, sequences), logs)
-    assert all(np.allclose(a, b, atol=1e-5) for a, b in zip(hmm.expected_counts(model, sequences), sums))
+    for segment in (1, 2, 3, 512):  # cuts that change nothing
+        found = hmm.expected_counts(model, sequences, segment)
+        assert all(np.allclose(a, b, atol=1e-5) for a, b in zip(found, sums))
+
+
+def test_long_sequences_are_trained_as_wholes():
+    """Segments of any length give the counts of whole sequences, transitions over their ends included."""
+    rng = np.random.default_rng(0)
+    shares = np.full(40, 1 / 40)
+    model = hmm.Hmm.start(shares, 4).reestimated(rng.random(4) * 9, rng.random((4, 4)) * 9, rng.random((40, 4)) * 90, shares)
+    sequences = [rng.integers(0, 40, n).astype(np.int16) for n in (1, 511, 512, 513, 1024, 1025, 3000, 2)]
+    whole = hmm.expected_counts(model, sequences, 10**9)
+    for segment in (64, 512, 1024):
+        cut = hmm.expected_counts(model, sequences, segment)
+        assert all(np.allclose(a, b, rtol=1e-4, atol=1e-4) for a, b in zip(whole, cut))
+    assert np.isclose(whole[0].sum(), len(sequences)) and np.isclose(whole[2].sum(), sum(map(len, sequences)))
+    assert np.isclose(whole[1].sum(), sum(len(s) - 1 for s in sequences))
 
 
 def plain_base(texts, held):

@@ -107,48 +107,43 @@ def expected_counts(
 def _segments(
     model: Hmm, sequences: list[np.ndarray], segment: int
 ) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """Pieces of all sequences, the state before each, the chances after each, and whether it has one before."""
-    states = len(model.first)
-    long = [s for s in sequences if len(s) > segment]
-    pieces = [s for s in sequences if len(s) <= segment]
-    befores, afters = [np.ones((len(pieces), states), np.float32)], [np.ones((len(pieces), states), np.float32)]
-    inner = [np.zeros(len(pieces), bool)]
-    if long:
-        order, entered, left = _boundaries(model, long, segment)
-        for j in range(len(entered)):
-            lanes = len(entered[j])  # of the sequences that have a segment j, longest first
-            pieces += [long[k][j * segment : (j + 1) * segment] for k in order[:lanes]]
-            befores.append(entered[j])
-            afters.append(np.concatenate([left[j], np.ones((lanes - len(left[j]), states), np.float32)]))
-            inner.append(np.full(lanes, j > 0))
-    return pieces, np.concatenate(befores), np.concatenate(afters), np.concatenate(inner)
-
+    """Pieces of all sequences; the state before each, the chances of what comes after, whether it has one before.
 
-def _boundaries(
-    model: Hmm, sequences: list[np.ndarray], segment: int
-) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
-    """Order of the sequences; by segment, the states that lead into it and the chances of what comes after it.
-
-    Only the ends of segments are kept, so a sequence takes little memory whatever its length.
+    A segment turns the state it begins with into the one it ends with by a matrix. The matrices of all segments
+    are made side by side, so a sequence costs a few steps per segment, not per token, one after the other.
     """
-    order, flat, starts, alive = _lanes(sequences)
-    counts = [*alive.tolist(), 0]
-    entered = [np.ones((counts[0], len(model.first)), np.float32)]  # nothing comes before the first
-    state = None
-    for t, n in enumerate(counts[:-1]):
-        emitted = model.emit[flat[starts[:n] + t]]
-        state = (model.first if t == 0 else state[:n] @ model.step) * emitted
-        state /= state.sum(axis=1, keepdims=True)
-        if (t + 1) % segment == 0 and counts[t + 1]:
-            entered.append(state[: counts[t + 1]].copy())
-    left: list[np.ndarray] = [np.ones((0, len(model.first)), np.float32)] * len(entered)
-    ahead = np.ones((0, len(model.first)), np.float32)
-    for t in range(len(alive) - 1, -1, -1):
-        n, m = counts[t], counts[t + 1]
-        through = model.emit[flat[starts[:m] + t + 1]] * ahead
-        through /= through.sum(axis=1, keepdims=True)
-        ahead = np.ones((n, len(model.first)), np.float32)
-        ahead[:m] = through @ model.step.T
-        if (t + 1) % segment == 0:
-            left[t // segment] = ahead[:m].copy()
-    return order, entered, left
+    pieces = [s for s in sequences if len(s) <= segment]
+    short, states = len(pieces), len(model.first)
+    long = [s for s in sequences if len(s) > segment]
+    pieces += [s[at : at + segment] for s in long for at in range(0, len(s), segment)]
+    before = np.ones((len(pieces), states), np.float32)
+    after, inner = before.copy(), np.zeros(len(pieces), bool)
+    if long:
+        through = _transfers(model, pieces[short:])
+        at = short
+        for s in long:
+            stop = at - (-len(s) // segment)
+            state = model.first @ through[at - short]
+            for j in range(at + 1, stop):
+                before[j] = state / state.sum()
+                state = (before[j] @ model.step) @ through[j - short]
+            for j in range(stop - 1, at, -1):
+                ahead = model.step @ (through[j - short] @ after[j])
+                after[j - 1] = ahead / ahead.sum()
+            inner[at + 1 : stop] = True
+            at = stop
+    return pieces, before, after, inner
+
+
+def _transfers(model: Hmm, pieces: list[np.ndarray]) -> np.ndarray:
+    """(pieces, states, states): chance, up to a factor a piece, of its tokens and last state given its first."""
+    order, flat, starts, alive = _lanes(pieces)
+    states = len(model.first)
+    matrix = np.eye(states, dtype=np.float32) * model.emit[flat[starts]][:, None, :]
+    for t, n in enumerate(alive.tolist()[1:], 1):
+        grown = (matrix[:n].reshape(-1, states) @ model.step).reshape(n, states, states)
+        grown *= model.emit[flat[starts[:n] + t]][:, None, :]
+        matrix[:n] = grown / grown.max(axis=(1, 2), keepdims=True)
+    out = np.empty_like(matrix)
+    out[order] = matrix
+    return out

@@ -8,7 +8,7 @@ column; a column all whose values stand in another may refer to it.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from itertools import combinations
+from itertools import batched, combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,11 +27,18 @@ from pyspark.sql.types import (
     VariantType,
 )
 
-from millrace.session import stage
+from millrace.session import settings, stage
 
 #: Columns per mask word, and columns that a search for dependencies takes.
 WORD_BITS, MAX_COLUMNS = 62, 60
+#: Of the groups of a set, one in so many is looked at before all are counted.
+SHARES = (512, 64, 8)
+#: A job that counts sets makes as many rows as the table has, or this many if that is more.
+LEAST_ROWS = 4_000_000
+#: The files of a shuffle go when its job ends, not when the driver next collects garbage.
+CLEANED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 Columns = frozenset[str]
+Pair = tuple[Columns, str]
 
 
 def dependencies(df: DataFrame, max_columns: int, sample_rows: int = 100_000) -> DataFrame:
@@ -44,21 +51,23 @@ def dependencies(df: DataFrame, max_columns: int, sample_rows: int = 100_000) ->
     A table without rows has neither.
 
     Sets are tried level by level. A set with a key or a dependency inside is not tried, as nothing
-    minimal can come from it. What a few rows contradict is not asked of all: ``sample_rows`` rows
-    can only refute, and all that they do not refute is counted over the whole table, all sets of
-    a level in one aggregation. Only these counts reach the driver. The table should be a stored one,
-    as it is read for each level.
+    minimal can come from it. What a few rows contradict is not asked of all: ``sample_rows`` rows, and
+    then growing shares of the groups of each set, can only refute, and all that they do not refute is
+    counted over the whole table. A job counts as many sets as keep the rows that it makes at the table's
+    number, so the disk it takes grows with the table and not with the number of sets. Only counts
+    reach the driver. The table should be a stored one, as it is read several times for each level.
     """
     columns = df.columns
     if len(columns) > MAX_COLUMNS:
         raise ValueError(f"{len(columns)} columns; at most {MAX_COLUMNS}")
     whole = _Counts(df)
-    tables = [whole]  # small ones first: most sets are refuted by few rows
+    tables: list[_Counts | _Slices] = [whole]  # small ones first: most sets are refuted by few rows
     if whole.rows > sample_rows:
         witnesses = _witnesses(df, whole.rows, sample_rows)
         few = stage(witnesses.sample(0.1, seed=0), "witnesses")
-        tables = [_Counts(few), _Counts(witnesses), whole]
-    keys, found = _search(tables, columns, max_columns)
+        slices = [_Slices(df, whole.rows, n) for n in SHARES if whole.rows // n >= sample_rows // 10]
+        tables = [_Counts(few), _Counts(witnesses), *slices, whole]
+    keys, found = _search(tables, columns, max_columns) if whole.rows else ([], [])
 
     def name(of: Columns) -> str:
         return ",".join(c for c in columns if c in of)
@@ -93,27 +102,95 @@ class _Counts:
 
     def of(self, sets: Iterable[Columns]) -> dict[Columns, int]:
         lacking = sorted({s for s in sets if s not in self.known}, key=sorted)
-        if lacking:
-            names = [c for c in self.df.columns if any(c in s for s in lacking)]
-            quoted = {c: F.col(f"`{c}`") for c in names}
-            top = len(names) - 1
-            # The bit of a column is set in the id of the sets that leave it out.
-            ids = {sum(1 << (top - i) for i, c in enumerate(names) if c not in s): s for s in lacking}
-            grouped = self.df.groupingSets([[quoted[c] for c in s] for s in lacking], *quoted.values())
-            numbers = grouped.agg(F.grouping_id().alias("_set")).groupBy("_set").count().collect()
-            self.known.update((ids[r["_set"]], r["count"]) for r in numbers)
-            self.known.update((s, 0) for s in lacking if s not in self.known)
+        for part in batched(lacking, _sets_of_a_job(self.rows)):
+            self._count(part)
         return self.known
 
+    def _count(self, lacking: tuple[Columns, ...]) -> None:
+        names = [c for c in self.df.columns if any(c in s for s in lacking)]
+        quoted = {c: F.col(f"`{c}`") for c in names}
+        top = len(names) - 1
+        # The bit of a column is set in the id of the sets that leave it out.
+        ids = {sum(1 << (top - i) for i, c in enumerate(names) if c not in s): s for s in lacking}
+        grouped = self.df.groupingSets([[quoted[c] for c in s] for s in lacking], *quoted.values())
+        with settings(self.df.sparkSession, CLEANED):
+            numbers = grouped.agg(F.grouping_id().alias("_set")).groupBy("_set").count().collect()
+        self.known.update((ids[r["_set"]], r["count"]) for r in numbers)
+        self.known.update((s, 0) for s in lacking if s not in self.known)
+
+    def unique(self, sets: list[Columns]) -> list[Columns]:
+        n = self.of(sets)
+        return [s for s in sets if n[s] == self.rows]
+
+    def determined(self, pairs: list[Pair]) -> list[Pair]:
+        n = self.of(part for s, a in pairs for part in (s, s | {a}))
+        return [(s, a) for s, a in pairs if n[s] == n[s | {a}]]
+
+
+class _Slices:
+    """One in ``share`` groups of each set, by a hash of its values.
+
+    Rows that agree on a set are in its slice together or not at all, so what many groups
+    contradict is refuted without a shuffle of the table.
+    """
+
+    def __init__(self, df: DataFrame, rows: int, share: int):
+        self.df, self.rows, self.share = df, rows, share
+
+    def unique(self, sets: list[Columns]) -> list[Columns]:
+        n = self._of([(s, s) for s in sets if s])
+        return [s for s in sets if not s or n[s, s][0] == n[s, s][1]]
+
+    def determined(self, pairs: list[Pair]) -> list[Pair]:
+        n = self._of([(s, part) for s, a in pairs if s for part in (s, s | {a})])
+        return [(s, a) for s, a in pairs if not s or n[s, s][0] == n[s, s | {a}][0]]
+
+    def _of(self, wanted: list[tuple[Columns, Columns]]) -> dict[tuple[Columns, Columns], tuple[int, int]]:
+        """Different rows, and rows, of the second set in the slice of the first."""
+        known = dict.fromkeys(wanted, (0, 0))
+        in_order = sorted(known, key=lambda sets: (sorted(sets[0]), sorted(sets[1])))
+        for part in batched(in_order, _sets_of_a_job(self.rows, self.share)):
+            with settings(self.df.sparkSession, CLEANED):
+                found = self._counted(part).collect()
+            known.update((part[r["_set"]], (r["different"], r["rows"])) for r in found)
+        return known
+
+    def _counted(self, part: tuple[tuple[Columns, Columns], ...]) -> DataFrame:
+        names = [c for c in self.df.columns if any(c in s for _, s in part)]
+        held: dict[Columns, list[int]] = {}
+        for i, (base, _) in enumerate(part):
+            held.setdefault(base, []).append(i)
+        chosen = [
+            F.when(
+                F.pmod(F.xxhash64(*[f"`{c}`" for c in names if c in base]), F.lit(self.share)) == 0,
+                F.array(*map(F.lit, ids)),
+            )
+            for base, ids in held.items()
+        ]
+        rows = self.df.select(*[f"`{c}`" for c in names], F.explode(F.array(*chosen)).alias("_sets"))
+        rows = rows.filter(F.col("_sets").isNotNull()).withColumn("_set", F.explode("_sets"))
+        values = [
+            F.when(F.col("_set").isin([i for i, (_, s) in enumerate(part) if c in s]), F.col(f"`{c}`")).alias(f"_{k}")
+            for k, c in enumerate(names)
+        ]
+        groups = rows.select("_set", *values).groupBy("_set", *[f"_{k}" for k in range(len(names))])
+        return (
+            groups.agg(F.count(F.lit(1)).alias("_rows"))
+            .groupBy("_set")
+            .agg(F.count(F.lit(1)).alias("different"), F.sum("_rows").alias("rows"))
+        )
+
+
+def _sets_of_a_job(rows: int, share: int = 1) -> int:
+    return max(1, max(rows, LEAST_ROWS) * share // max(rows, 1))
+
 
 def _search(
-    tables: list[_Counts], columns: list[str], max_columns: int
-) -> tuple[list[Columns], list[tuple[Columns, str]]]:
+    tables: list[_Counts | _Slices], columns: list[str], max_columns: int
+) -> tuple[list[Columns], list[Pair]]:
     """Keys and dependencies that no table contradicts; the last table is the whole one."""
     keys: list[Columns] = []
-    found: list[tuple[Columns, str]] = []
-    if not tables[-1].rows:
-        return keys, found
+    found: list[Pair] = []
 
     def holds_key(s: Columns) -> bool:
         return any(k <= s for k in keys)
@@ -126,8 +203,7 @@ def _search(
         ]
         new_keys = level
         for rows in tables:
-            n = rows.of(new_keys)
-            new_keys = [s for s in new_keys if n[s] == rows.rows]
+            new_keys = rows.unique(new_keys)
         keys += new_keys
         if size == max_columns:
             break
@@ -139,8 +215,7 @@ def _search(
             if a not in s and not holds_key(s | {a}) and not any(b == a and x <= s for x, b in found)
         ]
         for rows in tables:
-            n = rows.of(part for s, a in determined for part in (s, s | {a}))
-            determined = [(s, a) for s, a in determined if n[s] == n[s | {a}]]
+            determined = rows.determined(determined)
         found += determined
     return keys, found
 

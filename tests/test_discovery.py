@@ -58,6 +58,45 @@ def test_dependencies_of_very_small_tables(spark, rows):
     assert {tuple(r) for r in found.collect()} == slow(rows, ["a.b", "b"], 2)
 
 
+def test_dependencies_make_no_more_rows_in_a_job_than_the_table_has(spark, monkeypatch, tmp_path):
+    """What many groups contradict is not counted over the table, and sets that nothing contradicts are counted one by one."""
+    pick = random.Random(1)
+    rows = [(i // 2, i % 2, pick.randrange(40), pick.randrange(40), i // 2 % 50 + i % 2) for i in range(4000)]
+    schema = "a int, b int, c int, d int, e int"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "t"))
+    table = spark.read.schema(schema).parquet(str(tmp_path / "t"))
+    monkeypatch.setattr(ops, "LEAST_ROWS", 100)
+    jobs, one, grouping_sets = [], type(table), type(table).groupingSets
+
+    def counted(df, sets, *columns):
+        jobs.append([len(df.inputFiles()) > 0 and str(tmp_path) in df.inputFiles()[0], len(sets)])
+        return grouping_sets(df, sets, *columns)
+
+    monkeypatch.setattr(one, "groupingSets", counted)
+    found = {tuple(r) for r in ops.dependencies(table, 3, 20).collect()}
+    assert found == slow(rows, NAMES, 3)
+    whole = [n for of_table, n in jobs if of_table]
+    # Each key is counted once, each dependency as two sets; without slices a level has up to ten sets.
+    assert whole and set(whole) == {1}
+    assert len(whole) <= 2 * len(found) + 2
+
+
+def test_slices_refute_only(spark):
+    """Over all slices' sizes what holds is kept; nulls, zeros of both signs and the empty set included."""
+    rows = [(i, None if i % 3 else -0.0 if i % 2 else 0.0, i % 7, i % 7 * 2, 1) for i in range(1000)]
+    df = spark.createDataFrame(rows, "a int, `b.c` double, c int, d int, e int")
+    sets = [frozenset(s) for k in range(4) for s in combinations(df.columns, k)]
+    pairs = [(s, a) for s in sets for a in df.columns if a not in s]
+    whole = ops._Counts(df)
+    for share in (1, 2, 50):
+        part = ops._Slices(df, 1000, share)
+        assert set(whole.unique(sets)) <= set(part.unique(sets))
+        assert set(whole.determined(pairs)) <= set(part.determined(pairs))
+    exact = ops._Slices(df, 1000, 1)
+    assert set(exact.unique(sets)) == set(whole.unique(sets)) | {frozenset()}
+    assert {p for p in exact.determined(pairs) if p[0]} == {p for p in whole.determined(pairs) if p[0]}
+
+
 def test_dependencies_refuse_too_many_columns(spark):
     with pytest.raises(ValueError, match="61 columns"):
         ops.dependencies(spark.range(1).selectExpr(*[f"id AS c{i}" for i in range(61)]), 1)

@@ -68,6 +68,44 @@ def test_openings_from_before_the_stream(spark, key):
     assert feed.run(("b", 500, 4, "close"))[0] == [-2, -3, 2]
 
 
+@pytest.mark.parametrize("key", ["ts2", "CAST(n AS decimal(9, 2))", "CAST(who AS binary)", "z"])
+def test_keys_of_a_group_are_told_apart(spark, key):
+    """Each key's openings are closed by its own closings, over two runs; no number and both zeros are one key each."""
+    z = "CASE n WHEN 1 THEN CAST('NaN' AS double) WHEN 2 THEN %s0D END"
+
+    def of(df, sign=""):
+        df = df.withColumn("n", F.ascii("who") - 96).withColumn("ts2", F.timestamp_seconds(F.col("n") * 1000))
+        return df.withColumn("z", F.expr(z % sign)).withColumn("k", F.expr(key))
+
+    landing, out, checkpoint = (scratch_path(spark, f"told-{x}") for x in "abc")
+    known = of(spark.createDataFrame([("a", at(0), -1, ""), ("b", at(5), -2, ""), (None, at(5), -3, "")], SCHEMA))
+    for sign, rows in (
+        ("", [("a", at(10), 1, "open"), ("b", at(11), 2, "open"), (None, at(12), 3, "open"), ("b", at(13), 4, "close")]),
+        ("-", [("a", at(50), 5, "close"), ("b", at(50), 6, "open")]),
+        ("-", [("b", at(400), 7, "close")]),
+    ):
+        of(spark.createDataFrame(rows, SCHEMA), sign).coalesce(1).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(known.schema).parquet(landing)
+        found = stateful.stream_left_open(
+            stream, "k", "ts", "id", F.col("kind") == "open", F.col("kind") == "close", 3600, known, buckets=1
+        )
+        run.append_to(found, out, checkpoint)
+    rows = spark.read.schema(found.schema).parquet(out).collect()
+    assert sorted(r.id for r in rows) == [-3, 3, 6]
+    (expected,) = of(spark.createDataFrame([("b", None, 0, "")], SCHEMA)).select("k").first()
+    assert {r.id: r.k for r in rows} == {-3: None, 3: None, 6: expected}
+
+
+def test_a_group_has_one_timer_and_keys_share_groups(spark):
+    """Neither the timers nor the groups grow with the keys and their openings."""
+    feed = Feed(spark, known=None, stretch_seconds=7200, buckets=4)
+    rows = [(f"k{k}", 10 + k % 20 + i, 100 * k + i, "open") for k in range(200) for i in range(5)]
+    found, query = feed.run(*rows, ("x", 400, -1, "close"))
+    assert found == sorted((r[2] for r in rows), key=repr)
+    state = [p["stateOperators"][0]["customMetrics"] for p in query.recentProgress if p["stateOperators"]]
+    assert 0 < sum(m["numRegisteredTimers"] for m in state) <= 2 * 4 * 3
+
+
 def test_a_stretch_holds_a_gap(spark):
     with pytest.raises(ValueError, match="shorter"):
         Feed(spark, stretch_seconds=10).run(("a", 0, 1, "open"))

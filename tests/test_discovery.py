@@ -1,10 +1,14 @@
 """Keys, dependencies and references against brute force over all sets and pairs of columns."""
 
+import datetime
 import random
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from millrace.operators import agreement
 from millrace.operators import discovery as ops
 
 NAMES = ["a", "b", "c", "d", "e"]
@@ -97,6 +101,98 @@ def test_slices_refute_only(spark):
     assert {p for p in exact.determined(pairs) if p[0]} == {p for p in whole.determined(pairs) if p[0]}
 
 
+def dealt_rows(seed, n):
+    """Hot values, nulls, zeros of both signs, values that are no number; b and c hold a key but for one pair of rows."""
+    pick = random.Random(seed)
+    nan = float("nan")
+    rows = []
+    for i in range(n):
+        day = datetime.date(2024, 1, 1) + datetime.timedelta(pick.randrange(4))
+        e = pick.choice([nan, 0.0, -0.0, None, 2.5])
+        rows.append((pick.choice([None, None, None, i]), f"k{i // 3}", i % 3, day, e, pick.randrange(n)))
+    if seed % 2:
+        rows[-1] = (rows[0][0], *rows[0][1:3], *rows[-1][3:])
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize(("sample_rows", "most_bytes"), [(40, 1 << 20), (40, 6_000), (100_000, 1 << 20)])
+def test_dealt_rows_equal_brute_force(spark, monkeypatch, seed, sample_rows, most_bytes):
+    """Many tasks; tasks that do not hold their rows; parts that many rows share a value of."""
+    for name, value in {"DEALT_ROWS": 1, "TASK_ROWS": 200, "MOST_BYTES": most_bytes, "LEAST_SHARE": 10}.items():
+        monkeypatch.setattr(ops, name, value)
+    rows = dealt_rows(seed, 1500)
+    df = spark.createDataFrame(rows, "`a.x` int, b string, c int, d date, e double, f bigint")
+    found = {tuple(r) for r in ops.dependencies(df, 3, sample_rows).collect()}
+    # Python's sets take each value that is no number as another one.
+    plain = [(*r[:4], "none" if r[4] != r[4] else r[4], r[5]) for r in rows]
+    assert found == slow(plain, df.columns, 3)
+
+
+def test_dealt_rows_answer_for_every_claim(spark, monkeypatch):
+    """Also for what no search would ask, as it follows from something else or has no columns."""
+    monkeypatch.setattr(ops, "TASK_ROWS", 100)
+    rows = [(i, i % 50, i % 25, 7, i // 50) for i in range(1000)]
+    df = spark.createDataFrame(rows, "a int, b int, c int, d int, e int")
+    whole = ops._Counts(df)
+    dealt = ops._Dealt(whole, 3, 200)
+    sets = [frozenset(s) for k in range(4) for s in combinations(df.columns, k)]
+    pairs = [(s, a) for s in sets if len(s) < 3 for a in df.columns if a not in s]
+    assert set(dealt.unique(sets)) == set(whole.unique(sets))
+    assert set(dealt.determined(pairs)) == set(whole.determined(pairs))
+
+
+def test_large_tables_are_dealt_once_for_many_sets(spark, monkeypatch, tmp_path):
+    """Sets that nothing contradicts are compared together, none counted on its own over the table."""
+    monkeypatch.setattr(ops, "DEALT_ROWS", 1000)
+    pick = random.Random(5)
+    rows = [(i, i // 2, i % 2, i // 2 % 40, pick.randrange(9)) for i in range(4000)]
+    schema = "a int, b int, c int, d int, e int"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "t"))
+    table = spark.read.schema(schema).parquet(str(tmp_path / "t"))
+    counted, dealt = [], []
+    one = type(table)
+    grouping_sets, compared = one.groupingSets, ops._Dealt._compared
+    monkeypatch.setattr(one, "groupingSets", lambda df, *a: counted.append(a[0]) or grouping_sets(df, *a))
+    monkeypatch.setattr(ops._Dealt, "_compared", lambda self, *a: dealt.append(a[0]) or compared(self, *a))
+    found = {tuple(r) for r in ops.dependencies(table, 3, 400).collect()}
+    assert found == slow(rows, NAMES, 3)
+    assert {("key", "a", None), ("key", "b,c", None), ("dependency", "b", "d")} <= found
+    assert not counted
+    assert 0 < len(dealt) <= 3
+
+
+def test_a_task_that_cannot_hold_its_rows_says_so():
+    claims = {0: {(0,): agreement.Claims(key=4, dependents={1: 5}), (0, 1): agreement.Claims(key=6)}}
+    rows = pa.record_batch({"a": [1, 1, 2, 2], "b": [1, 1, 1, 2], "task": pa.array([0] * 4, pa.int32())})
+
+    def run(batches, most, whole):
+        out = agreement.contradictions(claims, most, whole)(iter(batches))
+        return {n for b in out for n in b.column("claim").to_pylist()}
+
+    assert run([rows], 1 << 20, True) == {4, 5, 6}
+    halves = [rows.slice(0, 2), rows.slice(2)]
+    assert run(halves, halves[0].nbytes, True) == {agreement.NOT_ALL, 4, 6}
+    assert run(halves, halves[0].nbytes, False) == {4, 6}
+    assert run([rows], 1, True) == {agreement.NOT_ALL}
+    assert run([], 1, True) == set()
+
+
+def test_groups_are_cut_the_same_by_either_sort():
+    pick = np.random.default_rng(1)
+    codes = [pick.integers(0, 60, 300) for _ in range(2)]
+    rows, zeros = np.arange(300), np.zeros(300, np.int64)
+    ways = []
+    for size in (60, 1 << 53):
+        some, groups = agreement._refined(rows, zeros, codes[0], 60)
+        some, groups = agreement._refined(some, groups, codes[1], size)
+        ways.append({frozenset(some[groups == g].tolist()) for g in np.unique(groups)})
+    by_value = {}
+    for i, pair in enumerate(zip(*codes)):
+        by_value.setdefault(pair, set()).add(i)
+    assert ways[0] == ways[1] == {frozenset(g) for g in by_value.values() if len(g) > 1}
+
+
 def test_dependencies_refuse_too_many_columns(spark):
     with pytest.raises(ValueError, match="61 columns"):
         ops.dependencies(spark.range(1).selectExpr(*[f"id AS c{i}" for i in range(61)]), 1)
